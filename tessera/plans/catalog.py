@@ -156,3 +156,54 @@ FROM ST LEFT JOIN (SELECT query_id, count(*) AS n FROM H GROUP BY query_id) c ON
 def query_status(spark, sf_dir):
     """FLT-10 / AGG-9 / Q14: status and hit count of every query."""
     return B.search_status(_index(spark, sf_dir), _queries_df(spark, BATCH_QUERIES))
+
+
+# --- snippets ----------------------------------------------------------------
+
+def _snippet_sql(hits_sql: str, words: list[tuple[int, str]], offset: int = 20) -> str:
+    from tessera.functions.text import NON_WORD_CHAR, WORD_CHAR
+
+    sel = []
+    for no, word in words:
+        w = word.lower()
+        lead = f"(^|{NON_WORD_CHAR})" if w[:1].isalnum() or w[:1] == "_" else f"({WORD_CHAR})"
+        tail = f"{WORD_CHAR}*" if w[-1:].isalnum() or w[-1:] == "_" else f"{WORD_CHAR}+"
+        pat = "(?s)^(.*?)" + lead + "(\\Q" + w + "\\E" + tail + ")([^\n]*)"
+        sel.append(f"SELECT {no} AS word_no, {q(word)} AS word, {q(pat)} AS pat")
+    words_sql_ = " UNION ALL ".join(sel)
+    return f"""HT AS ({hits_sql}),
+W AS ({words_sql_}),
+R AS (SELECT HT.query_id, HT.rank, HT.doc_id, HT.score, W.word_no, W.word, d.source, d.text,
+             regexp_matches(lower(d.text), W.pat) AS found,
+             length(regexp_extract(lower(d.text), W.pat, 1)) + length(regexp_extract(lower(d.text), W.pat, 2)) AS st,
+             length(regexp_extract(lower(d.text), W.pat, 3)) AS ml,
+             length(regexp_extract(lower(d.text), W.pat, 4)) AS al
+      FROM HT JOIN documents d ON d.doc_id = HT.doc_id CROSS JOIN W)
+SELECT query_id, rank, doc_id, score, CAST(word_no AS BIGINT) AS word_no, word,
+       source || ' - ' || CAST(doc_id AS VARCHAR) AS pretty_name, round(score, 3) AS relevance, found,
+       CASE WHEN found THEN st > {offset} ELSE false END AS truncated,
+       CASE WHEN found THEN substring(text, greatest(st - {offset}, 0) + 1, st - greatest(st - {offset}, 0)) END AS before,
+       CASE WHEN found THEN substring(text, st + 1, ml) END AS match_text,
+       CASE WHEN found THEN substring(text, st + ml + 1, al) END AS after
+FROM R"""
+
+
+_FLAGSHIP_HITS_SQL = f"""WITH {index_ctes()},
+c1 AS (SELECT a.doc_id, a.score + b.score AS s FROM sc a JOIN sc b ON a.doc_id = b.doc_id
+       WHERE a.term = 'the' AND b.term = 'of'),
+c2 AS (SELECT a.doc_id, a.score + b.score AS s FROM sc a JOIN sc b ON a.doc_id = b.doc_id
+       WHERE a.term = 'der' AND b.term = 'und'),
+hits AS (SELECT 0 AS query_id, doc_id, sum(s) AS score FROM (SELECT * FROM c1 UNION ALL SELECT * FROM c2) GROUP BY doc_id)"""
+
+
+@register("hit_snippets", _FLAGSHIP_HITS_SQL + ", " + _snippet_sql(
+    ranked_sql("hits", 10), [(0, "the"), (2, "of"), (4, "der"), (6, "und")]))
+def hit_snippets(spark, sf_dir):
+    """CMP-5 / STR-8 / FLT-5 / PRJ-1 / PRJ-6: snippets of the flagship hits."""
+    from tessera.operators.snippets import query_words, snippets
+
+    docs = read_corpus(spark, sf_dir)
+    idx = I.build_index(docs)
+    qdf = _queries_df(spark, [(0, FLAGSHIP_QUERY)])
+    hits = B.boolean_search(idx, qdf, count=10)
+    return snippets(hits, docs, query_words(qdf))
