@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import boolean as B
@@ -207,3 +207,188 @@ def hit_snippets(spark, sf_dir):
     qdf = _queries_df(spark, [(0, FLAGSHIP_QUERY)])
     hits = B.boolean_search(idx, qdf, count=10)
     return snippets(hits, docs, query_words(qdf))
+
+
+# --- ML search: hash embedding + cosine rerank ------------------------------
+
+ML_QUERIES = [
+    (0, "the of"),
+    (1, "der und NOT(die)"),
+    (2, "que la NOT (el para)"),
+    (3, "license NOT gnu"),
+    (4, "the NOTHING"),
+    (5, "in to NOT(the a)"),
+    (6, "licensed work"),
+]
+
+
+def _ml_split_sql(expr: str, group: int) -> str:
+    from tessera.functions.text import ML_QUERY_SPLIT
+
+    return f"regexp_extract({expr}, {q(ML_QUERY_SPLIT)}, {group})"
+
+
+def _ml_parsed_sql(queries_sql: str) -> str:
+    from tessera.functions.text import ML_QUERY_SPLIT
+
+    m = f"regexp_matches(query, {q(ML_QUERY_SPLIT)})"
+    return f"""MP AS (SELECT query_id, query,
+       CASE WHEN {m} THEN {_ml_split_sql('query', 1)} ELSE query END AS positive,
+       CASE WHEN {m} THEN {words_sql("regexp_replace(" + _ml_split_sql('query', 2) + ", '[()]', '', 'g')")}
+            ELSE []::VARCHAR[] END AS negative
+FROM {queries_sql})"""
+
+
+def _bucket_sql(w: str) -> str:
+    return f"CAST(CAST(('0x' || substr(md5({w}), 1, 8)) AS BIGINT) % 768 AS INTEGER)"
+
+
+def _embed_words_sql(text: str, max_words: int | None) -> str:
+    ws = words_sql(text)
+    if max_words:
+        ws = f"({ws})[1:{max_words}]"
+    return (f"list_filter(list_transform({ws}, lambda w: lower(translate(w, {q(__import__('tessera.functions.text', fromlist=['x']).PUNCTUATION)}, ''))), "
+            f"lambda w: w <> '')")
+
+
+def _ml_search_sql(rows, match: str, l0: int = 100, l1: int = 20) -> str:
+    op = " AND " if match == "all" else " OR "
+    return f"""WITH {index_ctes()},
+{_ml_parsed_sql(values_sql(rows, 'query_id, query'))},
+BQ AS (SELECT query_id, replace(positive, ' ', {q(op)}) AS query FROM MP),
+{boolean_ctes('BQ')},
+NEG AS (SELECT query_id, lower(unnest(negative)) AS term FROM MP),
+EX AS (SELECT DISTINCT NEG.query_id, tf.doc_id FROM NEG JOIN tf ON tf.term = NEG.term),
+H2 AS (SELECT * FROM H WHERE NOT EXISTS (SELECT 1 FROM EX WHERE EX.query_id = H.query_id AND EX.doc_id = H.doc_id)),
+CA AS (SELECT query_id, doc_id, round(score, 9) AS tfidf,
+              row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) - 1 AS l0_rank
+       FROM H2 QUALIFY l0_rank < {l0}),
+DW AS (SELECT doc_id AS id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents
+       WHERE doc_id IN (SELECT doc_id FROM CA)),
+DV AS (SELECT id, {_bucket_sql('w')} AS bucket, count(*) AS cnt FROM DW GROUP BY ALL),
+QEW AS (SELECT query_id AS id, unnest({_embed_words_sql('positive', None)}) AS w FROM MP),
+QEV AS (SELECT id, {_bucket_sql('w')} AS bucket, count(*) AS cnt FROM QEW GROUP BY ALL),
+DN AS (SELECT id, sum(cnt * cnt) AS sq FROM DV GROUP BY id),
+QEN AS (SELECT id, sum(cnt * cnt) AS sq FROM QEV GROUP BY id),
+DT AS (SELECT CA.query_id, CA.doc_id, sum(QEV.cnt * DV.cnt) AS dot
+       FROM CA JOIN QEV ON QEV.id = CA.query_id JOIN DV ON DV.id = CA.doc_id AND DV.bucket = QEV.bucket
+       GROUP BY ALL),
+RS AS (SELECT CA.*, round(CASE WHEN QEN.sq * DN.sq > 0 THEN coalesce(DT.dot, 0) / sqrt(CAST(QEN.sq AS DOUBLE) * DN.sq) END, 6) AS cos_sim
+       FROM CA LEFT JOIN DT ON DT.query_id = CA.query_id AND DT.doc_id = CA.doc_id
+       LEFT JOIN QEN ON QEN.id = CA.query_id LEFT JOIN DN ON DN.id = CA.doc_id)
+SELECT CAST(query_id AS BIGINT) AS query_id,
+       row_number() OVER (PARTITION BY query_id ORDER BY cos_sim DESC NULLS LAST, l0_rank) - 1 AS rank,
+       doc_id, CAST(l0_rank AS BIGINT) AS l0_rank, tfidf, cos_sim
+FROM RS QUALIFY rank < {l1}"""
+
+
+@register("ml_search_all", _ml_search_sql(ML_QUERIES, "all"))
+def ml_search_all(spark, sf_dir):
+    """CMP-7 (match all positive words, the code's behaviour): L0 Boolean
+    candidates, hash-embedding cosine rerank, L1 cut (JN-4/JN-8, VEC-4,
+    SRT-6/7/8, WIN-3)."""
+    from tessera.operators.rerank import ml_search
+
+    docs = read_corpus(spark, sf_dir)
+    return ml_search(I.build_index(docs), docs, _queries_df(spark, ML_QUERIES), match="all")
+
+
+@register("ml_search_any", _ml_search_sql(ML_QUERIES, "any"))
+def ml_search_any(spark, sf_dir):
+    """CMP-7 with match any (the README's description, Q3)."""
+    from tessera.operators.rerank import ml_search
+
+    docs = read_corpus(spark, sf_dir)
+    return ml_search(I.build_index(docs), docs, _queries_df(spark, ML_QUERIES), match="any")
+
+
+@register("ml_parse", f"""WITH {_ml_parsed_sql("(SELECT * FROM " + values_sql(ML_QUERIES, 'query_id, query') + " UNION ALL SELECT item_id + 1000000, text FROM benchmark)")}
+SELECT CAST(query_id AS BIGINT) AS query_id, positive, negative, replace(positive, ' ', ' AND ') AS boolean,
+       regexp_replace(regexp_replace(query, 'NOT', '', 'g'), '[()]', '', 'g') AS reduced
+FROM MP""")
+def ml_parse(spark, sf_dir):
+    """STR-11/STR-12/STR-13: split ML queries into positive / negative words,
+    the Boolean conjunction and the snippet words; the query table is the
+    fixed ML queries plus every text of the ``benchmark`` table."""
+    from tessera.functions.text import query_reduce
+    from tessera.operators.rerank import parse_ml
+
+    bench = read_table(spark, sf_dir, "benchmark").select(
+        (F.col("item_id") + 1000000).alias("query_id"), F.col("text").alias("query"))
+    p = parse_ml(_queries_df(spark, ML_QUERIES).unionByName(bench))
+    return p.select(F.col("query_id").cast("bigint"), "positive", "negative", "boolean",
+                    query_reduce("query").alias("reduced"))
+
+
+@register("reduced_text", f"""SELECT doc_id,
+  array_to_string(list_filter(list_transform(string_split_regex(text, '\\r\\n|\\r|\\n'),
+        lambda x: regexp_replace(x, {q(__import__('tessera.functions.text', fromlist=['x']).WHITESPACE + '+$')}, '')),
+        lambda x: x <> ''), ' ') AS reduced,
+  array_to_string(({words_sql('text')})[1:512], ' ') AS reduced_512
+FROM documents""")
+def reduced_text_q(spark, sf_dir):
+    """SRC-3 / STR-9: reduced text, whole and cut to the first 512 words."""
+    from tessera.functions.text import reduced_text
+
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", reduced_text("text").alias("reduced"), reduced_text("text", 512).alias("reduced_512"))
+
+
+@register("hash_embedding", f"""SELECT id AS doc_id, bucket, CAST(count(*) AS BIGINT) AS cnt
+FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
+      FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents))
+GROUP BY ALL""")
+def hash_embedding(spark, sf_dir):
+    """CMP-8 / VEC-1 / AGG-13: sparse sum-pooled hash embedding of every
+    document (first 512 words)."""
+    from tessera.functions.vectors import hash_embed
+
+    d = read_table(spark, sf_dir, "documents")
+    return hash_embed(d, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+@register("l2_normalize", """SELECT vec_id,
+  list_transform(embedding::DOUBLE[], lambda x: round(CASE WHEN n = 0 THEN 0.0 ELSE x / n END, 6)) AS unit,
+  round(n, 6) AS norm
+FROM (SELECT vec_id, embedding, sqrt(list_reduce(list_transform(embedding::DOUBLE[], lambda x: x * x), lambda a, b: a + b, 0.0)) AS n
+      FROM embeddings)""")
+def l2_normalize_q(spark, sf_dir):
+    """VEC-3 / AGG-14: unit vectors of the embeddings table (zero stays zero)."""
+    from tessera.functions.vectors import l2_norm, l2_normalize
+
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.transform(l2_normalize("embedding"), lambda x: F.round(x, 6)).alias("unit"),
+                    F.round(l2_norm("embedding"), 6).alias("norm"))
+
+
+@register("rerank_given_vectors", f"""WITH {index_ctes()},
+C AS (SELECT 0 AS query_id, doc_id, round(score, 9) AS tfidf,
+             row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) - 1 AS l0_rank
+      FROM sc WHERE term = 'the' QUALIFY l0_rank < 100),
+QV AS (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 0),
+S AS (SELECT C.*, round(list_reduce(list_transform(list_zip(e.embedding::DOUBLE[], QV.qv), lambda p: p[1] * p[2]), lambda a, b: a + b, 0.0)
+                  / (sqrt(list_reduce(list_transform(e.embedding::DOUBLE[], lambda x: x * x), lambda a, b: a + b, 0.0))
+                     * sqrt(list_reduce(list_transform(QV.qv, lambda x: x * x), lambda a, b: a + b, 0.0))), 6) AS cos_sim
+      FROM C JOIN embeddings e ON e.vec_id = C.doc_id CROSS JOIN QV)
+SELECT CAST(query_id AS BIGINT) AS query_id,
+       row_number() OVER (ORDER BY cos_sim DESC NULLS LAST, l0_rank) - 1 AS rank,
+       doc_id, CAST(l0_rank AS BIGINT) AS l0_rank, tfidf, cos_sim
+FROM S QUALIFY rank < 20""")
+def rerank_given_vectors(spark, sf_dir):
+    """JN-8 / VEC-4: L0 candidates of ``the`` joined to the given embeddings
+    table (vec_id = doc_id) and reranked by cosine to the vector vec_id = 0."""
+    from tessera.functions.vectors import cosine
+
+    docs = read_corpus(spark, sf_dir)
+    idx = I.build_index(docs)
+    lits, _ = B.parse_boolean(_queries_df(spark, [(0, "the")]), idx.analyzer)
+    hits = B.rank_hits(B.score_hits(B.literal_matches(idx, lits)), 100, rank_col="l0_rank")
+    cands = hits.select("query_id", "doc_id", F.col("score").alias("tfidf"), (F.col("l0_rank") - 1).alias("l0_rank"))
+    emb = read_table(spark, sf_dir, "embeddings")
+    qv = emb.where(F.col("vec_id") == 0).select(F.col("embedding").alias("qv"))
+    # candidates are a top-100 list: broadcast-sized by construction
+    j = F.broadcast(cands).join(emb, F.col("doc_id") == F.col("vec_id")).crossJoin(F.broadcast(qv))
+    j = j.withColumn("cos_sim", F.round(cosine("embedding", "qv"), 6))
+    w = Window.partitionBy("query_id").orderBy(F.col("cos_sim").desc_nulls_last(), F.col("l0_rank"))
+    return (j.withColumn("rank", (F.row_number().over(w) - 1).cast("bigint")).where(F.col("rank") < 20)
+            .select("query_id", "rank", "doc_id", F.col("l0_rank").cast("bigint").alias("l0_rank"), "tfidf", "cos_sim"))
