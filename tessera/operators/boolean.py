@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.porter import porter_stem_udf
 from tessera.functions.text import OP_AND, OP_NOT, OP_OR, split_words, strip_punctuation
@@ -96,31 +97,57 @@ def _bounded(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def _num_docs_df(index: Index, num_docs: int | None) -> DataFrame:
+    """AGG-5 as a one-row relation (computed inside the plan, no extra job)."""
+    if num_docs is not None:
+        return index.postings.sparkSession.createDataFrame([(float(num_docs),)], "N double")
+    return index.doc_stats.agg(F.count(F.lit(1)).cast("double").alias("N"))
+
+
 def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = None) -> DataFrame:
     """Every (literal, doc) match with its contribution.
 
     Returns query_id, clause_no, doc_id, n_pos, pos_hit, neg_hit, contrib.
-    """
-    n = num_docs if num_docs is not None else index.num_docs()
-    clause_meta = (literals.groupBy("query_id", "clause_no")
-                   .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
-    lits = literals.join(clause_meta, ["query_id", "clause_no"])
-    small = _bounded(literals, MAX_BROADCAST_LITERALS)
 
+    The literal table is size-checked with one bounded collect: when it has at
+    most ``MAX_BROADCAST_LITERALS`` rows it is re-created as a local relation
+    and broadcast, and its distinct terms (if few enough) become a pushed-down
+    ``term IN (...)`` filter.  Otherwise every step stays a distributed join
+    whose strategy AQE picks from measured sizes.
+    """
+    spark = index.postings.sparkSession
+    n_df = _num_docs_df(index, num_docs)
+    rows = literals.limit(MAX_BROADCAST_LITERALS + 1).collect()
+    small = len(rows) <= MAX_BROADCAST_LITERALS
     postings = index.postings
     if small:
-        terms = literals.select("term").where(F.col("term").isNotNull()).distinct()
-        if _bounded(terms, MAX_PUSHDOWN_TERMS):
-            term_list = [r["term"] for r in terms.collect()]
-            postings = postings.where(F.col("term").isin(term_list))
+        n_pos: dict[tuple, int] = {}
+        for r in rows:
+            key = (r["query_id"], r["clause_no"])
+            n_pos[key] = n_pos.get(key, 0) + (0 if r["negative"] else 1)
+        lits = spark.createDataFrame(
+            [tuple(r) + (n_pos[(r["query_id"], r["clause_no"])],) for r in rows],
+            T.StructType(literals.schema.fields + [T.StructField("n_pos", T.IntegerType())]))
+        clause_meta = spark.createDataFrame([k + (v,) for k, v in n_pos.items()],
+                                            T.StructType([literals.schema["query_id"], literals.schema["clause_no"],
+                                                         T.StructField("n_pos", T.IntegerType())]))
+        has_neg_only = any(v == 0 for v in n_pos.values())
+        terms = sorted({r["term"] for r in rows if r["term"] is not None})
+        if len(terms) <= MAX_PUSHDOWN_TERMS:
+            postings = postings.where(F.col("term").isin(terms))
+    else:
+        clause_meta = (literals.groupBy("query_id", "clause_no")
+                       .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
+        lits = literals.join(clause_meta, ["query_id", "clause_no"])
+        has_neg_only = True
     # df of the query terms only: partial aggregation collapses hot terms
     # before the exchange; one row per query term comes out.
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    lits = lits.join(df_t, "term", "left")
+    lits = lits.join(df_t, "term", "left").crossJoin(F.broadcast(n_df))
     lits = F.broadcast(lits) if small else lits
 
     m = postings.join(lits, "term")
-    idf = F.log2(F.lit(float(n)) / F.col("df"))
+    idf = F.log2(F.col("N") / F.col("df"))
     contrib = F.when(F.col("scoring"), F.col("tf") / F.col("doc_len") * idf).otherwise(F.lit(0.0))
     matches = m.select(
         "query_id", "clause_no", "doc_id", "n_pos",
@@ -128,13 +155,14 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
         F.when(F.col("negative"), 1).otherwise(0).alias("neg_hit"),
         contrib.alias("contrib"),
     )
+    if not has_neg_only:
+        return matches
     # Clauses with negative literals only range over all documents.  The
-    # clause list is tiny and size-checked; every emitted row is a candidate
-    # hit of that clause, so the output is proportional to the answer.
+    # clause list is small (size-checked above); every emitted row is a
+    # candidate hit of such a clause, so the output is proportional to the
+    # answer, never to all pairs of anything.
     neg_only = clause_meta.where(F.col("n_pos") == 0)
     if small:
-        if neg_only.limit(1).count() == 0:
-            return matches
         neg_only = F.broadcast(neg_only)
     universe = index.doc_stats.select("doc_id").crossJoin(neg_only).select(
         "query_id", "clause_no", "doc_id", "n_pos",

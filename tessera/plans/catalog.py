@@ -392,3 +392,165 @@ def rerank_given_vectors(spark, sf_dir):
     w = Window.partitionBy("query_id").orderBy(F.col("cos_sim").desc_nulls_last(), F.col("l0_rank"))
     return (j.withColumn("rank", (F.row_number().over(w) - 1).cast("bigint")).where(F.col("rank") < 20)
             .select("query_id", "rank", "doc_id", F.col("l0_rank").cast("bigint").alias("l0_rank"), "tfidf", "cos_sim"))
+
+
+# --- kNN and near-duplicates -------------------------------------------------
+
+KNN_K = 5
+GIVEN_THRESHOLD = 0.4  # the given embeddings table has no pair above 0.99
+
+
+def _given_vectors(spark, sf_dir) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+_GIVEN_PAIRS_SQL = """E AS (SELECT vec_id, embedding::DOUBLE[] AS v, list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS sq
+      FROM embeddings),
+C AS (SELECT a.vec_id AS doc_id, b.vec_id AS neighbor_id,
+             round(CASE WHEN a.sq * b.sq > 0 THEN list_dot_product(a.v, b.v) / sqrt(a.sq * b.sq) END, 6) AS cos_sim
+      FROM E a JOIN E b ON a.vec_id <> b.vec_id)"""
+
+
+@register("knn_topk", f"""WITH {_GIVEN_PAIRS_SQL}
+SELECT doc_id, neighbor_id, row_number() OVER (PARTITION BY doc_id ORDER BY cos_sim DESC, neighbor_id) AS rank, cos_sim
+FROM C WHERE cos_sim IS NOT NULL QUALIFY rank <= {KNN_K - 1}""")
+def knn_topk(spark, sf_dir):
+    """JN-10 / VEC-5 / SRT-9 / WIN-4: exact k = 5 (self included) nearest
+    neighbours of every vector of the embeddings table."""
+    from tessera.operators.knn import knn_exact
+
+    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K, block_rows=256)
+
+
+@register("knn_threshold", f"""WITH {_GIVEN_PAIRS_SQL}
+SELECT doc_id, neighbor_id, row_number() OVER (PARTITION BY doc_id ORDER BY cos_sim DESC, neighbor_id) AS rank, cos_sim
+FROM C WHERE cos_sim > {GIVEN_THRESHOLD} QUALIFY rank <= {KNN_K - 1}""")
+def knn_threshold(spark, sf_dir):
+    """VEC-6 / FLT-6: exact neighbours with cosine strictly above 0.4."""
+    from tessera.operators.knn import knn_exact
+
+    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K, threshold=GIVEN_THRESHOLD, block_rows=256)
+
+
+def _dup_pairs_sql(threshold: float = 0.99, k: int = KNN_K) -> str:
+    return f"""V AS (SELECT id, bucket, count(*) AS cnt FROM (
+        SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
+        FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents)) GROUP BY ALL),
+NQ AS (SELECT id, sum(cnt * cnt) AS sq FROM V GROUP BY id),
+DP AS (SELECT a.id AS doc_id, b.id AS neighbor_id, sum(a.cnt * b.cnt) AS dot
+       FROM V a JOIN V b ON a.bucket = b.bucket AND a.id <> b.id GROUP BY ALL),
+CS AS (SELECT doc_id, neighbor_id, round(dot / sqrt(CAST(na.sq AS DOUBLE) * nb.sq), 6) AS cos_sim
+       FROM DP JOIN NQ na ON na.id = DP.doc_id JOIN NQ nb ON nb.id = DP.neighbor_id),
+NB AS (SELECT doc_id, neighbor_id, row_number() OVER (PARTITION BY doc_id ORDER BY cos_sim DESC, neighbor_id) AS rank, cos_sim
+       FROM CS WHERE cos_sim > {threshold} QUALIFY rank <= {k - 1}),
+DOCP AS (SELECT doc_id, source, source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents)"""
+
+
+def _doc_neighbors(spark, sf_dir, method="exact") -> DataFrame:
+    from tessera.operators.duplicates import embed_corpus, find_duplicates
+
+    docs = read_corpus(spark, sf_dir)
+    return find_duplicates(embed_corpus(docs), method=method)
+
+
+@register("near_duplicates", f"WITH {_dup_pairs_sql()} SELECT * FROM NB")
+def near_duplicates(spark, sf_dir):
+    """CMP-9 exact: documents' hash embeddings, k = 5, cosine > 0.99."""
+    return _doc_neighbors(spark, sf_dir, "exact")
+
+
+@register("near_duplicates_lsh")
+def near_duplicates_lsh(spark, sf_dir):
+    """CMP-9 / VEC-6 scalable path: SimHash LSH candidates (8 bands x 16
+    bits), exact cosine re-check, same output as ``near_duplicates`` up to
+    LSH recall (tested against the exact path)."""
+    return _doc_neighbors(spark, sf_dir, "lsh")
+
+
+@register("duplicate_report", f"""WITH {_dup_pairs_sql()},
+KEEP AS (SELECT doc_id FROM NB WHERE rank = 1 AND neighbor_id > doc_id)
+SELECT NB.doc_id, p.path, NB.rank, NB.neighbor_id, q.path AS neighbor_path
+FROM NB JOIN KEEP USING (doc_id) JOIN DOCP p ON p.doc_id = NB.doc_id JOIN DOCP q ON q.doc_id = NB.neighbor_id""")
+def duplicate_report_q(spark, sf_dir):
+    """CMP-10 / FLT-7 / JN-9 / SNK-6: the duplicate report groups."""
+    from tessera.operators.duplicates import duplicate_report
+
+    return duplicate_report(_doc_neighbors(spark, sf_dir), read_corpus(spark, sf_dir))
+
+
+SOURCE_NAMES = [(0, "SRC3"), (1, "scr3"), (2, "zzzzzzzzzz"), (3, "src1")]
+
+
+@register("duplicates_of_source", f"""WITH {_dup_pairs_sql()},
+QN AS (SELECT * FROM {values_sql(SOURCE_NAMES, 'query_id, name')}),
+SRC AS (SELECT DISTINCT source FROM documents),
+BEST AS (SELECT query_id, name, source, levenshtein(lower(name), lower(source)) AS distance FROM QN CROSS JOIN SRC
+         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, source) = 1),
+OKB AS (SELECT * FROM BEST WHERE distance <= length(name) // 2)
+SELECT CAST(OKB.query_id AS BIGINT) AS query_id, OKB.source, CAST(OKB.distance AS BIGINT) AS distance,
+       NB.doc_id, p.path, NB.rank, NB.neighbor_id, q.path AS neighbor_path
+FROM OKB JOIN DOCP p ON p.source = OKB.source JOIN NB ON NB.doc_id = p.doc_id JOIN DOCP q ON q.doc_id = NB.neighbor_id""")
+def duplicates_of_source_q(spark, sf_dir):
+    """CMP-11 / JN-11 / STR-14 / AGG-11 / FLT-8 / FLT-9: duplicates of the
+    documents of a fuzzily named source."""
+    from tessera.operators.duplicates import duplicates_of_source
+
+    names = spark.createDataFrame(SOURCE_NAMES, "query_id bigint, name string")
+    return duplicates_of_source(_doc_neighbors(spark, sf_dir), read_corpus(spark, sf_dir), names)
+
+
+@register("duplicates_of_document", f"""WITH {_dup_pairs_sql()},
+QP AS (SELECT doc_id AS query_id, '/data/corpus/' || path AS req FROM DOCP),
+HIT AS (SELECT QP.query_id, d.doc_id FROM QP JOIN DOCP d
+        ON d.path = array_to_string(string_split(QP.req, '/')[-2:], '/'))
+SELECT CAST(HIT.query_id AS BIGINT) AS query_id, NB.doc_id, p.path, NB.rank, NB.neighbor_id, q.path AS neighbor_path
+FROM HIT JOIN NB ON NB.doc_id = HIT.doc_id JOIN DOCP p ON p.doc_id = NB.doc_id JOIN DOCP q ON q.doc_id = NB.neighbor_id""")
+def duplicates_of_document_q(spark, sf_dir):
+    """CMP-12 / PRJ-3 / JN-12: every document looked up by a user path
+    (``/data/corpus/<source>/<id>.txt``) and its duplicates."""
+    from tessera.operators.duplicates import duplicates_of_document
+
+    docs = read_corpus(spark, sf_dir)
+    paths = docs.select(F.col("doc_id").alias("query_id"), F.concat(F.lit("/data/corpus/"), "path").alias("path"))
+    return duplicates_of_document(_doc_neighbors(spark, sf_dir), docs, paths)
+
+
+@register("source_ranges", """WITH O AS (SELECT source, row_number() OVER (ORDER BY source || '/' || CAST(doc_id AS VARCHAR) || '.txt') - 1 AS o
+FROM documents)
+SELECT source, min(o) AS start, max(o) + 1 AS "end", count(*) AS n_docs FROM O GROUP BY source""")
+def source_ranges_q(spark, sf_dir):
+    """AGG-10 / WIN-5 / D14: first ordinal, end and size of each source over
+    documents ordered by path (ordinals from the distributed WIN-1)."""
+    from tessera.operators.duplicates import source_ranges
+    from tessera.sources.corpus import ordinal
+
+    docs = ordinal(read_corpus(spark, sf_dir), "path", "doc_ord")
+    return source_ranges(docs).select("source", "start", "end", F.col("n_docs").cast("bigint"))
+
+
+@register("doc_ordinal", """SELECT doc_id, source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path,
+  row_number() OVER (ORDER BY source || '/' || CAST(doc_id AS VARCHAR) || '.txt') - 1 AS doc_ord FROM documents""")
+def doc_ordinal(spark, sf_dir):
+    """WIN-1 / SRT-1: dense ordinal of documents by sorted path, computed
+    without a single-partition window."""
+    from tessera.sources.corpus import ordinal
+
+    return ordinal(read_corpus(spark, sf_dir), "path", "doc_ord").select("doc_id", "path", "doc_ord")
+
+
+FUZZY_NAMES = [(0, "smal rng"), (1, "abc"), (2, "red widgett"), (3, "BLUE BOLT")]
+
+
+@register("fuzzy_name", f"""WITH QN AS (SELECT * FROM {values_sql(FUZZY_NAMES, 'query_id, name')}),
+NM AS (SELECT DISTINCT p_name AS match FROM part),
+BEST AS (SELECT query_id, name AS query, match, levenshtein(lower(name), lower(match)) AS distance FROM QN CROSS JOIN NM
+         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, match) = 1)
+SELECT CAST(query_id AS BIGINT) AS query_id, query, match, CAST(distance AS BIGINT) AS distance
+FROM BEST WHERE distance <= length(query) // 2""")
+def fuzzy_name(spark, sf_dir):
+    """JN-11 / STR-14 / AGG-11 / FLT-9: closest part name by edit distance."""
+    from tessera.operators.fuzzy import fuzzy_lookup
+
+    names = spark.createDataFrame(FUZZY_NAMES, "query_id bigint, name string")
+    return fuzzy_lookup(names, read_table(spark, sf_dir, "part"), "p_name")
