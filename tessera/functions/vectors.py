@@ -11,6 +11,10 @@ A user model plugs in instead through :func:`model_embedder`.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,13 +88,9 @@ def cosine(a, b) -> Column:
 def model_embedder(load_model, dim: int, batch_rows: int = 64):
     """VEC-2: wrap a user model as an iterator-of-batches Arrow UDF.
 
-    ``load_model()`` runs once per Python worker (not per batch) and must
+    ``load_model()`` runs once per task (partition), not per batch, and must
     return a callable ``list[str] -> ndarray (n, dim)``.  Use it on the reduced
     texts: ``df.select(udf(reduced_text('text', 512)))``."""
-    from collections.abc import Iterator
-
-    import numpy as np
-    import pandas as pd
     from pyspark.sql import types as T
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))

@@ -554,3 +554,348 @@ def fuzzy_name(spark, sf_dir):
 
     names = spark.createDataFrame(FUZZY_NAMES, "query_id bigint, name string")
     return fuzzy_lookup(names, read_table(spark, sf_dir, "part"), "p_name")
+
+
+# --- Boolean operators as standalone posting-list algebra (JN-1..JN-5) -------
+
+def _term_sc_sql(term: str, alias: str) -> str:
+    return f"{alias} AS (SELECT doc_id, score FROM sc WHERE term = {q(term)})"
+
+
+def _algebra(spark, sf_dir):
+    idx = _index(spark, sf_dir)
+    n = idx.num_docs()
+    return idx, (lambda w: B.term_postings(idx, w, num_docs=n))
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", F.round("score", 9).alias("score"))
+
+
+@register("bool_and", f"""WITH {index_ctes()}, {_term_sc_sql('the', 'A')}, {_term_sc_sql('of', 'Bq')}
+SELECT A.doc_id, round(A.score + Bq.score, 9) AS score FROM A JOIN Bq USING (doc_id)""")
+def bool_and(spark, sf_dir):
+    """JN-1 / SET-1: ``the AND of`` as an inner join with summed scores."""
+    _, t = _algebra(spark, sf_dir)
+    return _scored(B.and_postings(t("the"), t("of")))
+
+
+@register("bool_or", f"""WITH {index_ctes()}, {_term_sc_sql('der', 'A')}, {_term_sc_sql('und', 'Bq')}
+SELECT coalesce(A.doc_id, Bq.doc_id) AS doc_id, round(coalesce(A.score, 0) + coalesce(Bq.score, 0), 9) AS score
+FROM A FULL OUTER JOIN Bq ON A.doc_id = Bq.doc_id""")
+def bool_or(spark, sf_dir):
+    """JN-2 / SET-2: ``der OR und`` as a full outer join."""
+    _, t = _algebra(spark, sf_dir)
+    return _scored(B.or_postings(t("der"), t("und")))
+
+
+@register("bool_not", f"""WITH {index_ctes()}, {_term_sc_sql('the', 'A')}
+SELECT doc_id, 0.0 AS score FROM dl WHERE doc_id NOT IN (SELECT doc_id FROM A)""")
+def bool_not(spark, sf_dir):
+    """JN-3 / SET-3: ``NOT the``: every other document, score 0."""
+    idx, t = _algebra(spark, sf_dir)
+    return _scored(B.not_postings(t("the"), idx.doc_stats))
+
+
+@register("bool_and_not", f"""WITH {index_ctes()}, {_term_sc_sql('the', 'A')}, {_term_sc_sql('of', 'Bq')}
+SELECT doc_id, round(score, 9) AS score FROM Bq WHERE doc_id NOT IN (SELECT doc_id FROM A)""")
+def bool_and_not(spark, sf_dir):
+    """JN-4 / SET-4: ``NOT the AND of`` as a difference (Q2 fixed)."""
+    _, t = _algebra(spark, sf_dir)
+    return _scored(B.not_and_postings(t("the"), t("of")))
+
+
+@register("bool_or_not", f"""WITH {index_ctes()}, {_term_sc_sql('the', 'A')}, {_term_sc_sql('queen', 'Bq')},
+NA AS (SELECT doc_id, 0.0 AS score FROM dl WHERE doc_id NOT IN (SELECT doc_id FROM A))
+SELECT coalesce(NA.doc_id, Bq.doc_id) AS doc_id, round(coalesce(NA.score, 0) + coalesce(Bq.score, 0), 9) AS score
+FROM NA FULL OUTER JOIN Bq ON NA.doc_id = Bq.doc_id""")
+def bool_or_not(spark, sf_dir):
+    """JN-5: ``NOT the OR queen``."""
+    idx, t = _algebra(spark, sf_dir)
+    return _scored(B.not_or_postings(t("the"), t("queen"), idx.doc_stats))
+
+
+# --- name index (CMP-6) on part: path = p_brand/p_name.txt -------------------
+
+def _part_docs(spark, sf_dir) -> DataFrame:
+    p = read_table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("doc_id"), F.col("p_brand").alias("source"),
+                    F.concat("p_brand", F.lit("/"), "p_name", F.lit(".txt")).alias("path"),
+                    F.col("p_name").alias("text"))
+
+
+NAME_QUERY = "small AND ring OR Brand#3"
+
+
+@register("name_search", f"""WITH
+ND AS (SELECT p_partkey AS doc_id, p_brand || ' - ' || split_part(p_name, '.', 1) AS pretty, p_name AS text FROM part),
+dl AS (SELECT doc_id, CAST(len({words_sql('text')}) AS BIGINT) AS doc_len FROM ND),
+tf AS (SELECT DISTINCT lower(unnest({words_sql('pretty')})) AS term, doc_id, 1 AS tf FROM ND),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS N FROM ND),
+sc AS (SELECT tf.term, tf.doc_id, tf.tf / dl.doc_len * log2(n.N / dfs.df) AS score
+       FROM tf JOIN dl USING (doc_id) JOIN dfs USING (term) CROSS JOIN n),
+c1 AS (SELECT a.doc_id, a.score + b.score AS s FROM sc a JOIN sc b ON a.doc_id = b.doc_id
+       WHERE a.term = 'small' AND b.term = 'ring'),
+c2 AS (SELECT doc_id, score AS s FROM sc WHERE term = 'brand#3'),
+hits AS (SELECT 0 AS query_id, doc_id, sum(s) AS score FROM (SELECT * FROM c1 UNION ALL SELECT * FROM c2) GROUP BY doc_id)
+{ranked_sql('hits', 10)}""")
+def name_search(spark, sf_dir):
+    """CMP-6 / AGG-7 / PRJ-1: Boolean search over the name index of parts
+    (name words kept with punctuation, tf = 1)."""
+    docs = _part_docs(spark, sf_dir)
+    idx = I.Index(I.build_name_index(docs), I.doc_stats(docs), "lower")
+    return B.boolean_search(idx, NAME_QUERY, count=10)
+
+
+@register("postings_stemmed")
+def postings_stemmed(spark, sf_dir):
+    """STR-3 / CMP-3 with the Porter analyzer (the reference default): stems
+    computed once per distinct word form by the Arrow UDF, joined back."""
+    return _index(spark, sf_dir, "porter").postings.select("term", "doc_id", "tf")
+
+
+@register("bool_stemmed")
+def bool_stemmed(spark, sf_dir):
+    """CMP-4 with stemming on both sides (``licensed`` finds ``license``)."""
+    return B.boolean_search(_index(spark, sf_dir, "porter"), "licensed OR queens AND NOT the", count=10)
+
+
+# --- scalar text functions -------------------------------------------------
+
+@register("bracket_strip", """SELECT doc_id, regexp_replace(text, '[\\(\\[].*?[\\)\\]]', '', 'g') AS stripped FROM documents""")
+def bracket_strip(spark, sf_dir):
+    """STR-5: bracketed annotations removed."""
+    from tessera.functions.text import strip_brackets
+
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", strip_brackets("text").alias("stripped"))
+
+
+@register("blank_lines", f"""SELECT doc_id,
+  array_to_string(list_filter(string_split_regex(text, {q(__import__('tessera.functions.text', fromlist=['x']).SPLITLINES_BREAK)}), lambda x: x <> ''), chr(10)) AS cleaned
+FROM documents""")
+def blank_lines(spark, sf_dir):
+    """STR-6: empty lines dropped."""
+    from tessera.functions.text import drop_blank_lines
+
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", drop_blank_lines("text").alias("cleaned"))
+
+
+@register("pretty_names", """SELECT doc_id, source || ' - ' || CAST(doc_id AS VARCHAR) AS pretty_name,
+  source AS source_of_path, source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path_key, replace(source, '/', '_') AS safe
+FROM documents""")
+def pretty_names(spark, sf_dir):
+    """PRJ-1..PRJ-4 over corpus paths (``/data/<source>/<id>.txt``)."""
+    from tessera.functions.text import path_key, pretty_name, safe_title, source_of_path
+
+    docs = read_corpus(spark, sf_dir).withColumn("full", F.concat(F.lit("/data/"), "path"))
+    return docs.select("doc_id", pretty_name("full").alias("pretty_name"),
+                       source_of_path(path_key("full")).alias("source_of_path"),
+                       path_key("full").alias("path_key"), safe_title("source").alias("safe"))
+
+
+# --- sources and sinks ---------------------------------------------------------
+
+@register("json_flatten", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def json_flatten(spark, sf_dir):
+    """STR-15: nested JSON field access with an explicit schema."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+def _listings(spark, sf_dir) -> DataFrame:
+    """Stand-in landed listing pages built from ``part``: 20 songs per page
+    (page = p_partkey div 20), requested artist = brand of the page's first
+    song.  Only JSON rows; the flattening is the job."""
+    p = read_table(spark, sf_dir, "part").select(
+        (F.col("p_partkey") / 20).cast("bigint").alias("page"), "p_partkey",
+        F.substring_index("p_brand", "#", -1).cast("bigint").alias("aid"), "p_name")
+    song = F.struct(F.col("p_partkey"), F.struct(
+        F.col("p_name").alias("title"),
+        F.concat(F.lit("https://songs.example/"), F.col("p_partkey").cast("string")).alias("url"),
+        F.struct(F.col("aid").alias("id")).alias("primary_artist")).alias("s"))
+    g = p.groupBy("page").agg(F.sort_array(F.collect_list(song)).alias("l"), F.min_by("aid", "p_partkey").alias("artist_id"))
+    js = F.to_json(F.struct(F.struct(F.col("l.s").alias("songs"), (F.col("page") + 1).alias("next_page")).alias("response")))
+    return g.select("artist_id", "page", js.alias("json"))
+
+
+@register("listing_to_corpus", """WITH P AS (SELECT p_partkey // 20 AS page, p_partkey, p_name, CAST(split_part(p_brand, '#', 2) AS BIGINT) AS aid FROM part),
+FP AS (SELECT page, arg_min(aid, p_partkey) AS artist_id FROM P GROUP BY page),
+S AS (SELECT P.*, row_number() OVER (PARTITION BY page ORDER BY p_partkey) - 1 AS pos FROM P)
+SELECT FP.artist_id, S.page, S.pos, S.p_name AS title, 'https://songs.example/' || CAST(S.p_partkey AS VARCHAR) AS url
+FROM S JOIN FP USING (page) WHERE S.aid = FP.artist_id""")
+def listing_to_corpus(spark, sf_dir):
+    """CMP-2 / SRC-6 / FLT-2: flatten paged listings to the requested
+    artist's songs."""
+    from tessera.operators.ingest import flatten_listing
+
+    return flatten_listing(_listings(spark, sf_dir))
+
+
+def _seed_hits(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    seeds = (part.select(F.upper("p_name").alias("seed")).distinct()
+             .unionByName(part.select(F.concat(F.upper(F.substring_index("p_name", " ", 1)), F.lit(" THING")).alias("seed")))
+             .distinct())
+    # Stand-in search answers: every part sharing the seed's first word, in
+    # key order; the exact name is somewhere in that list (or nowhere).
+    cand = part.select(F.lower(F.substring_index("p_name", " ", 1)).alias("w"),
+                       F.col("p_partkey").alias("hit_pos"), F.col("p_partkey").alias("artist_id"),
+                       F.col("p_name").alias("artist_name"))
+    hits = seeds.withColumn("w", F.lower(F.substring_index("seed", " ", 1))).join(cand, "w").drop("w")
+    return seeds, hits
+
+
+_SEED_SQL = """S AS (SELECT DISTINCT upper(p_name) AS seed FROM part
+       UNION SELECT DISTINCT upper(split_part(p_name, ' ', 1)) || ' THING' FROM part),
+H AS (SELECT S.seed, p.p_partkey AS hit_pos, p.p_partkey AS artist_id, p.p_name AS artist_name
+      FROM S JOIN part p ON lower(split_part(S.seed, ' ', 1)) = lower(split_part(p.p_name, ' ', 1))),
+R AS (SELECT seed, arg_min(artist_id, hit_pos) AS artist_id, min(hit_pos) AS hit_pos
+      FROM H WHERE lower(artist_name) = lower(seed) GROUP BY seed)"""
+
+
+@register("resolve_entities", f"WITH {_SEED_SQL} SELECT seed, artist_id, hit_pos FROM R")
+def resolve_entities_q(spark, sf_dir):
+    """JN-13 / WIN-6 / FLT-1: first case-insensitive exact hit per seed."""
+    from tessera.operators.ingest import resolve_entities
+
+    seeds, hits = _seed_hits(spark, sf_dir)
+    return resolve_entities(seeds, hits)
+
+
+@register("unresolved_entities", f"WITH {_SEED_SQL} SELECT seed FROM S WHERE seed NOT IN (SELECT seed FROM R)")
+def unresolved_entities_q(spark, sf_dir):
+    """FLT-4: seeds without an exact hit."""
+    from tessera.operators.ingest import resolve_entities, unresolved_entities
+
+    seeds, hits = _seed_hits(spark, sf_dir)
+    return unresolved_entities(seeds, resolve_entities(seeds, hits))
+
+
+@register("html_extract")
+def html_extract(spark, sf_dir):
+    """STR-7 / FLT-3: text of each page's ``<article>`` (scripts, styles,
+    comments excluded), brackets and empty lines removed."""
+    from tessera.functions.html import extract_element_text
+    from tessera.operators.ingest import clean_text
+
+    pages = read_table(spark, sf_dir, "pages")
+    t = extract_element_text(pages.select("page_id", "url", "html"), "html", "article", None, "raw")
+    return t.select("page_id", clean_text(F.col("raw")).alias("text")).where(F.col("text").isNotNull() & (F.col("text") != ""))
+
+
+@register("pages_to_corpus")
+def pages_to_corpus(spark, sf_dir):
+    """CMP-1 / SRC-5 / PRJ-4: pages -> (artist = site, title = page path,
+    text) corpus rows; written and re-read through SNK-7."""
+    from tessera.operators.ingest import extract_corpus, write_corpus
+    from tessera.session import scratch_path
+
+    pages = read_table(spark, sf_dir, "pages").select(
+        F.expr("parse_url(url, 'HOST')").alias("artist"),
+        F.regexp_extract("url", r"^[a-z]+://[^/]+/(.*?)(\?|$)", 1).alias("title"), "html")
+    corpus = extract_corpus(pages, tag="article", css_class=None)
+    out = scratch_path(spark, "pages_corpus")
+    write_corpus(corpus, out)
+    return spark.read.parquet(out).select("artist", "title", "text")
+
+
+@register("index_roundtrip", f"""WITH {index_ctes()}
+SELECT term, doc_id, tf, doc_len FROM tf JOIN dl USING (doc_id) WHERE term IN ('queen', 'license')""")
+def index_roundtrip(spark, sf_dir):
+    """SNK-2 / SRC-7 / SRT-2: write the index range-partitioned and sorted by
+    term, reopen it, look up two terms (pushed-down filter on the scan)."""
+    from tessera.session import scratch_path
+
+    path = scratch_path(spark, "index")
+    I.write_index(_index(spark, sf_dir), path)
+    idx = I.read_index(spark, path)
+    return idx.postings.where(F.col("term").isin("queen", "license")).select("term", "doc_id", "tf", "doc_len")
+
+
+@register("corpus_roundtrip", """SELECT doc_id, source, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM documents""")
+def corpus_roundtrip(spark, sf_dir):
+    """SNK-1 / SNK-7 / SRC-2 / PRJ-2: corpus written per source, re-read by
+    partition, read line by line (lines per document)."""
+    from tessera.session import scratch_path
+    from tessera.sources.corpus import read_lines
+
+    docs = read_corpus(spark, sf_dir)
+    out = scratch_path(spark, "corpus")
+    docs.repartition("source").write.mode("overwrite").partitionBy("source").parquet(out)
+    back = spark.read.parquet(out)
+    lines = read_lines(back).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    return back.select("doc_id", "source").join(lines, "doc_id").select("doc_id", "source", F.col("n_lines").cast("bigint"))
+
+
+@register("vectors_roundtrip", f"""SELECT id AS doc_id, CAST(count(*) AS BIGINT) AS n_buckets, CAST(sum(cnt * cnt) AS BIGINT) AS sq
+FROM (SELECT id, bucket, count(*) AS cnt FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
+      FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents)) GROUP BY ALL) GROUP BY id""")
+def vectors_roundtrip(spark, sf_dir):
+    """CMP-8 / SNK-4 / SRC-8: corpus embeddings written with their parameters
+    in the path (Q13) and read back."""
+    from tessera.operators.duplicates import embed_corpus
+    from tessera.session import scratch_path
+
+    out = scratch_path(spark, "vectors-words512-dim768")
+    embed_corpus(read_corpus(spark, sf_dir)).write.mode("overwrite").parquet(out)
+    v = spark.read.parquet(out)
+    return v.select(F.col("id").alias("doc_id"), F.size("idx").cast("bigint").alias("n_buckets"),
+                    F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x).cast("bigint").alias("sq"))
+
+
+@register("neighbors_roundtrip", f"""WITH {_dup_pairs_sql()}
+SELECT doc_id, list(neighbor_id ORDER BY rank) AS neighbors FROM NB GROUP BY doc_id""")
+def neighbors_roundtrip(spark, sf_dir):
+    """SNK-5 / SRC-9 / AGG-12: duplicate table written, re-read, folded into
+    per-document neighbour lists in rank order."""
+    from tessera.operators.knn import neighbor_lists
+    from tessera.session import scratch_path
+
+    out = scratch_path(spark, "neighbors-k5-t0.99")
+    _doc_neighbors(spark, sf_dir).write.mode("overwrite").parquet(out)
+    return neighbor_lists(spark.read.parquet(out))
+
+
+@register("posting_map_merge", f"WITH {index_ctes()} SELECT term, doc_id, tf FROM tf")
+def posting_map_merge(spark, sf_dir):
+    """MAP-1 / D5: nested term -> MAP<doc, tf> views of two corpus halves
+    merged with ``map_zip_with``, flattened back to rows."""
+    docs = read_corpus(spark, sf_dir)
+    half = F.crc32(F.col("source")) % 2 == 0
+    a = I.posting_maps(I.build_index(docs.where(half)).postings)
+    b = I.posting_maps(I.build_index(docs.where(~half)).postings)
+    m = I.merge_posting_maps(a, b)
+    return m.select("term", F.explode("postings").alias("doc_id", "tf")).select(
+        "term", "doc_id", F.col("tf").cast("bigint"))
+
+
+@register("embed_with_user_model")
+def embed_with_user_model(spark, sf_dir):
+    """VEC-2: a user model plugged in as an iterator Arrow UDF (toy model:
+    normalised character-trigram hashing), applied to reduced texts."""
+    from tessera.functions.text import reduced_text
+    from tessera.functions.vectors import model_embedder
+
+    def load():
+        import zlib
+
+        import numpy as np
+
+        def model(texts):
+            out = np.zeros((len(texts), 32), dtype=np.float32)
+            for i, t in enumerate(texts):
+                s = t.lower()
+                for j in range(max(0, len(s) - 2)):
+                    out[i, zlib.crc32(s[j:j + 3].encode()) % 32] += 1
+                n = np.linalg.norm(out[i])
+                if n > 0:
+                    out[i] /= n
+            return out
+        return model
+
+    udf = model_embedder(load, dim=32)
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", udf(reduced_text("text", 512)).alias("embedding"))
