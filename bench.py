@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "build_postings",
+    "postings_tf",
     "bool_flagship",
     "bool_batch",
     "hit_snippets",
