@@ -49,7 +49,17 @@ def l0_candidates(index: Index, parsed: DataFrame, l0: int = L0_SIZE) -> DataFra
     neg_words = parsed.select("query_id", F.explode("negative").alias("word"))
     neg_terms = neg_words.select("query_id", B.normalize_query_word(F.col("word"), index.analyzer).alias("term"))
     # JN-4: NOT x AND y as an anti-join (document 0 is not special, Q2 fix).
-    excluded = index.postings.join(F.broadcast(neg_terms), "term").select("query_id", "doc_id")
+    # The negative-term table is size-checked; when small it is broadcast and
+    # its terms are pushed to the postings scan as ``term IN (...)``.
+    rows = neg_terms.limit(B.MAX_BROADCAST_LITERALS + 1).collect()
+    postings = index.postings
+    if len(rows) <= B.MAX_BROADCAST_LITERALS:
+        spark = index.postings.sparkSession
+        neg_terms = F.broadcast(spark.createDataFrame(rows, neg_terms.schema))
+        terms = sorted({r["term"] for r in rows if r["term"] is not None})
+        if len(terms) <= B.MAX_PUSHDOWN_TERMS:
+            postings = postings.where(F.col("term").isin(terms))
+    excluded = postings.join(neg_terms, "term").select("query_id", "doc_id")
     hits = hits.join(excluded, ["query_id", "doc_id"], "left_anti")
     ranked = B.rank_hits(hits, l0, rank_col="l0_rank")
     return ranked.select("query_id", "doc_id", F.col("score").alias("tfidf"),

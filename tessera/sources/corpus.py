@@ -17,8 +17,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer partitions than
+    the default parallelism (a table stored as one Parquet row group is read
+    by a single task).  A large input already has many more splits than cores
+    and is left untouched, so this never adds a shuffle at scale."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def corpus_from_documents(documents: DataFrame) -> DataFrame:
