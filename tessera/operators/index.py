@@ -97,15 +97,22 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
     return Index(postings=postings, doc_stats=stats, analyzer=analyzer)
 
 
-def merge_postings(a: DataFrame, b: DataFrame) -> DataFrame:
-    """AGG-3 / SET-5: merge two partial indexes; tf of a (term, doc) seen in
-    both adds up.  Spark runs it as partial + final hash aggregation."""
+def merge_blocks(postings: DataFrame) -> DataFrame:
+    """AGG-3 / SET-5: postings of any number of partial indexes (blocks)
+    stacked together -> one index; tf of a (term, doc) seen in several blocks
+    adds up.  Spark runs it as partial + final hash aggregation (the k-way
+    block merge of SPIMI)."""
     cols = ["term", "doc_id", "doc_len"]
-    return (a.select(*cols, "tf").unionByName(b.select(*cols, "tf"))
-            .groupBy(*cols).agg(F.sum("tf").cast("bigint").alias("tf"))
+    return (postings.groupBy(*cols).agg(F.sum("tf").cast("bigint").alias("tf"))
             .select("term", "doc_id", "tf", "doc_len"))
 
 
+def merge_postings(a: DataFrame, b: DataFrame) -> DataFrame:
+    """AGG-3: merge two partial indexes."""
+    cols = ["term", "doc_id", "doc_len", "tf"]
+    return merge_blocks(a.select(*cols).unionByName(b.select(*cols)))
+
+
 def merge_index(a: Index, b: Index) -> Index:
     """Merge two indexes over disjoint document sets."""
     stats = a.doc_stats.unionByName(b.doc_stats)

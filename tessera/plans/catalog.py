@@ -899,3 +899,23 @@ def embed_with_user_model(spark, sf_dir):
     udf = model_embedder(load, dim=32)
     d = read_table(spark, sf_dir, "documents")
     return d.select("doc_id", udf(reduced_text("text", 512)).alias("embedding"))
+
+
+# --- streaming ----------------------------------------------------------------
+
+@register("stream_index", f"WITH {index_ctes()} SELECT term, doc_id, tf FROM tf")
+def stream_index(spark, sf_dir):
+    """Structured Streaming index maintenance: documents landed as several
+    files are streamed one file per micro-batch, each batch inverted into a
+    block (idempotent ``foreachBatch``), blocks merged and written as the
+    range-sorted index, which is read back."""
+    from tessera.session import scratch_path
+    from tessera.streaming.index_stream import compact_index, start_index_stream
+
+    stage = scratch_path(spark, "landed-docs")
+    read_table(spark, sf_dir, "documents").repartition(4, "source").write.mode("overwrite").parquet(stage)
+    base = scratch_path(spark, "stream-index")
+    q_ = start_index_stream(spark, stage, base, f"{base}/_checkpoint", files_per_batch=1)
+    q_.awaitTermination()
+    compact_index(spark, base, f"{base}/index")
+    return I.read_index(spark, f"{base}/index").postings.select("term", "doc_id", "tf")
