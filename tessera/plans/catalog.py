@@ -590,7 +590,7 @@ def bool_or(spark, sf_dir):
 
 
 @register("bool_not", f"""WITH {index_ctes()}, {_term_sc_sql('the', 'A')}
-SELECT doc_id, 0.0 AS score FROM dl WHERE doc_id NOT IN (SELECT doc_id FROM A)""")
+SELECT doc_id, CAST(0 AS DOUBLE) AS score FROM dl WHERE doc_id NOT IN (SELECT doc_id FROM A)""")
 def bool_not(spark, sf_dir):
     """JN-3 / SET-3: ``NOT the``: every other document, score 0."""
     idx, t = _algebra(spark, sf_dir)
