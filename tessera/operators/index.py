@@ -119,29 +119,38 @@ def merge_index(a: Index, b: Index) -> Index:
     return Index(merge_postings(a.postings, b.postings), stats, a.analyzer)
 
 
-def posting_lists(postings: DataFrame) -> DataFrame:
-    """AGG-2 / SRT-3: nested export view ``term -> [(doc_id, tf)]`` sorted by
-    doc id.  Export only: a hot term makes one large row."""
-    return (postings.groupBy("term")
+# Doc ids per row of the nested export views: a stop word sits in most
+# documents, so one row per term would be unbounded; rows are per
+# (term, chunk) with chunk = doc_id div POSTING_CHUNK, and concatenating a
+# term's chunks in chunk order gives its full list.
+POSTING_CHUNK = 1_000_000
+
+
+def posting_lists(postings: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
+    """AGG-2 / SRT-3: nested export view ``(term, chunk) -> [(doc_id, tf)]``
+    sorted by doc id, at most ``chunk`` entries per row."""
+    return (postings.withColumn("chunk", F.floor(F.col("doc_id") / chunk).cast("bigint"))
+            .groupBy("term", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
 
 
-def posting_maps(postings: DataFrame) -> DataFrame:
-    """Nested ``term -> MAP<doc_id, tf>`` view (D5)."""
-    return (postings.groupBy("term")
+def posting_maps(postings: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
+    """Nested ``(term, chunk) -> MAP<doc_id, tf>`` view (D5), bounded rows."""
+    return (postings.withColumn("chunk", F.floor(F.col("doc_id") / chunk).cast("bigint"))
+            .groupBy("term", "chunk")
             .agg(F.map_from_entries(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
 
 
 def merge_posting_maps(a: DataFrame, b: DataFrame) -> DataFrame:
-    """MAP-1: merge two nested views term-by-term, summing tf of common docs
-    (``map_zip_with``); terms present on one side only pass through."""
-    j = a.alias("a").join(b.alias("b"), "term", "full_outer")
+    """MAP-1: merge two nested views chunk by chunk, summing tf of common docs
+    (``map_zip_with``); entries present on one side only pass through."""
+    j = a.alias("a").join(b.alias("b"), ["term", "chunk"], "full_outer")
     merged = F.map_zip_with(
         F.coalesce(F.col("a.postings"), F.create_map().cast("map<bigint,bigint>")),
         F.coalesce(F.col("b.postings"), F.create_map().cast("map<bigint,bigint>")),
         lambda k, v1, v2: F.coalesce(v1, F.lit(0)) + F.coalesce(v2, F.lit(0)),
     )
-    return j.select("term", merged.alias("postings"))
+    return j.select("term", "chunk", merged.alias("postings"))
 
 
 def write_index(index: Index, path: str, num_partitions: int | None = None) -> None:
@@ -149,7 +158,10 @@ def write_index(index: Index, path: str, num_partitions: int | None = None) -> N
     row-group min/max statistics on ``term`` let a lookup read only the row
     groups of the query terms (SRC-7)."""
     p = index.postings
-    p = p.repartitionByRange(num_partitions, "term") if num_partitions else p.repartitionByRange("term")
+    # (term, doc_id) range keys: a hot term is split over several tasks/files
+    # while the files stay globally ordered by term.
+    p = (p.repartitionByRange(num_partitions, "term", "doc_id") if num_partitions
+         else p.repartitionByRange("term", "doc_id"))
     (p.sortWithinPartitions("term", "doc_id")
      .write.mode("overwrite").parquet(f"{path}/postings"))
     index.doc_stats.write.mode("overwrite").parquet(f"{path}/doc_stats")

@@ -65,7 +65,10 @@ def extract_corpus(pages: DataFrame, tag: str = "div", css_class: str | None = "
 def write_corpus(corpus: DataFrame, path: str) -> None:
     """SNK-7: one folder per artist (``artist=<name>/``), Parquet files with
     (title, text); the layout a corpus scan reads back by partition."""
-    corpus.repartition("artist").write.mode("overwrite").partitionBy("artist").parquet(path)
+    # Range keys (artist, title) keep each task to few artists (few files)
+    # while splitting a prolific artist over several tasks.
+    (corpus.repartitionByRange("artist", "title").write.mode("overwrite")
+     .partitionBy("artist").parquet(path))
 
 
 def flatten_listing(listings: DataFrame, json_col: str = "json") -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import (NON_WORD_CHAR, OP_AND, OP_NOT, OP_OR, WORD_CHAR, pretty_name,
                                     regex_quote, split_words)
+from tessera.operators.lookup import lookup
 
 SNIPPET_OFFSET = 20  # fixed value: characters of context before a match
 
@@ -43,8 +44,9 @@ def snippets(hits: DataFrame, docs: DataFrame, words: DataFrame,
     ``normalize`` maps a word column to its index form (default lower-case)."""
     norm = normalize or (lambda c: F.lower(c))
     w = words.select("query_id", "word_no", "word", norm(F.col("word")).alias("nword"))
-    # Hits are a ranked top-k table: bounded by (#queries x count).
-    h = hits.join(docs.select("doc_id", "path", "text"), "doc_id")
+    # Hits are a ranked top-k table (#queries x count): their documents are
+    # fetched by a pushed-down id filter, not by scanning every text.
+    h = hits.join(lookup(docs.select("doc_id", "path", "text"), hits), "doc_id")
     rows = h.join(w, "query_id").withColumn("__pat", snippet_pattern("nword"))
     # One regex evaluation per row: rewrite the lower-cased text into its four
     # groups separated by NUL, then measure the pieces.

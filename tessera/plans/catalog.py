@@ -86,11 +86,13 @@ def postings_tf(spark, sf_dir):
 
 
 @register("posting_lists", f"""WITH {index_ctes()}
-SELECT term, list(doc_id ORDER BY doc_id) AS doc_ids, list(tf ORDER BY doc_id) AS tfs FROM tf GROUP BY term""")
+SELECT term, CAST(doc_id // {I.POSTING_CHUNK} AS BIGINT) AS chunk, list(doc_id ORDER BY doc_id) AS doc_ids,
+       list(tf ORDER BY doc_id) AS tfs FROM tf GROUP BY term, doc_id // {I.POSTING_CHUNK}""")
 def posting_lists(spark, sf_dir):
-    """AGG-2 / SRT-3 / ARR-1: nested posting list per term, docs ascending."""
+    """AGG-2 / SRT-3 / ARR-1: nested posting list per term (in bounded doc-id
+    chunks), docs ascending."""
     p = I.posting_lists(_index(spark, sf_dir).postings)
-    return p.select("term", F.col("postings.doc_id").alias("doc_ids"), F.col("postings.tf").alias("tfs"))
+    return p.select("term", "chunk", F.col("postings.doc_id").alias("doc_ids"), F.col("postings.tf").alias("tfs"))
 
 
 @register("term_df", f"WITH {index_ctes()} SELECT term, df FROM dfs")
@@ -824,7 +826,7 @@ def corpus_roundtrip(spark, sf_dir):
 
     docs = read_corpus(spark, sf_dir)
     out = scratch_path(spark, "corpus")
-    docs.repartition("source").write.mode("overwrite").partitionBy("source").parquet(out)
+    docs.repartitionByRange("source", "doc_id").write.mode("overwrite").partitionBy("source").parquet(out)
     back = spark.read.parquet(out)
     lines = read_lines(back).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
     return back.select("doc_id", "source").join(lines, "doc_id").select("doc_id", "source", F.col("n_lines").cast("bigint"))
