@@ -1,11 +1,12 @@
-"""Point lookups of a few keys in a large table.
-
-Hits, rerank candidates and snippet documents are small, ranked key sets,
-while the table they index (documents with their text) is the largest in
-the system.  A broadcast join would still scan the whole table; when the key
-set is bounded (checked by a limited collect) its keys become a pushed-down
-``IN`` filter, so Parquet min/max statistics skip row groups and files.
-Beyond the bound the lookup is a semi-join and AQE picks the strategy.
+"""Small ranked key sets and point lookups into large tables.
+
+Hits, rerank candidates and snippet documents are small, ranked sets, while
+the table they index (documents with their text) is the largest in the
+system.  A broadcast join would still scan the whole table; when the set is
+bounded (checked by a limited collect) it is kept as a local relation (its
+plan is not re-run downstream) and its keys become a pushed-down ``IN``
+filter, so Parquet min/max statistics skip row groups and files.  Beyond the
+bound everything stays distributed (semi-join, AQE picks the strategy).
 """
 
 from __future__ import annotations
@@ -13,11 +14,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PUSHDOWN_KEYS = 10_000
+MAX_LOCAL_ROWS = 10_000
+
+
+def materialize_small(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame | None:
+    """``df`` as a local relation when it has at most ``max_rows`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def lookup(table: DataFrame, keys: DataFrame, key: str = "doc_id",
-           max_keys: int = MAX_PUSHDOWN_KEYS) -> DataFrame:
+           max_keys: int = MAX_LOCAL_ROWS) -> DataFrame:
     """Rows of ``table`` whose ``key`` appears in ``keys[key]``."""
     ks = keys.select(key).distinct().limit(max_keys + 1).collect()
     if len(ks) <= max_keys:

@@ -24,7 +24,7 @@ from tessera.functions.text import ml_negative_words, ml_positive
 from tessera.functions.vectors import EMBED_MAX_WORDS, hash_embed, sparse_norms
 from tessera.operators import boolean as B
 from tessera.operators.index import Index
-from tessera.operators.lookup import lookup
+from tessera.operators.lookup import lookup, materialize_small
 
 L0_SIZE = 100  # fixed value: candidates reranked
 L1_SIZE = 20   # fixed value: results shown
@@ -102,6 +102,7 @@ def ml_search(index: Index, docs: DataFrame, queries, l0: int = L0_SIZE, l1: int
         queries = index.postings.sparkSession.createDataFrame([(0, queries)], "query_id bigint, query string")
     parsed = parse_ml(queries, match)
     cands = l0_candidates(index, parsed, l0)
+    cands = materialize_small(cands) or cands
     if doc_vectors is None:
         cand_docs = lookup(docs, cands)
         doc_vectors = hash_embed(cand_docs, "doc_id", "text", max_words)

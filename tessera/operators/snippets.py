@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import (NON_WORD_CHAR, OP_AND, OP_NOT, OP_OR, WORD_CHAR, pretty_name,
                                     regex_quote, split_words)
-from tessera.operators.lookup import lookup
+from tessera.operators.lookup import lookup, materialize_small
 
 SNIPPET_OFFSET = 20  # fixed value: characters of context before a match
 
@@ -46,6 +46,7 @@ def snippets(hits: DataFrame, docs: DataFrame, words: DataFrame,
     w = words.select("query_id", "word_no", "word", norm(F.col("word")).alias("nword"))
     # Hits are a ranked top-k table (#queries x count): their documents are
     # fetched by a pushed-down id filter, not by scanning every text.
+    hits = materialize_small(hits) or hits
     h = hits.join(lookup(docs.select("doc_id", "path", "text"), hits), "doc_id")
     rows = h.join(w, "query_id").withColumn("__pat", snippet_pattern("nword"))
     # One regex evaluation per row: rewrite the lower-cased text into its four
