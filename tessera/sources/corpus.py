@@ -73,7 +73,8 @@ def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
     files = (spark.read.format("text").option("wholetext", True)
              .option("recursiveFileLookup", True).load(root)
              .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text")))
-    files = files.select(path_key(F.regexp_replace("file_path", "^file:", "")).alias("path"), "text")
+    # _metadata.file_path is a URI: percent-encoded ("Alice%20in%20Chains")
+    files = files.select(path_key(F.url_decode(F.regexp_replace("file_path", "^file:", ""))).alias("path"), "text")
     files = files.withColumn("source", source_of_path("path"))
     return ordinal(files, "path").select("doc_id", "source", "path", "text")
 
