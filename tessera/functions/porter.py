@@ -13,8 +13,6 @@ once, never each token occurrence.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -170,7 +168,6 @@ def _step5(b: _Word) -> None:
         b.end -= 1
 
 
-@lru_cache(maxsize=1 << 18)
 def porter_stem(word: str) -> str:
     """Stem one word (lower-cased first; words of <= 2 letters unchanged)."""
     w = word.lower()
@@ -194,8 +191,19 @@ def porter_stem(word: str) -> str:
 
 @F.pandas_udf(T.StringType())
 def porter_stem_udf(words: pd.Series) -> pd.Series:
-    """Arrow-batched stemmer; apply it to distinct words only."""
-    return words.map(lambda w: None if w is None else porter_stem(w))
+    """Arrow-batched stemmer; apply it to distinct words only (a per-batch
+    memo covers repeats)."""
+    memo: dict[str, str] = {}
+
+    def one(w):
+        if w is None:
+            return None
+        s = memo.get(w)
+        if s is None:
+            s = memo[w] = porter_stem(w)
+        return s
+
+    return words.map(one)
 
 
 def analyze(token, analyzer: str) -> Column:

@@ -64,3 +64,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Eager, reliable checkpoint of ``df`` into the shared checkpoint folder
+    (never ``localCheckpoint``: an executor loss must not lose the data)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

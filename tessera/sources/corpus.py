@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import path_key, source_of_path
+from tessera.session import reliable_checkpoint
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -56,8 +57,8 @@ def ordinal(df: DataFrame, order_col: str, out_col: str = "doc_id") -> DataFrame
     folder) so that recomputation after an executor loss cannot reorder it."""
     s = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
          .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mono", F.monotonically_increasing_id())
-         .checkpoint())
+         .withColumn("_mono", F.monotonically_increasing_id()))
+    s = reliable_checkpoint(s)
     s = s.withColumn("_local", F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
