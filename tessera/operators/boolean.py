@@ -58,37 +58,44 @@ def parse_boolean(queries: DataFrame, analyzer: str = "lower",
 
     literals: query_id, clause_no, lit_no, term, n_not, negative, scoring
     status:   query_id, status ('ok' | 'invalid'), n_literals
+
+    Each query is parsed by per-row array expressions: the literal number of
+    a word is the running count of ``AND``/``OR`` words up to it, the clause
+    number of a literal the running count of ``OR`` among the operators
+    before it.  No shuffle, no window: a table of queries is parsed where it
+    lies, whatever its size.
     """
-    toks = queries.select("query_id", F.posexplode(split_words("query")).alias("pos", "tok"))
-    running = Window.partitionBy("query_id").orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    is_or = (F.col("tok") == OP_OR).cast("int")
-    is_op = F.col("tok").isin(OP_OR, OP_AND).cast("int")
-    toks = (toks.withColumn("clause_no", F.sum(is_or).over(running))
-            .withColumn("lit_no", F.sum(is_op).over(running))
-            .withColumn("is_op", is_op))
-    words = toks.where(F.col("is_op") == 0)
-    lits = (words.groupBy("query_id", "clause_no", "lit_no")
-            .agg(F.sum((F.col("tok") == OP_NOT).cast("int")).alias("n_not"),
-                 F.max(F.when(F.col("tok") == OP_NOT, F.col("pos"))).alias("last_not"),
-                 F.sort_array(F.collect_list(F.struct("pos", "tok"))).alias("words")))
-    after_not = F.filter("words", lambda x: x["pos"] > F.coalesce(F.col("last_not"), F.lit(-1)))
-    lits = lits.withColumn("word", F.try_element_at(after_not, F.lit(1))["tok"]).drop("words", "last_not")
-    n_slots = toks.groupBy("query_id").agg((F.sum("is_op") + 1).alias("n_slots"))
-    n_valid = (lits.where(F.col("word").isNotNull()).groupBy("query_id")
-               .agg(F.count(F.lit(1)).alias("n_valid")))
-    status = (queries.select("query_id").join(n_slots, "query_id", "left")
-              .join(n_valid, "query_id", "left")
-              .select("query_id",
-                      F.when(F.col("n_valid").isNotNull() & (F.col("n_valid") == F.col("n_slots")),
-                             F.lit("ok")).otherwise(F.lit("invalid")).alias("status"),
-                      F.coalesce(F.col("n_slots"), F.lit(0)).cast("bigint").alias("n_literals")))
-    literals = (lits.join(status.where(F.col("status") == "ok").select("query_id"), "query_id", "left_semi")
-                .select("query_id", "clause_no", "lit_no",
-                        normalize_query_word(F.col("word"), analyzer, normalize_query).alias("term"),
-                        F.col("n_not").cast("int").alias("n_not"),
-                        ((F.col("n_not") % 2) == 1).alias("negative"),
-                        (F.col("n_not") == 0).alias("scoring")))
+    is_op = lambda t: t.isin(OP_AND, OP_OR)
+    toks = split_words("query")
+    ops = F.filter(toks, is_op)
+    # literal number of every word: operators seen so far (running count)
+    lit_of = F.transform(toks, lambda t, i: F.size(F.filter(F.slice(toks, 1, i + 1), is_op)))
+    tagged = F.zip_with(toks, lit_of, lambda t, n: F.struct(t.alias("tok"), n.alias("lit")))
+
+    def literal(n):
+        words = F.transform(F.filter(tagged, lambda z: (z["lit"] == n) & ~is_op(z["tok"])),
+                            lambda z: z["tok"])
+        from_end = F.array_position(F.reverse(words), OP_NOT)  # 1-based from the end, 0 if none
+        first_after = F.when(from_end == 0, F.lit(1)).otherwise(F.size(words) - from_end + 2)
+        return F.struct(
+            n.alias("lit_no"),
+            F.size(F.filter(F.slice(ops, 1, n), lambda o: o == OP_OR)).alias("clause_no"),
+            F.size(F.filter(words, lambda w: w == OP_NOT)).alias("n_not"),
+            F.try_element_at(words, first_after.cast("int")).alias("word"),
+        )
+
+    lits_arr = F.transform(F.sequence(F.lit(0), F.size(ops)), literal)
+    parsed = queries.select("query_id", lits_arr.alias("lits"), (F.size(ops) + 1).alias("n_slots"))
+    ok = F.forall("lits", lambda x: x["word"].isNotNull())
+    status = parsed.select("query_id", F.when(ok, F.lit("ok")).otherwise(F.lit("invalid")).alias("status"),
+                           F.col("n_slots").cast("bigint").alias("n_literals"))
+    lit = parsed.where(ok).select("query_id", F.explode("lits").alias("l")).select("query_id", "l.*")
+    literals = lit.select(
+        "query_id", F.col("clause_no").cast("bigint").alias("clause_no"), F.col("lit_no").cast("bigint").alias("lit_no"),
+        normalize_query_word(F.col("word"), analyzer, normalize_query).alias("term"),
+        F.col("n_not").cast("int").alias("n_not"),
+        ((F.col("n_not") % 2) == 1).alias("negative"),
+        (F.col("n_not") == 0).alias("scoring"))
     return literals, status
 
 
@@ -98,7 +105,8 @@ def _bounded(df: DataFrame, limit: int) -> bool:
 
 
 def _num_docs_df(index: Index, num_docs: int | None) -> DataFrame:
-    """AGG-5 as a one-row relation (computed inside the plan, no extra job)."""
+    """AGG-5 as a one-row relation (stored N, else computed inside the plan)."""
+    num_docs = num_docs if num_docs is not None else index.stored_num_docs
     if num_docs is not None:
         return index.postings.sparkSession.createDataFrame([(float(num_docs),)], "N double")
     return index.doc_stats.agg(F.count(F.lit(1)).cast("double").alias("N"))
@@ -120,6 +128,7 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
     rows = literals.limit(MAX_BROADCAST_LITERALS + 1).collect()
     small = len(rows) <= MAX_BROADCAST_LITERALS
     postings = index.postings
+    term_stats = index.stored_term_stats
     if small:
         n_pos: dict[tuple, int] = {}
         for r in rows:
@@ -135,6 +144,8 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
         terms = sorted({r["term"] for r in rows if r["term"] is not None})
         if len(terms) <= MAX_PUSHDOWN_TERMS:
             postings = postings.where(F.col("term").isin(terms))
+            if term_stats is not None:
+                term_stats = term_stats.where(F.col("term").isin(terms))
     else:
         clause_meta = (literals.groupBy("query_id", "clause_no")
                        .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
@@ -142,7 +153,7 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
         has_neg_only = True
     # df of the query terms only: partial aggregation collapses hot terms
     # before the exchange; one row per query term comes out.
-    df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df_t = term_stats if term_stats is not None else postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     lits = lits.join(df_t, "term", "left").crossJoin(F.broadcast(n_df))
     lits = F.broadcast(lits) if small else lits
 

@@ -35,13 +35,20 @@ class Index:
     postings: DataFrame
     doc_stats: DataFrame
     analyzer: str = "lower"
+    stored_term_stats: DataFrame | None = None  # (term, df) written with the index
+    stored_num_docs: int | None = None          # N written with the index
 
     def term_stats(self) -> DataFrame:
-        """AGG-4: document frequency per term (partial + final aggregate)."""
+        """AGG-4: document frequency per term (stored table, else a partial +
+        final aggregate over the postings)."""
+        if self.stored_term_stats is not None:
+            return self.stored_term_stats
         return self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
     def num_docs(self) -> int:
         """AGG-5: corpus size N."""
+        if self.stored_num_docs is not None:
+            return self.stored_num_docs
         return self.doc_stats.count()
 
 
@@ -164,17 +171,27 @@ def write_index(index: Index, path: str, num_partitions: int | None = None) -> N
          else p.repartitionByRange("term", "doc_id"))
     (p.sortWithinPartitions("term", "doc_id")
      .write.mode("overwrite").parquet(f"{path}/postings"))
-    index.doc_stats.write.mode("overwrite").parquet(f"{path}/doc_stats")
     spark = p.sparkSession
-    spark.createDataFrame([(index.analyzer,)], "analyzer string").coalesce(1) \
+    postings = spark.read.parquet(f"{path}/postings")
+    # Document frequencies, read back from the written postings (partial +
+    # final aggregate), stored sorted by term so a search looks up its terms
+    # by row-group pruning instead of aggregating postings at query time.
+    (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+     .repartitionByRange("term").sortWithinPartitions("term")
+     .write.mode("overwrite").parquet(f"{path}/term_stats"))
+    index.doc_stats.write.mode("overwrite").parquet(f"{path}/doc_stats")
+    n = spark.read.parquet(f"{path}/doc_stats").count()
+    spark.createDataFrame([(index.analyzer, n)], "analyzer string, num_docs bigint").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
 
 
 def read_index(spark, path: str) -> Index:
     """SRC-7: open a written index.  A missing path is an error (Q12 fix)."""
-    analyzer = spark.read.json(f"{path}/meta").first()["analyzer"]
+    meta = spark.read.schema("analyzer string, num_docs bigint").json(f"{path}/meta").first()
     return Index(spark.read.parquet(f"{path}/postings"),
-                 spark.read.parquet(f"{path}/doc_stats"), analyzer)
+                 spark.read.parquet(f"{path}/doc_stats"), meta["analyzer"],
+                 stored_term_stats=spark.read.parquet(f"{path}/term_stats"),
+                 stored_num_docs=int(meta["num_docs"]))
 
 
 def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
