@@ -162,26 +162,25 @@ def query_status(spark, sf_dir):
 
 # --- snippets ----------------------------------------------------------------
 
-def _snippet_sql(hits_sql: str, words: list[tuple[int, str]], offset: int = 20) -> str:
+def _snippet_sql(hits_sql: str, words_rel: str, offset: int = 20) -> str:
+    """Snippet CTEs over HT(query_id, rank, doc_id, score) and a words
+    relation (query_id, word_no, word); the pattern is built per word in SQL."""
     from tessera.functions.text import NON_WORD_CHAR, WORD_CHAR
 
-    sel = []
-    for no, word in words:
-        w = word.lower()
-        lead = f"(^|{NON_WORD_CHAR})" if w[:1].isalnum() or w[:1] == "_" else f"({WORD_CHAR})"
-        tail = f"{WORD_CHAR}*" if w[-1:].isalnum() or w[-1:] == "_" else f"{WORD_CHAR}+"
-        pat = "(?s)^(.*?)" + lead + "(\\Q" + w + "\\E" + tail + ")([^\n]*)"
-        sel.append(f"SELECT {no} AS word_no, {q(word)} AS word, {q(pat)} AS pat")
-    words_sql_ = " UNION ALL ".join(sel)
+    lead = (f"CASE WHEN regexp_matches(lower(word), {q('^' + WORD_CHAR)}) THEN {q('(^|' + NON_WORD_CHAR + ')')} "
+            f"ELSE {q('(' + WORD_CHAR + ')')} END")
+    tail = (f"CASE WHEN regexp_matches(lower(word), {q(WORD_CHAR + '$')}) THEN {q(WORD_CHAR + '*')} "
+            f"ELSE {q(WORD_CHAR + '+')} END")
+    pat = f"'(?s)^(.*?)' || {lead} || '(\\Q' || lower(word) || '\\E' || {tail} || ')([^' || chr(10) || ']*)'"
     return f"""HT AS ({hits_sql}),
-W AS ({words_sql_}),
+W AS (SELECT query_id, word_no, word, {pat} AS pat FROM {words_rel}),
 R AS (SELECT HT.query_id, HT.rank, HT.doc_id, HT.score, W.word_no, W.word, d.source, d.text,
              regexp_matches(lower(d.text), W.pat) AS found,
              length(regexp_extract(lower(d.text), W.pat, 1)) + length(regexp_extract(lower(d.text), W.pat, 2)) AS st,
              length(regexp_extract(lower(d.text), W.pat, 3)) AS ml,
              length(regexp_extract(lower(d.text), W.pat, 4)) AS al
-      FROM HT JOIN documents d ON d.doc_id = HT.doc_id CROSS JOIN W)
-SELECT query_id, rank, doc_id, score, CAST(word_no AS BIGINT) AS word_no, word,
+      FROM HT JOIN documents d ON d.doc_id = HT.doc_id JOIN W ON W.query_id = HT.query_id)
+SELECT CAST(query_id AS BIGINT) AS query_id, rank, doc_id, score, CAST(word_no AS BIGINT) AS word_no, word,
        source || ' - ' || CAST(doc_id AS VARCHAR) AS pretty_name, round(score, 3) AS relevance, found,
        CASE WHEN found THEN st > {offset} ELSE false END AS truncated,
        CASE WHEN found THEN substring(text, greatest(st - {offset}, 0) + 1, st - greatest(st - {offset}, 0)) END AS before,
@@ -199,7 +198,8 @@ hits AS (SELECT 0 AS query_id, doc_id, sum(s) AS score FROM (SELECT * FROM c1 UN
 
 
 @register("hit_snippets", _FLAGSHIP_HITS_SQL + ", " + _snippet_sql(
-    ranked_sql("hits", 10), [(0, "the"), (2, "of"), (4, "der"), (6, "und")]))
+    ranked_sql("hits", 10), values_sql([(0, 0, "the"), (0, 2, "of"), (0, 4, "der"), (0, 6, "und")],
+                                       "query_id, word_no, word")))
 def hit_snippets(spark, sf_dir):
     """CMP-5 / STR-8 / FLT-5 / PRJ-1 / PRJ-6: snippets of the flagship hits."""
     from tessera.operators.snippets import query_words, snippets
@@ -254,8 +254,12 @@ def _embed_words_sql(text: str, max_words: int | None) -> str:
 
 
 def _ml_search_sql(rows, match: str, l0: int = 100, l1: int = 20) -> str:
+    return f"WITH {_ml_ctes(rows, match, l0, l1)} SELECT * FROM MLR"
+
+
+def _ml_ctes(rows, match: str, l0: int = 100, l1: int = 20) -> str:
     op = " AND " if match == "all" else " OR "
-    return f"""WITH {index_ctes()},
+    return f"""{index_ctes()},
 {_ml_parsed_sql(values_sql(rows, 'query_id, query'))},
 BQ AS (SELECT query_id, replace(positive, ' ', {q(op)}) AS query FROM MP),
 {boolean_ctes('BQ')},
@@ -277,11 +281,11 @@ DT AS (SELECT CA.query_id, CA.doc_id, sum(QEV.cnt * DV.cnt) AS dot
        GROUP BY ALL),
 RS AS (SELECT CA.*, round(CASE WHEN QEN.sq * DN.sq > 0 THEN coalesce(DT.dot, 0) / sqrt(CAST(QEN.sq AS DOUBLE) * DN.sq) END, 6) AS cos_sim
        FROM CA LEFT JOIN DT ON DT.query_id = CA.query_id AND DT.doc_id = CA.doc_id
-       LEFT JOIN QEN ON QEN.id = CA.query_id LEFT JOIN DN ON DN.id = CA.doc_id)
-SELECT CAST(query_id AS BIGINT) AS query_id,
+       LEFT JOIN QEN ON QEN.id = CA.query_id LEFT JOIN DN ON DN.id = CA.doc_id),
+MLR AS (SELECT CAST(query_id AS BIGINT) AS query_id,
        row_number() OVER (PARTITION BY query_id ORDER BY cos_sim DESC NULLS LAST, l0_rank) - 1 AS rank,
        doc_id, CAST(l0_rank AS BIGINT) AS l0_rank, tfidf, cos_sim
-FROM RS QUALIFY rank < {l1}"""
+FROM RS QUALIFY rank < {l1})"""
 
 
 @register("ml_search_all", _ml_search_sql(ML_QUERIES, "all"))
@@ -921,3 +925,58 @@ def stream_index(spark, sf_dir):
     q_.awaitTermination()
     compact_index(spark, base, f"{base}/index")
     return I.read_index(spark, f"{base}/index").postings.select("term", "doc_id", "tf")
+
+
+@register("ml_snippets", f"""WITH {_ml_ctes(ML_QUERIES, "all")},
+MPW AS (SELECT query_id, unnest(generate_series(0, len(ws) - 1)) AS word_no, unnest(ws) AS word
+        FROM (SELECT query_id, {words_sql('positive')} AS ws FROM MP)),
+MPW2 AS (SELECT * FROM MPW WHERE word NOT IN ('AND', 'OR', 'NOT')),
+{_snippet_sql("SELECT query_id, rank, doc_id, cos_sim AS score FROM MLR", "MPW2")}""")
+def ml_snippets(spark, sf_dir):
+    """CMP-7 rendering: snippets of the reranked ML hits for the positive
+    query words only (Q21 fixed: negated words are not searched)."""
+    from tessera.operators.rerank import ml_search, parse_ml
+    from tessera.operators.snippets import query_words, snippets
+
+    docs = read_corpus(spark, sf_dir)
+    qdf = _queries_df(spark, ML_QUERIES)
+    res = ml_search(I.build_index(docs), docs, qdf, match="all")
+    hits = res.select("query_id", "rank", "doc_id", F.col("cos_sim").alias("score"))
+    words = query_words(parse_ml(qdf).select("query_id", F.col("positive").alias("query")))
+    return snippets(hits, docs, words)
+
+
+@register("source_boundaries", """WITH O AS (SELECT source, row_number() OVER (ORDER BY source || '/' || CAST(doc_id AS VARCHAR) || '.txt') - 1 AS o
+FROM documents),
+L AS (SELECT o, source, lag(source) OVER (ORDER BY o) AS prev FROM O)
+SELECT source, o AS start, prev AS prev_source FROM L WHERE prev IS NULL OR prev <> source""")
+def source_boundaries(spark, sf_dir):
+    """WIN-5: where the source changes in path order, with the previous
+    source — from the per-source ranges (AGG-10) joined end-to-start, not
+    from a window over the whole corpus."""
+    from tessera.operators.duplicates import source_ranges
+    from tessera.sources.corpus import ordinal
+
+    r = source_ranges(ordinal(read_corpus(spark, sf_dir), "path", "doc_ord"))
+    prev = r.select(F.col("end").alias("start"), F.col("source").alias("prev_source"))
+    return r.select("source", "start").join(prev, "start", "left").select("source", "start", "prev_source")
+
+
+@register("document_status", f"""WITH {_dup_pairs_sql()},
+QP AS (SELECT doc_id AS query_id, path AS req FROM DOCP
+       UNION ALL SELECT -1, 'nowhere/none.txt' UNION ALL SELECT -2, 'x/y/src0/999999999.txt'),
+HIT AS (SELECT QP.query_id, d.doc_id FROM QP LEFT JOIN DOCP d ON d.path = array_to_string(string_split(QP.req, '/')[-2:], '/'))
+SELECT CAST(query_id AS BIGINT) AS query_id,
+       CASE WHEN HIT.doc_id IS NULL THEN 'not_found'
+            WHEN HIT.doc_id NOT IN (SELECT doc_id FROM NB) THEN 'no_duplicates' ELSE 'ok' END AS status
+FROM HIT""")
+def document_status_q(spark, sf_dir):
+    """FLT-10 for CMP-12: 'not_found' / 'no_duplicates' / 'ok' for every
+    document path plus two unknown paths."""
+    from tessera.operators.duplicates import document_status
+
+    docs = read_corpus(spark, sf_dir)
+    extra = spark.createDataFrame([(-1, "nowhere/none.txt"), (-2, "x/y/src0/999999999.txt")],
+                                  "query_id bigint, path string")
+    paths = docs.select(F.col("doc_id").alias("query_id"), "path").unionByName(extra)
+    return document_status(_doc_neighbors(spark, sf_dir), docs, paths)
