@@ -151,6 +151,10 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
                        .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
         lits = literals.join(clause_meta, ["query_id", "clause_no"])
         has_neg_only = True
+    # Same filters on both uses of the postings (the join would otherwise
+    # infer an extra not-null filter), so an index built inside the query is
+    # computed once and its exchange reused by the df aggregation.
+    postings = postings.where(F.col("term").isNotNull())
     # df of the query terms only: partial aggregation collapses hot terms
     # before the exchange; one row per query term comes out.
     df_t = term_stats if term_stats is not None else postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -197,13 +201,33 @@ def score_hits(matches: DataFrame) -> DataFrame:
 def rank_hits(hits: DataFrame, count: int | None = 10, part: str = "query_id",
               score: str = "score", rank_col: str = "rank") -> DataFrame:
     """WIN-2 / SRT-4 / SRT-5: rank by score desc (rounded to 9 digits so every
-    engine agrees), ties by doc id; keep the first ``count``."""
+    engine agrees), ties by doc id; keep the first ``count``.
+
+    With a ``count`` the per-query ``row_number <= count`` runs as a partial
+    top-k before the exchange.  Without one, every hit is ranked by a global
+    range-partitioned sort and ordinal offsets (:func:`rank_all`), so a query
+    matching a third of the corpus is never sorted inside one task."""
     rounded = F.round(F.col(score), SCORE_DIGITS)
+    if count is None:
+        return rank_all(hits.withColumn(score, rounded), part, score, rank_col)
     w = Window.partitionBy(part).orderBy(rounded.desc(), F.col("doc_id").asc())
     out = hits.withColumn(score, rounded).withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    if count is not None:
-        out = out.where(F.col(rank_col) <= count)
-    return out
+    return out.where(F.col(rank_col) <= count)
+
+
+def rank_all(hits: DataFrame, part: str = "query_id", score: str = "score",
+             rank_col: str = "rank") -> DataFrame:
+    """Rank every hit within its ``part`` by (score desc, doc_id asc) without
+    a per-part window: global ordinal over the sorted hits minus the first
+    ordinal of the part (per-part minimum: partial aggregation; joined back
+    with a hot-key split)."""
+    from tessera.operators.skew import skew_split_join
+    from tessera.sources.corpus import ordinal
+
+    o = ordinal(hits, [F.col(part).asc(), F.col(score).desc(), F.col("doc_id").asc()], "_ord")
+    starts = o.groupBy(part).agg(F.min("_ord").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    j = skew_split_join(o, starts, part, "_n")
+    return j.withColumn(rank_col, (F.col("_ord") - F.col("_start") + 1).cast("bigint")).drop("_ord", "_start", "_n")
 
 
 def boolean_search(index: Index, queries, count: int | None = 10,

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.porter import porter_stem_udf
 from tessera.functions.text import index_tokens, pretty_name, split_words, word_count
+from tessera.operators.skew import skew_split_join
 
 
 @dataclass
@@ -67,13 +68,13 @@ def tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def stem_vocabulary(words: DataFrame, col: str = "token") -> DataFrame:
-    """Distinct words -> (token, term) via the Arrow Porter UDF.
+    """Distinct words -> (token, term, n) via the Arrow Porter UDF, with
+    ``n`` = rows of ``words`` carrying the word (used to split hot words off
+    when joining back, see :func:`tessera.operators.skew.skew_split_join`).
 
-    Python runs once per distinct word form; the result is joined back by the
-    caller.  The vocabulary is produced by a shuffle, so AQE sees its real size
-    and broadcasts it when small, or keeps a (skew-split) shuffle join."""
-    vocab = words.select(col).distinct()
-    return vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term"))
+    Python runs once per distinct word form."""
+    vocab = words.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term"), "n")
 
 
 def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text") -> Index:
@@ -96,7 +97,7 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
         raw = (base.select("doc_id", "doc_len", F.explode("toks").alias("token"))
                .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")))
         stems = stem_vocabulary(raw)
-        postings = (raw.join(stems, "token")
+        postings = (skew_split_join(raw, stems, "token", "n")
                     .groupBy("term", "doc_id", "doc_len").agg(F.sum("tf").alias("tf")))
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}")
@@ -206,7 +207,7 @@ def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
                         F.explode(split_words(pretty_name("path"))).alias("token"))
     if analyzer == "porter":
         stems = stem_vocabulary(names)
-        names = names.join(stems, "token")
+        names = skew_split_join(names, stems, "token", "n")
     else:
         names = names.withColumn("term", F.lower("token"))
     return (names.select("term", "doc_id", "doc_len").distinct()

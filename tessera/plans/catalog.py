@@ -110,10 +110,13 @@ def doc_word_count(spark, sf_dir):
 @register("tfidf_scores", f"WITH {index_ctes()} SELECT term, doc_id, round(score, 9) AS score FROM sc")
 def tfidf_scores(spark, sf_dir):
     """MTH-1 / JN-7 / AGG-5: tf-idf of every posting.  The df join is keyed
-    by term (a stop word is a hot key): AQE splits skewed partitions."""
+    by term and a stop word is a hot key: terms whose df exceeds the hot-row
+    bound are broadcast, the rest shuffle-joined (``skew_split_join``)."""
+    from tessera.operators.skew import skew_split_join
+
     idx = _index(spark, sf_dir)
     n = idx.num_docs()
-    return (idx.postings.join(idx.term_stats(), "term")
+    return (skew_split_join(idx.postings, idx.term_stats(), "term", "df")
             .select("term", "doc_id",
                     F.round(F.col("tf") / F.col("doc_len") * F.log2(F.lit(float(n)) / F.col("df")), 9)
                     .alias("score")))

@@ -48,14 +48,15 @@ def read_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_from_documents(read_table(spark, sf_dir, "documents"))
 
 
-def ordinal(df: DataFrame, order_col: str, out_col: str = "doc_id") -> DataFrame:
+def ordinal(df: DataFrame, order_col, out_col: str = "doc_id") -> DataFrame:
     """WIN-1 / SRT-1: dense 0-based ordinal by ``order_col`` without moving all
     rows into one partition: range-partition + sort, count rows per partition,
     prefix-sum the (few) partition counts, add the offset.
 
     The sorted data is checkpointed first (reliable checkpoint in the shared
     folder) so that recomputation after an executor loss cannot reorder it."""
-    s = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+    cols = order_col if isinstance(order_col, (list, tuple)) else [order_col]
+    s = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mono", F.monotonically_increasing_id()))
     s = reliable_checkpoint(s)

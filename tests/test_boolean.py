@@ -120,3 +120,20 @@ def test_merge_postings(micro_docs, micro_index):
     merged = I.merge_index(a, b)
     key = lambda df: sorted(tuple(r) for r in df.select("term", "doc_id", "tf", "doc_len").collect())
     assert key(merged.postings) == key(micro_index.postings)
+
+
+def test_skew_split_join_hot_path(spark):
+    from tessera.operators.skew import skew_split_join
+
+    big = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1), ("x", 2)], "k string, v bigint")
+    small = spark.createDataFrame([("hot", "H", 50), ("cold", "C", 1), ("x", "X", 1)], "k string, tag string, n bigint")
+    want = sorted(tuple(r) for r in big.join(small, "k").collect())
+    got = sorted(tuple(r) for r in skew_split_join(big, small, "k", "n", hot_rows=5).select(*big.join(small, "k").columns).collect())
+    assert got == want
+
+
+def test_rank_all_matches_window(spark, micro_index):
+    qdf = spark.createDataFrame([(0, "NOT star"), (1, "rain OR sun OR moon")], "query_id bigint, query string")
+    all_ranked = {(r.query_id, r.rank): (r.doc_id, r.score) for r in B.boolean_search(micro_index, qdf, count=None).collect()}
+    top = {(r.query_id, r.rank): (r.doc_id, r.score) for r in B.boolean_search(micro_index, qdf, count=100).collect()}
+    assert all_ranked == top and len(all_ranked) == 9
