@@ -151,10 +151,15 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
                        .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
         lits = literals.join(clause_meta, ["query_id", "clause_no"])
         has_neg_only = True
-    # Same filters on both uses of the postings (the join would otherwise
-    # infer an extra not-null filter), so an index built inside the query is
-    # computed once and its exchange reused by the df aggregation.
     postings = postings.where(F.col("term").isNotNull())
+    if term_stats is None and small:
+        # Index built inside this query (not read from storage): its postings
+        # of the query terms feed both the df aggregation and the matches, so
+        # materialise them once (reliable checkpoint in the shared folder)
+        # instead of tokenising the corpus twice.
+        from tessera.session import reliable_checkpoint
+
+        postings = reliable_checkpoint(postings)
     # df of the query terms only: partial aggregation collapses hot terms
     # before the exchange; one row per query term comes out.
     df_t = term_stats if term_stats is not None else postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
