@@ -44,24 +44,21 @@ def parse_ml(queries: DataFrame, match: str = "all") -> DataFrame:
 
 
 def l0_candidates(index: Index, parsed: DataFrame, l0: int = L0_SIZE) -> DataFrame:
-    """query_id, doc_id, tfidf, l0_rank (0-based) of the best ``l0`` matches."""
+    """query_id, doc_id, tfidf, l0_rank (0-based) of the best ``l0`` matches.
+
+    ``NOT x AND y`` (JN-4) is planned as negative literals: every negative
+    word is added to every clause of the positive part, so one literal table
+    drives one pass over the postings and a document is dropped when it
+    contains any negative word (a plain anti-join in effect; document 0 is
+    not special, Q2 fix).  Negative words are terms, never operators."""
     lits, _ = B.parse_boolean(parsed.select("query_id", F.col("boolean").alias("query")), index.analyzer)
-    hits = B.score_hits(B.literal_matches(index, lits))
-    neg_words = parsed.select("query_id", F.explode("negative").alias("word"))
-    neg_terms = neg_words.select("query_id", B.normalize_query_word(F.col("word"), index.analyzer).alias("term"))
-    # JN-4: NOT x AND y as an anti-join (document 0 is not special, Q2 fix).
-    # The negative-term table is size-checked; when small it is broadcast and
-    # its terms are pushed to the postings scan as ``term IN (...)``.
-    rows = neg_terms.limit(B.MAX_BROADCAST_LITERALS + 1).collect()
-    postings = index.postings
-    if len(rows) <= B.MAX_BROADCAST_LITERALS:
-        spark = index.postings.sparkSession
-        neg_terms = F.broadcast(spark.createDataFrame(rows, neg_terms.schema))
-        terms = sorted({r["term"] for r in rows if r["term"] is not None})
-        if len(terms) <= B.MAX_PUSHDOWN_TERMS:
-            postings = postings.where(F.col("term").isin(terms))
-    excluded = postings.join(neg_terms, "term").select("query_id", "doc_id")
-    hits = hits.join(excluded, ["query_id", "doc_id"], "left_anti")
+    clauses = lits.select("query_id", "clause_no").distinct()
+    neg = parsed.select("query_id", F.posexplode("negative").alias("i", "word"))
+    neg_lits = neg.join(clauses, "query_id").select(
+        "query_id", "clause_no", (F.lit(1_000_000) + F.col("i")).cast("bigint").alias("lit_no"),
+        B.normalize_query_word(F.col("word"), index.analyzer).alias("term"),
+        F.lit(1).alias("n_not"), F.lit(True).alias("negative"), F.lit(False).alias("scoring"))
+    hits = B.score_hits(B.literal_matches(index, lits.unionByName(neg_lits)))
     ranked = B.rank_hits(hits, l0, rank_col="l0_rank")
     return ranked.select("query_id", "doc_id", F.col("score").alias("tfidf"),
                          (F.col("l0_rank") - 1).alias("l0_rank"))
