@@ -48,13 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir`` when set; otherwise (local
     runs only) creates a scratch folder and registers it.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the context
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(path)
     return path
 
 

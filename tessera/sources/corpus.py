@@ -23,9 +23,12 @@ def spread(df: DataFrame) -> DataFrame:
     the default parallelism (a table stored as one Parquet row group is read
     by a single task).  A large input already has many more splits than cores
     and is left untouched, so this never adds a shuffle at scale."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
+        return df
+    if have < want:
         return df.repartition(want)
     return df
 
