@@ -13,13 +13,15 @@ literals (a repeated literal counts twice).  A query with an empty operand
 
 tf-idf of a (term, doc): ``tf / doc_len * log2(N / df)``.
 
-Plan: the query table becomes a literal table (window running counts), which
-is small and size-checked before it is broadcast.  Postings are read for the
-query terms only (``term IN (...)`` reaches the Parquet scan when the term set
-is small enough to list).  Matches of every literal of every query go through
-one union and two aggregations keyed by (query, clause, doc) and (query, doc);
-ranking is a per-query ``row_number`` that Spark turns into a partial +
-final ``WindowGroupLimit``, so no task ever holds all hits of a hot query.
+Plan: the query table becomes a literal table (per-row array expressions:
+running counts of operator words), which is size-checked before it is
+broadcast.  Postings — and, for a stored index, document frequencies — are
+read for the query terms only (``term IN (...)`` reaches the Parquet scans
+when the term set is small enough to list).  Matches of every literal of
+every query go through one union and two aggregations keyed by (query,
+clause, doc) and (query, doc) that share one exchange; ranking is a
+per-query ``row_number`` that Spark turns into a partial + final
+``WindowGroupLimit``, so no task ever holds all hits of a hot query.
 """
 
 from __future__ import annotations
