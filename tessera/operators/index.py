@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.porter import porter_stem_udf
-from tessera.functions.text import index_tokens, pretty_name, split_words, word_count
+from tessera.functions.text import index_tokens, pretty_name, split_words, strip_punctuation, word_count
 from tessera.operators.skew import skew_split_join
 
 
@@ -82,19 +82,23 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
 
     analyzer: ``lower`` (case folding only) or ``porter`` (case folding +
     Porter stem, the reference default)."""
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       word_count(text_col).alias("doc_len"),
-                       index_tokens(text_col).alias("toks"))
-    stats = base.select("doc_id", "doc_len")
+    # One whitespace split per document gives both the length (raw words,
+    # punctuation-only ones included) and the tokens (punctuation deleted per
+    # word, empty ones dropped) - the same tokens as deleting punctuation
+    # from the whole text first, since deletion never touches whitespace.
+    words = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), split_words(text_col).alias("w"))
+    stats = words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"))
+    toks = (words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"), F.explode("w").alias("w0"))
+            .select("doc_id", "doc_len", strip_punctuation("w0").alias("tok"))
+            .where(F.col("tok") != ""))
     if analyzer == "lower":
-        toks = base.select("doc_id", "doc_len", F.explode("toks").alias("tok"))
         postings = (toks.groupBy(F.lower("tok").alias("term"), "doc_id", "doc_len")
                     .agg(F.count(F.lit(1)).alias("tf")))
     elif analyzer == "porter":
         # Count raw word forms per document first (partial aggregation shrinks
         # the stream to postings), then map forms to stems and re-aggregate:
         # several forms of one stem in a document add up.
-        raw = (base.select("doc_id", "doc_len", F.explode("toks").alias("token"))
+        raw = (toks.withColumnRenamed("tok", "token")
                .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")))
         stems = stem_vocabulary(raw)
         postings = (skew_split_join(raw, stems, "token", "n")
