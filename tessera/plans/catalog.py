@@ -429,7 +429,7 @@ def knn_topk(spark, sf_dir):
     neighbours of every vector of the embeddings table."""
     from tessera.operators.knn import knn_exact
 
-    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K, block_rows=256)
+    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K)
 
 
 @register("knn_threshold", f"""WITH {_GIVEN_PAIRS_SQL}
@@ -439,7 +439,7 @@ def knn_threshold(spark, sf_dir):
     """VEC-6 / FLT-6: exact neighbours with cosine strictly above 0.4."""
     from tessera.operators.knn import knn_exact
 
-    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K, threshold=GIVEN_THRESHOLD, block_rows=256)
+    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K, threshold=GIVEN_THRESHOLD)
 
 
 def _dup_pairs_sql(threshold: float = 0.99, k: int = KNN_K) -> str:
