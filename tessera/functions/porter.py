@@ -14,7 +14,6 @@ once, never each token occurrence.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,12 +204,3 @@ def porter_stem_udf(words: pd.Series) -> pd.Series:
 
     return words.map(one)
 
-
-def analyze(token, analyzer: str) -> Column:
-    """Per-token normalisation that is a native expression.  ``porter`` is not
-    (see :func:`tessera.operators.index.stem_vocabulary`)."""
-    if analyzer in ("lower", "porter"):
-        return F.lower(token if isinstance(token, Column) else F.col(token))
-    if analyzer == "none":
-        return token if isinstance(token, Column) else F.col(token)
-    raise ValueError(f"unknown analyzer {analyzer!r}")

@@ -52,13 +52,6 @@ def sparse_norms(sparse: DataFrame) -> DataFrame:
     return sparse.groupBy("id").agg(F.sum(F.col("cnt") * F.col("cnt")).cast("bigint").alias("sq"))
 
 
-def densify(sparse: DataFrame, dim: int = EMBED_DIM) -> DataFrame:
-    """Sparse (id, bucket, cnt) -> dense (id, vec array<double>) of width dim."""
-    g = sparse.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "cnt"))).alias("m"))
-    return g.select("id", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                      lambda i: F.coalesce(F.col("m")[i], F.lit(0)).cast("double")).alias("vec"))
-
-
 def dot(a, b) -> Column:
     """VEC-4 building block: inner product of two array columns (double)."""
     ca = F.col(a) if isinstance(a, str) else a

@@ -101,11 +101,6 @@ def parse_boolean(queries: DataFrame, analyzer: str = "lower",
     return literals, status
 
 
-def _bounded(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def _num_docs_df(index: Index, num_docs: int | None) -> DataFrame:
     """AGG-5 as a one-row relation (stored N, else computed inside the plan)."""
     num_docs = num_docs if num_docs is not None else index.stored_num_docs

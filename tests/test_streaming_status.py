@@ -46,3 +46,29 @@ def test_entity_dedupe(spark):
     assert resolve_entities(seeds, hits).count() == 2
     assert [(r.seed, r.artist_id) for r in resolve_entities(seeds, hits, dedupe=True).collect()] == \
         [("Alice In Chains", 7)]
+
+
+def test_relevance_label_and_report_sink(spark, tmp_path):
+    from tessera.functions.text import relevance_label
+    from tessera.operators.duplicates import write_report
+
+    r = spark.createDataFrame([(0.5,)], "s double").select(relevance_label("s").alias("l")).first()
+    assert r.l == "[relevance = 0.500]"
+    rep = spark.createDataFrame([(1, "b/1.txt", 1, 2, "b/2.txt"), (1, "b/1.txt", 2, 5, "b/5.txt")],
+                                "doc_id bigint, path string, rank bigint, neighbor_id bigint, neighbor_path string")
+    out = str(tmp_path / "report")
+    write_report(rep, out)
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert lines == ["b/1.txt", "\tb/2.txt", "\tb/5.txt"]
+
+
+def test_search_hits_json(spark):
+    from tessera.operators.ingest import resolve_entities, search_hits
+
+    js = ('{"response": {"hits": [{"result": {"primary_artist": {"id": 1, "name": "ABBA Tribute"}}},'
+          ' {"result": {"primary_artist": {"id": 2, "name": "ABBA"}}}]}}')
+    ans = spark.createDataFrame([("abba", js)], "seed string, json string")
+    hits = search_hits(ans)
+    assert [(r.hit_pos, r.artist_id) for r in hits.collect()] == [(0, 1), (1, 2)]
+    seeds = spark.createDataFrame([("abba",)], "seed string")
+    assert [r.artist_id for r in resolve_entities(seeds, hits).collect()] == [2]
