@@ -54,8 +54,10 @@ def strip_punctuation(text) -> Column:
 
 
 def split_words(text) -> Column:
-    """STR-2: whitespace split with empty pieces removed (``str.split()``)."""
-    return F.filter(F.split(col_(text), WS_RUN), lambda x: x != F.lit(""))
+    """STR-2: whitespace split with empty pieces removed (``str.split()``).
+    ``array_remove`` keeps this inside whole-stage codegen (a lambda
+    ``filter`` would be evaluated interpretively)."""
+    return F.array_remove(F.split(col_(text), WS_RUN), "")
 
 
 def index_tokens(text) -> Column:

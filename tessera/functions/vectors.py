@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import reduced_text, split_words, strip_punctuation
+from tessera.functions.text import split_words, strip_punctuation
 
 EMBED_DIM = 768        # fixed value: embedding width
 EMBED_MAX_WORDS = 512  # fixed value: words embedded per document
@@ -30,19 +30,27 @@ def word_bucket(word, dim: int = EMBED_DIM) -> Column:
 
 
 def embed_words(text, max_words: int = EMBED_MAX_WORDS) -> Column:
-    """Words that feed the embedder (array<string>)."""
+    """The first ``max_words`` words of the reduced text (STR-9), before
+    normalisation.  Reducing (right-strip lines, drop empty ones, join with
+    spaces) only changes whitespace, so these are the first words of the
+    whitespace split of the text itself."""
     t = F.col(text) if isinstance(text, str) else text
-    words = split_words(reduced_text(t, max_words))
-    return F.filter(F.transform(words, lambda w: F.lower(strip_punctuation(w))), lambda w: w != F.lit(""))
+    words = split_words(t)
+    return F.slice(words, 1, max_words) if max_words > 0 else words
 
 
 def hash_embed(df: DataFrame, id_col: str, text_col: str, max_words: int = EMBED_MAX_WORDS,
                dim: int = EMBED_DIM) -> DataFrame:
-    """VEC-1 / AGG-13: sparse sum-pooled hash embedding (id, bucket, cnt).
+    """VEC-1 / AGG-13: sparse sum-pooled hash embedding (id, bucket, cnt):
+    each embedded word has its punctuation deleted and is lower-cased; words
+    left empty are skipped.
 
     Per-document work (explode + partial aggregate) stays in the task that
     holds the document; the exchange carries at most ``dim`` rows per doc."""
-    words = df.select(F.col(id_col).alias("id"), F.explode(embed_words(text_col, max_words)).alias("w"))
+    # explode_outer: see build_index (no inferred size filter below the spread)
+    words = (df.select(F.col(id_col).alias("id"), F.explode_outer(embed_words(text_col, max_words)).alias("w0"))
+             .select("id", F.lower(strip_punctuation("w0")).alias("w"))
+             .where(F.col("w") != ""))
     return (words.groupBy("id", word_bucket("w", dim).alias("bucket"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
 

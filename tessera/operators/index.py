@@ -61,10 +61,11 @@ def doc_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """D4: token stream (doc_id, pos, token) of raw (punctuation-free) tokens."""
+    # posexplode_outer + null filter: no inferred size filter pushed to the scan
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.posexplode(index_tokens(text_col)).alias("pos", "token"),
-    )
+        F.posexplode_outer(index_tokens(text_col)).alias("pos", "token"),
+    ).where(F.col("token").isNotNull())
 
 
 def stem_vocabulary(words: DataFrame, col: str = "token") -> DataFrame:
@@ -88,7 +89,11 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
     # from the whole text first, since deletion never touches whitespace.
     words = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), split_words(text_col).alias("w"))
     stats = words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"))
-    toks = (words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"), F.explode("w").alias("w0"))
+    # explode_outer (+ the non-empty filter, which also drops its NULL row):
+    # a plain explode makes Spark infer ``size(words) > 0`` and push it below
+    # the scan's round-robin spread, splitting every text twice, once in the
+    # scan task.
+    toks = (words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"), F.explode_outer("w").alias("w0"))
             .select("doc_id", "doc_len", strip_punctuation("w0").alias("tok"))
             .where(F.col("tok") != ""))
     if analyzer == "lower":
@@ -208,7 +213,8 @@ def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
     unchanged; ``doc_len`` is the text word count of the document."""
     names = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         word_count("text").alias("doc_len"),
-                        F.explode(split_words(pretty_name("path"))).alias("token"))
+                        F.explode_outer(split_words(pretty_name("path"))).alias("token")
+                        ).where(F.col("token").isNotNull())
     if analyzer == "porter":
         stems = stem_vocabulary(names)
         names = skew_split_join(names, stems, "token", "n")

@@ -86,7 +86,8 @@ def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
 
 def read_lines(docs: DataFrame) -> DataFrame:
     """SRC-2: (doc_id, line_no, line) — documents read line by line."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return (docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+            .where(F.col("line").isNotNull()))
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
