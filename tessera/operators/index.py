@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.porter import porter_stem_udf
 from tessera.functions.text import index_tokens, pretty_name, split_words, strip_punctuation, word_count
-from tessera.operators.skew import skew_split_join
 
 
 @dataclass
@@ -69,13 +68,10 @@ def tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def stem_vocabulary(words: DataFrame, col: str = "token") -> DataFrame:
-    """Distinct words -> (token, term, n) via the Arrow Porter UDF, with
-    ``n`` = rows of ``words`` carrying the word (used to split hot words off
-    when joining back, see :func:`tessera.operators.skew.skew_split_join`).
-
-    Python runs once per distinct word form."""
-    vocab = words.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term"), "n")
+    """Distinct words -> (token, term) via the Arrow Porter UDF.  Python runs
+    once per distinct word form, never per occurrence."""
+    vocab = words.select(col).distinct()
+    return vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term"))
 
 
 def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text") -> Index:
@@ -105,8 +101,12 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
         # several forms of one stem in a document add up.
         raw = (toks.withColumnRenamed("tok", "token")
                .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")))
+        # Hot word forms: the vocabulary is the output of a shuffle, so AQE
+        # sees its real size (broadcast when small) and splits skewed
+        # partitions of the sort-merge join otherwise; an explicit hot-key
+        # split would need a second tokenising pass to find the hot forms.
         stems = stem_vocabulary(raw)
-        postings = (skew_split_join(raw, stems, "token", "n")
+        postings = (raw.join(stems, "token")
                     .groupBy("term", "doc_id", "doc_len").agg(F.sum("tf").alias("tf")))
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}")
@@ -217,7 +217,7 @@ def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
                         ).where(F.col("token").isNotNull())
     if analyzer == "porter":
         stems = stem_vocabulary(names)
-        names = skew_split_join(names, stems, "token", "n")
+        names = names.join(stems, "token")
     else:
         names = names.withColumn("term", F.lower("token"))
     return (names.select("term", "doc_id", "doc_len").distinct()

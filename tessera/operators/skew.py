@@ -22,8 +22,13 @@ MAX_HOT_KEYS = 100_000
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, size_col: str,
-                    hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    hot = materialize_small(small.where(F.col(size_col) > hot_rows), max_hot_keys)
+                    hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
+                    sizes: DataFrame | None = None) -> DataFrame:
+    """``sizes`` (key, size_col): a cheap (materialised) table to find the hot
+    keys with; by default ``small`` itself, whose plan then runs once for the
+    detection.  Hot rows of ``small`` are broadcast inside the final plan."""
+    src = sizes if sizes is not None else small
+    hot = materialize_small(src.select(key, size_col).where(F.col(size_col) > hot_rows), max_hot_keys)
     if hot is None:  # more hot keys than the bound: let AQE split skewed partitions
         return big.join(small, key)
     keys = [r[key] for r in hot.select(key).collect()]
@@ -31,5 +36,5 @@ def skew_split_join(big: DataFrame, small: DataFrame, key: str, size_col: str,
         return big.join(small, key)
     big_hot = big.where(F.col(key).isin(keys))
     big_cold = big.where(~F.col(key).isin(keys))
-    cold = small.where(F.col(size_col) <= hot_rows)
-    return big_hot.join(F.broadcast(hot), key).unionByName(big_cold.join(cold, key))
+    return (big_hot.join(F.broadcast(small.where(F.col(key).isin(keys))), key)
+            .unionByName(big_cold.join(small.where(~F.col(key).isin(keys)), key)))

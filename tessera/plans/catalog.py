@@ -457,10 +457,13 @@ DOCP AS (SELECT doc_id, source, source || '/' || CAST(doc_id AS VARCHAR) || '.tx
 
 
 def _doc_neighbors(spark, sf_dir, method="exact") -> DataFrame:
+    """The near-duplicate table, materialised once (reliable checkpoint) as
+    the reference caches its duplicate map: the views join it several times."""
     from tessera.operators.duplicates import embed_corpus, find_duplicates
+    from tessera.session import reliable_checkpoint
 
     docs = read_corpus(spark, sf_dir)
-    return find_duplicates(embed_corpus(docs), method=method)
+    return reliable_checkpoint(find_duplicates(embed_corpus(docs), method=method))
 
 
 @register("near_duplicates", f"WITH {_dup_pairs_sql()} SELECT * FROM NB")
