@@ -986,3 +986,17 @@ def document_status_q(spark, sf_dir):
                                   "query_id bigint, path string")
     paths = docs.select(F.col("doc_id").alias("query_id"), "path").unionByName(extra)
     return document_status(_doc_neighbors(spark, sf_dir), docs, paths)
+
+
+@register("conversation_postings", f"""WITH CV AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS doc_id, text FROM conversations),
+{index_ctes('CV')}
+SELECT term, doc_id, tf FROM tf""")
+def conversation_postings(spark, sf_dir):
+    """CMP-3 over the second corpus: every conversation turn is a document;
+    doc ids are ordinals over (conv_id, turn) (WIN-1, no single-partition
+    window)."""
+    from tessera.sources.corpus import ordinal
+
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    docs = ordinal(conv, ["conv_id", "turn"], "doc_id")
+    return I.build_index(docs).postings.select("term", "doc_id", "tf")
