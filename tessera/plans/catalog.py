@@ -124,8 +124,9 @@ def tfidf_scores(spark, sf_dir):
 
 @register("postings_merge", f"WITH {index_ctes()} SELECT term, doc_id, tf FROM tf")
 def postings_merge(spark, sf_dir):
-    """AGG-3 / SET-5: index the two halves of the corpus (split by source)
-    separately, then merge the partial indexes."""
+    """AGG-3 / SET-5: index the two halves of the corpus (split by a hash of
+    the source; together they are the whole corpus) separately, then merge
+    the partial indexes."""
     docs = read_corpus(spark, sf_dir)
     half = F.crc32(F.col("source")) % 2 == 0
     a = I.build_index(docs.where(half))
@@ -829,8 +830,9 @@ def index_roundtrip(spark, sf_dir):
 
 @register("corpus_roundtrip", """SELECT doc_id, source, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM documents""")
 def corpus_roundtrip(spark, sf_dir):
-    """SNK-1 / SNK-7 / SRC-2 / PRJ-2: corpus written per source, re-read by
-    partition, read line by line (lines per document)."""
+    """SNK-1 / SNK-7 / SRC-2 / PRJ-2: corpus written partitioned by source,
+    re-read whole (source recovered from the partition folders), read line by
+    line (lines per document)."""
     from tessera.session import scratch_path
     from tessera.sources.corpus import read_lines
 
