@@ -51,6 +51,15 @@ class Index:
             return self.stored_num_docs
         return self.doc_stats.count()
 
+    def materialized(self) -> "Index":
+        """The same index with postings and document stats written once as
+        reliable checkpoints (shared checkpoint folder): for plans that read
+        an index built from raw text several times."""
+        from tessera.session import reliable_checkpoint
+
+        return Index(reliable_checkpoint(self.postings), reliable_checkpoint(self.doc_stats), self.analyzer,
+                     self.stored_term_stats, self.stored_num_docs)
+
 
 def doc_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """AGG-6: (doc_id, doc_len) — a projection, no shuffle."""

@@ -114,7 +114,7 @@ def tfidf_scores(spark, sf_dir):
     bound are broadcast, the rest shuffle-joined (``skew_split_join``)."""
     from tessera.operators.skew import skew_split_join
 
-    idx = _index(spark, sf_dir)
+    idx = _index(spark, sf_dir).materialized()
     n = idx.num_docs()
     return (skew_split_join(idx.postings, idx.term_stats(), "term", "df")
             .select("term", "doc_id",
@@ -576,7 +576,7 @@ def _term_sc_sql(term: str, alias: str) -> str:
 
 
 def _algebra(spark, sf_dir):
-    idx = _index(spark, sf_dir)
+    idx = _index(spark, sf_dir).materialized()  # several term lookups read it
     n = idx.num_docs()
     return idx, (lambda w: B.term_postings(idx, w, num_docs=n))
 
