@@ -475,9 +475,9 @@ def near_duplicates(spark, sf_dir):
 
 @register("near_duplicates_lsh")
 def near_duplicates_lsh(spark, sf_dir):
-    """CMP-9 / VEC-6 scalable path: SimHash LSH candidates (8 bands x 16
-    bits), exact cosine re-check, same output as ``near_duplicates`` up to
-    LSH recall (tested against the exact path)."""
+    """CMP-9 / VEC-6 scalable path: SimHash LSH candidates (bands derived
+    from the threshold), exact cosine re-check, same output as
+    ``near_duplicates`` up to LSH recall (tested against the exact path)."""
     return _doc_neighbors(spark, sf_dir, "lsh")
 
 
