@@ -473,6 +473,13 @@ def near_duplicates(spark, sf_dir):
     return _doc_neighbors(spark, sf_dir, "exact")
 
 
+@register("near_duplicates_auto", f"WITH {_dup_pairs_sql()} SELECT * FROM NB")
+def near_duplicates_auto(spark, sf_dir):
+    """CMP-9 with the library default ``method='auto'``: exact below the
+    size bound (as here), LSH above it."""
+    return _doc_neighbors(spark, sf_dir, "auto")
+
+
 @register("near_duplicates_lsh")
 def near_duplicates_lsh(spark, sf_dir):
     """CMP-9 / VEC-6 scalable path: SimHash LSH candidates (bands derived
