@@ -37,12 +37,21 @@ def snippet_pattern(word) -> F.Column:
 
 
 def snippets(hits: DataFrame, docs: DataFrame, words: DataFrame,
-             offset: int = SNIPPET_OFFSET, normalize=None) -> DataFrame:
+             offset: int = SNIPPET_OFFSET, analyzer: str = "lower", normalize=None) -> DataFrame:
     """hits(query_id, rank, doc_id, score) x words(query_id, word_no, word)
     -> one snippet row per (hit, word).
 
-    ``normalize`` maps a word column to its index form (default lower-case)."""
-    norm = normalize or (lambda c: F.lower(c))
+    The word is matched in its index form: lower-cased (``analyzer='lower'``)
+    or Porter-stemmed (``'porter'``, so the stem ``licens`` also finds
+    ``license``); ``normalize`` overrides with any column function."""
+    if normalize is not None:
+        norm = normalize
+    elif analyzer == "porter":
+        from tessera.functions.porter import porter_stem_udf
+
+        norm = porter_stem_udf
+    else:
+        norm = F.lower
     w = words.select("query_id", "word_no", "word", norm(F.col("word")).alias("nword"))
     # Hits are a ranked top-k table (#queries x count): their documents are
     # fetched by a pushed-down id filter, not by scanning every text.

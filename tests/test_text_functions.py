@@ -72,3 +72,15 @@ def test_html_element_text():
     assert element_text(html, "article", None) == "T&Aboldlinein[Chorus] end"
     assert element_text("<div class='lyrics x'>la</div>", "div", "lyrics") == "la"
     assert element_text("<p>none</p>", "div", "lyrics") is None
+
+
+def test_snippet_with_stemmed_word(spark):
+    from tessera.operators.snippets import snippets
+
+    docs = spark.createDataFrame([(1, "b/1.txt", "A license\nlicensed work")], "doc_id bigint, path string, text string")
+    hits = spark.createDataFrame([(0, 1, 1, 1.0)], "query_id bigint, rank bigint, doc_id bigint, score double")
+    words = spark.createDataFrame([(0, 0, "licensed")], "query_id bigint, word_no bigint, word string")
+    lower = snippets(hits, docs, words).first()
+    stem = snippets(hits, docs, words, analyzer="porter").first()
+    assert (lower.match_text, lower.before) == ("licensed", "A license\n")
+    assert (stem.match_text, stem.before, stem.after) == ("license", "A ", "")
