@@ -77,10 +77,15 @@ def tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def stem_vocabulary(words: DataFrame, col: str = "token") -> DataFrame:
-    """Distinct words -> (token, term) via the Arrow Porter UDF.  Python runs
-    once per distinct word form, never per occurrence."""
+    """Distinct words -> (token, term) via the Arrow Porter UDF, materialised
+    (reliable checkpoint).  Python runs once per distinct word form, never
+    per occurrence: without the checkpoint, a later filter on ``term`` (a
+    search's ``term IN (...)``) would be rewritten by Catalyst into a filter
+    on ``udf(token)`` over the raw token stream."""
+    from tessera.session import reliable_checkpoint
+
     vocab = words.select(col).distinct()
-    return vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term"))
+    return reliable_checkpoint(vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term")))
 
 
 def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text") -> Index:
