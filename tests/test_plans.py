@@ -57,3 +57,16 @@ def test_snippet_documents_fetched_by_id(spark):
     keys = spark.createDataFrame([(3,), (7,)], "doc_id bigint")
     plan = plan_of(lookup(docs, keys).select("doc_id", F.length("text")))
     assert re.search(r"PushedFilters: \[[^\]]*In\(doc_id", plan)
+
+
+def test_porter_search_keeps_stemmer_off_token_stream(spark):
+    """The stemmed vocabulary is materialised: filtering postings by stems
+    must not put the Python stemmer into the search plan (it would run per
+    token occurrence, carrying each document's word array)."""
+    from pyspark.sql import functions as F
+
+    from tessera.sources.corpus import read_corpus
+
+    idx = I.build_index(read_corpus(spark, "/root/testdata/sf0.001"), "porter")
+    plan = plan_of(idx.postings.where(F.col("term").isin("licens", "queen")))
+    assert "ArrowEvalPython" not in plan
