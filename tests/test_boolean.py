@@ -137,3 +137,25 @@ def test_rank_all_matches_window(spark, micro_index):
     all_ranked = {(r.query_id, r.rank): (r.doc_id, r.score) for r in B.boolean_search(micro_index, qdf, count=None).collect()}
     top = {(r.query_id, r.rank): (r.doc_id, r.score) for r in B.boolean_search(micro_index, qdf, count=100).collect()}
     assert all_ranked == top and len(all_ranked) == 9
+
+
+def test_measured_facts_sf001(spark):
+    """Numbers measured independently in FIXTURES §2 (documents, sf0.01)."""
+    import os
+
+    import pytest
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.exists(sf):
+        pytest.skip("test data missing")
+    from tessera.sources.corpus import read_corpus
+
+    idx = I.build_index(read_corpus(spark, sf))
+    q = spark.createDataFrame([(0, "the AND of OR der AND und"), (1, "the AND of"), (2, "der AND und"),
+                               (3, "NOT the"), (4, "queen")], "query_id bigint, query string")
+    hits = {r.query_id: r.n_hits for r in B.search_status(idx, q).collect()}
+    assert hits == {0: 683, 1: 569, 2: 117, 3: 385, 4: 23}
+    top = [(r.doc_id, round(r.score, 9)) for r in B.boolean_search(idx, "queen", count=5).orderBy("rank").collect()]
+    assert top == [(664, 0.050158731), (754, 0.049474748), (510, 0.041228957), (10, 0.038597321), (644, 0.03127714)]
+    assert idx.postings.count() == 249825
+    assert idx.postings.select("term").distinct().count() == 68785
