@@ -32,6 +32,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # checkpoint files of RDDs nobody references any more are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.log.level", "ERROR")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.structuredLogging.enabled", "false")
@@ -55,6 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path:  # set programmatically with sc.setCheckpointDir(...)
+            current = sc._jsc.sc().getCheckpointDir()
+            if not current.isEmpty():
+                path = current.get()
     if not path:
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
