@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tessera.llm._common import POLY, batch, map_arrow, mix, word_hashes, written
 
 BITS = 20
-SHARDS, ROUNDS, MAX_ROWS = 6, 4, 12_000
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.0
+SHARDS, ROUNDS, MAX_ROWS = 6, 5, 12_000
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.1, 0.0
 THRESHOLD = 0.3
 #: The skipped distances of pairs.
 GAPS = (1, 2)
@@ -48,11 +48,11 @@ def features(text: str | None) -> np.ndarray:
 class Ftrl:
     """State (z, n) of every coordinate."""
 
-    def __init__(self, z: np.ndarray, n: np.ndarray):
-        self.z, self.n = z, n
+    def __init__(self, z: np.ndarray, n: np.ndarray, l1: float):
+        self.z, self.n, self.l1 = z, n, l1
 
     def weights(self, at: np.ndarray) -> np.ndarray:
-        z, l1 = self.z[at], np.where(at == BIAS, 0.0, L1)
+        z, l1 = self.z[at], np.where(at == BIAS, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(self.n[at])) / ALPHA + L2))
 
     def learn(self, at: np.ndarray, label: int) -> None:
@@ -67,14 +67,14 @@ def probability(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _round(state):
+def _round(state, l1: float):
     schema = pa.schema([("at", pa.int32()), ("z", pa.float64()), ("n", pa.float64())])
 
     def run(batches):
         z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
         at, z0, n0 = state.value
         z[at], n[at] = z0, n0
-        model = Ftrl(z, n)
+        model = Ftrl(z, n, l1)
         for b in batches:
             for text, label in zip(b.column("text"), b.column("label").to_pylist(), strict=True):
                 model.learn(features(text.as_py()), label)
@@ -89,7 +89,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
     """(coordinates, weights) that are not zero.  ``labels`` (doc_id, toxic)."""
     spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    share = min(1.0, max_rows / max(1, known.count()))
+    total = known.count()
+    share = min(1.0, max_rows / max(1, total))
+    l1 = L1 * float(np.sqrt(min(total, max_rows) / SHARDS))
     order = F.pmod(F.xxhash64("doc_id"), F.lit(2**30))
     chosen = known.where(order < int(share * 2**30)).where("label in (0, 1)")
     # about max_rows short rows, a bound
@@ -99,12 +101,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(state)
         dealt = rows.repartition(SHARDS, F.pmod("order", F.lit(SHARDS))).sortWithinPartitions("order")
-        steps = map_arrow(dealt.select("text", "label"), _round(shared), "at int, z double, n double")
+        steps = map_arrow(dealt.select("text", "label"), _round(shared, l1), "at int, z double, n double")
         t = steps.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).orderBy("at").toArrow()  # at most 2**BITS + 1 rows
         state = (t.column("at").to_numpy().astype(np.int64), t.column("z").to_numpy(), t.column("n").to_numpy())
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
     z[state[0]], n[state[0]] = state[1], state[2]
-    w = Ftrl(z, n).weights(np.arange(BIAS + 1))
+    w = Ftrl(z, n, l1).weights(np.arange(BIAS + 1))
     at = np.flatnonzero(w)
     return at, w[at]
 
