@@ -63,10 +63,12 @@ def _kinds() -> np.ndarray:
     return _KINDS[0]
 
 
-def rules() -> dict[str, Column]:
+def rules(prefix: str = "") -> dict[str, Column]:
     """Votes over the counts (shares are cross-multiplied: no division).  Most
     rules know junk only and abstain otherwise."""
-    c = F.col
+    def c(name: str) -> Column:
+        return F.col(prefix + name)
+
     words, chars, letters, lines = c("n_words"), c("word_chars"), c("n_letters"), c("n_lines")
     junk = {
         "length": words < 10,
@@ -84,18 +86,21 @@ def rules() -> dict[str, Column]:
     return {k: F.when(v, F.lit(-1)).when(good.get(k, never), F.lit(1)).otherwise(F.lit(0)) for k, v in junk.items()}
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """A short row per document: doc_id, counts."""
-    names = (*BASE, *MORE)
-    schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names)])
+def measured(docs: DataFrame, carry: list[str], prefix: str = "") -> DataFrame:
+    """The columns ``carry``, the counts of ``text`` and the number of the vote
+    pattern (counts and pattern under ``prefix``)."""
+    counts = pa.schema([(prefix + n, pa.int64()) for n in (*BASE, *MORE)])
 
     def run(batches):
         for b in batches:
-            rows = [features(t.as_py()) for t in b.column("text")]
-            yield batch(schema, b.column("doc_id"), *zip(*rows, strict=True)) if rows else batch(schema, *([] for _ in schema))
+            rows = [features(t.as_py()) for t in b.column(b.num_columns - 1)]
+            cols = zip(*rows, strict=True) if rows else ([] for _ in counts)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array(c, pa.int64()) for c in cols)], names=[*b.schema.names[:-1], *counts.names])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_arrow(rows, run, ", ".join(f"{f} bigint" for f in schema.names))
+    rows = docs.select(*carry, F.col("text").alias(prefix + "_text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]] + [f"`{n}` bigint" for n in counts.names]
+    pattern = sum(((v + 1) * 3**k for k, v in enumerate(rules(prefix).values())), F.lit(0))
+    return map_arrow(rows, run, ", ".join(fields)).withColumn(prefix + "pattern", pattern.cast("int"))
 
 
 #: A junk vote is taken to be right at least so often.
@@ -131,18 +136,32 @@ def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float =
     return good, chance, float(share)
 
 
-def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, counts, base_failed, posterior, kept) per row of ``docs``."""
-    spark = docs.sparkSession
-    votes = rules()
-    # NULL shares cannot occur: all counts are numbers
-    pattern = sum(((v + 1) * 3**k for k, v in enumerate(votes.values())), F.lit(0))
-    rows = written(measured(docs).withColumn("pattern", pattern.cast("int")), "quality-counts")
-    seen = rows.groupBy("pattern").count().collect()  # at most 3 ** len(rules) rows
+def posteriors(rows: DataFrame, prefix: str = "") -> DataFrame:
+    """(pattern, posterior), from the pattern counts of all ``rows``."""
+    seen = rows.groupBy(prefix + "pattern").count().collect()  # at most 3 ** len(rules) rows
     ids = np.array([r[0] for r in seen], np.int64)
-    by_rule = np.stack([ids // 3**k % 3 - 1 for k in range(len(votes))], 1)
+    by_rule = np.stack([ids // 3**k % 3 - 1 for k in range(len(rules()))], 1)
     good = fit(by_rule, np.array([r[1] for r in seen], float))[0] if seen else []
-    table = spark.createDataFrame([(int(i), float(g)) for i, g in zip(ids, good, strict=True)], "pattern int, posterior double")
-    out = rows.join(F.broadcast(table), "pattern")
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return out.select("doc_id", *BASE, failed.alias("base_failed"), "posterior", (~failed & (F.col("posterior") >= threshold)).alias("kept"))
+    table = [(int(i), float(g)) for i, g in zip(ids, good, strict=True)]
+    return F.broadcast(rows.sparkSession.createDataFrame(table, f"`{prefix}pattern` int, `{prefix}posterior` double"))
+
+
+def _failed(prefix: str = "") -> Column:
+    words, repeat = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
+    return (words < 10) | (100 * repeat > 20 * words)
+
+
+def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, counts, base_failed, posterior, kept) per row of ``docs``."""
+    rows = written(measured(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), ["doc_id"]), "quality-counts")
+    out = rows.join(posteriors(rows), "pattern")
+    return out.select("doc_id", *BASE, _failed().alias("base_failed"), "posterior", (~_failed() & (F.col("posterior") >= threshold)).alias("kept"))
+
+
+def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns.  The texts are counted
+    twice instead of shuffled once."""
+    p = "_quality_"
+    table = posteriors(written(measured(docs, [], p).select(p + "pattern"), "quality-patterns"), p)
+    rows = measured(docs, docs.columns, p)
+    return rows.join(table, p + "pattern").where(~_failed(p) & (F.col(p + "posterior") >= threshold)).select(*docs.columns)

@@ -9,7 +9,9 @@ zero, so the broadcast model holds the others only, at most 2**BITS.
 The classifier is fitted on a bounded sample: labelled rows in the order of a
 hash, about ``max_rows`` of them.  They are dealt to ``SHARDS`` tasks; each
 round every task runs over its rows from the common state and Spark averages
-the states per coordinate.  Scoring covers every row, in tasks.
+the states per coordinate.  L1 grows with the root of a shard's rows, as the
+noise of a coordinate's summed gradients does.  Scoring covers every row, in
+tasks.
 
 Rows: NULL and empty texts have the bias alone, so score the base rate; labels
 that are NULL or belong to NULL ids are not learned from; the largest label of
