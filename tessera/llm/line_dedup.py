@@ -77,7 +77,8 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LI
     """``docs`` (doc_id, text, ...) with ``text`` freed of repeated chunks, plus
     n_lines and n_removed."""
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("_row"), id_key().alias("_d"), "text", *rest)
+    # in a struct no column of the input can clash with one of ours
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("_row"), id_key().alias("_d"), "text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_rest"))
 
     cut = docs.select(F.xxhash64("doc_id", "text").alias("_row"), F.explode(_let(_lines(), lambda lines: _chunks(lines, divisor, min_lines))).alias("c"))
     cut = written(cut.select("_row", "c.*").where("key is not null"), "line-chunks")
@@ -102,8 +103,8 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LI
     result = _let(_lines(), lambda lines: _let(F.coalesce(gone, F.array().cast("array<int>")), lambda g: freed(lines, g)))
     none = F.lit(0).cast("bigint")
     # a struct column, unfolded by a second projection: each field is read from the finished value
-    out = joined.join(owners, "_row", "left").select(*rest, F.explode(F.array(result)).alias("_r"))
-    return out.select(*rest, "_r.text", F.when(F.col("_r.text").isNull(), none).otherwise(F.col("_r.n_lines")).alias("n_lines"),
+    out = joined.join(owners, "_row", "left").select("_rest", F.explode(F.array(result)).alias("_r"))
+    return out.select("_rest.*", "_r.text", F.when(F.col("_r.text").isNull(), none).otherwise(F.col("_r.n_lines")).alias("n_lines"),
                       F.coalesce("_r.n_removed", none).alias("n_removed"))
 
 

@@ -93,9 +93,9 @@ def places(docs: DataFrame, targets: dict[str, int] = TARGETS, other: int = OTHE
 def mix(docs: DataFrame, targets: dict[str, int] = TARGETS, other: int = OTHER, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with mix_group, mix_block, mix_slot and on_target; order by
     (mix_slot, doc_id) to read the mixture."""
-    rest = docs.drop(*PLACE)
-    keyed = rest.withColumn("_row", F.xxhash64("doc_id", "text", "source"))
-    return keyed.join(places(docs, targets, other, block_rows), "_row").drop("_row")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in PLACE]
+    keyed = docs.select(F.xxhash64("doc_id", "text", "source").alias("_row"), F.struct(*rest).alias("_rest"))
+    return keyed.join(places(docs, targets, other, block_rows), "_row").select("_rest.*", *PLACE)
 
 
 def oracle(targets: dict[str, int] = TARGETS, other: int = OTHER, block_rows: int = BLOCK_ROWS) -> str:

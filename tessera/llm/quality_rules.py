@@ -162,6 +162,8 @@ def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns.  The texts are counted
     twice instead of shuffled once."""
     p = "_quality_"
+    while any(c.startswith(p) for c in docs.columns):
+        p = "_" + p
     table = posteriors(written(measured(docs, [], p).select(p + "pattern"), "quality-patterns"), p)
     rows = measured(docs, docs.columns, p)
     return rows.join(table, p + "pattern").where(~_failed(p) & (F.col(p + "posterior") >= threshold)).select(*docs.columns)
