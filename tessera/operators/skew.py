@@ -3,11 +3,12 @@
 ``skew_split_join(big, small, key, size_col)``: ``small`` has one row per key
 and knows how many ``big`` rows share it (``size_col``).  Keys above
 ``hot_rows`` are few by construction (their sizes add up to at most
-``|big|``, so there are at most ``|big| / hot_rows`` of them): their rows of
-``small`` are collected (size-checked) and broadcast, and the matching ``big``
-rows join them locally without a shuffle.  All other keys hold at most
-``hot_rows`` rows each, so the ordinary shuffle join of the rest has no hot
-partition.
+``|big|``, so there are at most ``|big| / hot_rows`` of them).  Their keys and
+their rows of ``small`` are written once and broadcast if the written bytes
+stay below ``MAX_BROADCAST_BYTES``; the matching ``big`` rows join them where
+they are, without a shuffle.  All other keys hold at most ``hot_rows`` rows
+each, so the shuffle join of the rest has no hot partition.  Hot rows are told
+apart by joins, never by literal lists, so keys of any type will do.
 """
 
 from __future__ import annotations
@@ -15,26 +16,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.lookup import materialize_small
+from tessera.session import scratch_path
 
 DEFAULT_HOT_ROWS = 200_000
-MAX_HOT_KEYS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+def written_bytes(df: DataFrame) -> int:
+    """Spark's size statistic of a scan of written files: their bytes."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder (survives a lost executor)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, size_col: str,
-                    hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
+                    hot_rows: int = DEFAULT_HOT_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
                     sizes: DataFrame | None = None) -> DataFrame:
     """``sizes`` (key, size_col): a cheap (materialised) table to find the hot
     keys with; by default ``small`` itself, whose plan then runs once for the
-    detection.  Hot rows of ``small`` are broadcast inside the final plan."""
+    detection."""
     src = sizes if sizes is not None else small
-    hot = materialize_small(src.select(key, size_col).where(F.col(size_col) > hot_rows), max_hot_keys)
-    if hot is None:  # more hot keys than the bound: let AQE split skewed partitions
+    keys = write_once(src.where(F.col(size_col) > hot_rows).select(key), "hot-keys")
+    if keys.isEmpty():
         return big.join(small, key)
-    keys = [r[key] for r in hot.select(key).collect()]
-    if not keys:
+    if written_bytes(keys) > max_bytes:
+        return big.join(small, key)  # AQE splits skewed partitions
+    hot = write_once(small.join(F.broadcast(keys), key, "left_semi").select(*small.columns), "hot-rows")
+    if written_bytes(hot) > max_bytes:
         return big.join(small, key)
-    big_hot = big.where(F.col(key).isin(keys))
-    big_cold = big.where(~F.col(key).isin(keys))
-    return (big_hot.join(F.broadcast(small.where(F.col(key).isin(keys))), key)
-            .unionByName(big_cold.join(small.where(~F.col(key).isin(keys)), key)))
+    out = big.join(F.broadcast(hot), key)
+    cold = (big.join(F.broadcast(keys), key, "left_anti")
+            .join(small.join(F.broadcast(keys), key, "left_anti"), key))
+    return out.unionByName(cold)
