@@ -17,16 +17,19 @@ from pyspark.sql import SparkSession
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tessera") -> SparkSession:
-    master = master or os.environ.get("TESSERA_MASTER") or "local[8]"
-    parts = shuffle_partitions or int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", "8"))
+    """A session with the settings that the plans rely on.
+
+    Settings of one machine (master, driver address and memory, few shuffle
+    partitions) are given only for a local master: the one asked for, or
+    ``local[8]`` if neither the caller, the environment nor ``spark-submit``
+    names any.  On a cluster its own settings hold."""
+    from pyspark import SparkConf
+
+    asked = master or os.environ.get("TESSERA_MASTER")
+    current = asked or SparkConf().get("spark.master", None) or "local[8]"
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.host", "127.0.0.1")
-        .config("spark.driver.bindAddress", "127.0.0.1")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -38,6 +41,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.structuredLogging.enabled", "false")
     )
+    parts = shuffle_partitions or os.environ.get("TESSERA_SHUFFLE_PARTITIONS")
+    if current == "local" or current.startswith("local["):
+        parts = parts or 8
+        builder = (
+            builder.config("spark.driver.host", "127.0.0.1")
+            .config("spark.driver.bindAddress", "127.0.0.1")
+            .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+        )
+        asked = asked or current
+    if asked:
+        builder = builder.master(asked)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -62,6 +78,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not current.isEmpty():
                 path = current.get()
     if not path:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
