@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import split_words, strip_punctuation
 
 EMBED_DIM = 768        # fixed value: embedding width
-EMBED_MAX_WORDS = 512  # fixed value: words embedded per document
+EMBED_MAX_WORDS = -1   # words embedded per document: all of them
 
 
 def word_bucket(word, dim: int = EMBED_DIM) -> Column:
@@ -30,8 +30,8 @@ def word_bucket(word, dim: int = EMBED_DIM) -> Column:
 
 
 def embed_words(text, max_words: int = EMBED_MAX_WORDS) -> Column:
-    """The first ``max_words`` words of the reduced text (STR-9), before
-    normalisation.  Reducing (right-strip lines, drop empty ones, join with
+    """The words of the reduced text (STR-9), only the first ``max_words`` if
+    that is positive, before normalisation.  Reducing (right-strip lines, drop empty ones, join with
     spaces) only changes whitespace, so these are the first words of the
     whitespace split of the text itself."""
     t = F.col(text) if isinstance(text, str) else text
@@ -56,8 +56,8 @@ def hash_embed(df: DataFrame, id_col: str, text_col: str, max_words: int = EMBED
 
 
 def sparse_norms(sparse: DataFrame) -> DataFrame:
-    """AGG-14: squared L2 norm per id (exact integer)."""
-    return sparse.groupBy("id").agg(F.sum(F.col("cnt") * F.col("cnt")).cast("bigint").alias("sq"))
+    """AGG-14: squared L2 norm per id (exact for counts)."""
+    return sparse.groupBy("id").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("sq"))
 
 
 def dot(a, b) -> Column:

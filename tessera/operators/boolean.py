@@ -16,8 +16,8 @@ tf-idf of a (term, doc): ``tf / doc_len * log2(N / df)``.
 Plan: the query table becomes a literal table (per-row array expressions:
 running counts of operator words), which is size-checked before it is
 broadcast.  Postings — and, for a stored index, document frequencies — are
-read for the query terms only (``term IN (...)`` reaches the Parquet scans
-when the term set is small enough to list).  Matches of every literal of
+read for the query terms only (the terms reach the Parquet scans as short
+ranges when the set is small enough to list, see ``lookup.key_filter``).  Matches of every literal of
 every query go through one union and two aggregations keyed by (query,
 clause, doc) and (query, doc) that share one exchange; ranking is a
 per-query ``row_number`` that Spark turns into a partial + final
@@ -33,11 +33,13 @@ from pyspark.sql import types as T
 from tessera.functions.porter import porter_stem_udf
 from tessera.functions.text import OP_AND, OP_NOT, OP_OR, split_words, strip_punctuation
 from tessera.operators.index import Index
+from tessera.operators.lookup import key_filter
 
 # Size bounds for the driver-side shortcuts; beyond them the plan stays fully
 # distributed (shuffle joins, AQE decides broadcast from measured sizes).
 MAX_BROADCAST_LITERALS = 200_000
 MAX_PUSHDOWN_TERMS = 5_000
+UNIVERSE_SALTS = 512
 SCORE_DIGITS = 9
 
 
@@ -140,9 +142,9 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
         has_neg_only = any(v == 0 for v in n_pos.values())
         terms = sorted({r["term"] for r in rows if r["term"] is not None})
         if len(terms) <= MAX_PUSHDOWN_TERMS:
-            postings = postings.where(F.col("term").isin(terms))
+            postings = postings.where(key_filter("term", terms))
             if term_stats is not None:
-                term_stats = term_stats.where(F.col("term").isin(terms))
+                term_stats = term_stats.where(key_filter("term", terms))
     else:
         clause_meta = (literals.groupBy("query_id", "clause_no")
                        .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
@@ -179,9 +181,14 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
     # candidate hit of such a clause, so the output is proportional to the
     # answer, never to all pairs of anything.
     neg_only = clause_meta.where(F.col("n_pos") == 0)
+    docs = index.doc_stats.select("doc_id")
     if small:
-        neg_only = F.broadcast(neg_only)
-    universe = index.doc_stats.select("doc_id").crossJoin(neg_only).select(
+        ranged = docs.crossJoin(F.broadcast(neg_only))
+    else:  # an equi-join on a salt: documents are dealt out, clauses copied
+        salts = F.lit(UNIVERSE_SALTS)
+        dealt = docs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int"))
+        ranged = dealt.join(neg_only.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))), "salt")
+    universe = ranged.select(
         "query_id", "clause_no", "doc_id", "n_pos",
         F.lit(0).alias("pos_hit"), F.lit(0).alias("neg_hit"), F.lit(0.0).alias("contrib"))
     return matches.unionByName(universe)
@@ -265,10 +272,13 @@ def term_postings(index: Index, word: str, num_docs: int | None = None,
     spark = index.postings.sparkSession
     n = num_docs if num_docs is not None else index.num_docs()
     term = spark.createDataFrame([(word,)], "word string").select(
-        normalize_query_word(F.col("word"), index.analyzer, normalize_query).alias("term"))
-    p = index.postings.join(F.broadcast(term), "term")
-    df_t = p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return (p.join(F.broadcast(df_t), "term")
+        normalize_query_word(F.col("word"), index.analyzer, normalize_query)).first()[0]
+    # a literal: Parquet reads only the row groups that can hold the term
+    p = index.postings.where(F.col("term") == F.lit(term))
+    stats = index.stored_term_stats
+    df_t = (p.groupBy("term").agg(F.count(F.lit(1)).alias("df")) if stats is None
+            else stats.where(F.col("term") == F.lit(term)))
+    return (p.join(F.broadcast(df_t), "term")  # one row
             .select("doc_id", (F.col("tf") / F.col("doc_len") * F.log2(F.lit(float(n)) / F.col("df")))
                     .alias("score")))
 

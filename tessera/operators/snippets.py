@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import (NON_WORD_CHAR, OP_AND, OP_NOT, OP_OR, WORD_CHAR, pretty_name,
                                     regex_quote, split_words)
-from tessera.operators.lookup import lookup, materialize_small
+from tessera.operators.lookup import lookup, settle
 
 SNIPPET_OFFSET = 20  # fixed value: characters of context before a match
 
@@ -55,15 +55,13 @@ def snippets(hits: DataFrame, docs: DataFrame, words: DataFrame,
     w = words.select("query_id", "word_no", "word", norm(F.col("word")).alias("nword"))
     # Hits are a ranked top-k table (#queries x count): their documents are
     # fetched by a pushed-down id filter, not by scanning every text.
-    hits = materialize_small(hits) or hits
+    hits = settle(hits)
     h = hits.join(lookup(docs.select("doc_id", "path", "text"), hits), "doc_id")
     rows = h.join(w, "query_id").withColumn("__pat", snippet_pattern("nword"))
-    # One regex evaluation per row: rewrite the lower-cased text into its four
-    # groups separated by NUL, then measure the pieces.
-    parts = F.split(F.regexp_replace(F.lower("text"), F.concat(F.col("__pat"), F.lit(".*$")),
-                                     F.lit("$1\u0000$2\u0000$3\u0000$4")), "\u0000")
-    rows = rows.withColumn("__parts", parts)
-    found = F.size("__parts") == 4
+    # the four groups of the first match; hits are a small table
+    group = lambda i: F.expr(f"regexp_extract(lower(text), __pat, {i})")
+    rows = rows.withColumn("__parts", F.when(F.expr("lower(text) rlike __pat"), F.array(*map(group, range(1, 5)))))
+    found = F.col("__parts").isNotNull()
     start = F.length(F.col("__parts")[0]) + F.length(F.col("__parts")[1])  # 0-based match start
     mlen = F.length(F.col("__parts")[2])
     alen = F.length(F.col("__parts")[3])
