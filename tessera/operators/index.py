@@ -128,26 +128,30 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
     return Index(postings=postings, doc_stats=stats, analyzer=analyzer)
 
 
-def merge_blocks(postings: DataFrame) -> DataFrame:
-    """AGG-3 / SET-5: postings of any number of partial indexes (blocks)
-    stacked together -> one index; tf of a (term, doc) seen in several blocks
-    adds up.  Spark runs it as partial + final hash aggregation (the k-way
-    block merge of SPIMI)."""
-    cols = ["term", "doc_id", "doc_len"]
-    return (postings.groupBy(*cols).agg(F.sum("tf").cast("bigint").alias("tf"))
-            .select("term", "doc_id", "tf", "doc_len"))
+def merge_stats(stats: DataFrame) -> DataFrame:
+    """Document lengths of stacked partial indexes: a document that lies in
+    several blocks has the sum of its parts."""
+    return stats.groupBy("doc_id").agg(F.sum("doc_len").cast("bigint").alias("doc_len"))
 
 
-def merge_postings(a: DataFrame, b: DataFrame) -> DataFrame:
-    """AGG-3: merge two partial indexes."""
-    cols = ["term", "doc_id", "doc_len", "tf"]
-    return merge_blocks(a.select(*cols).unionByName(b.select(*cols)))
+def merge_blocks(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    """AGG-3 / SET-5: postings of any number of partial indexes (blocks)
+    stacked together -> one index; tf of a (term, doc) seen in several blocks
+    adds up, and so does the document's length (``stats``: merged doc_id,
+    doc_len).  Spark runs it as partial + final hash aggregation (the k-way
+    block merge of SPIMI) and one join on the document."""
+    tf = postings.groupBy("term", "doc_id").agg(F.sum("tf").cast("bigint").alias("tf"))
+    return tf.join(stats, "doc_id").select("term", "doc_id", "tf", "doc_len")
 
 
 def merge_index(a: Index, b: Index) -> Index:
-    """Merge two indexes over disjoint document sets."""
-    stats = a.doc_stats.unionByName(b.doc_stats)
-    return Index(merge_postings(a.postings, b.postings), stats, a.analyzer)
+    """Merge two indexes; their documents may overlap (a document cut into two
+    blocks, as a block flushed in its middle leaves it)."""
+    if a.analyzer != b.analyzer:
+        raise ValueError(f"indexes with different analyzers: {a.analyzer!r}, {b.analyzer!r}")
+    cols = ["term", "doc_id", "tf"]
+    stats = merge_stats(a.doc_stats.unionByName(b.doc_stats))
+    return Index(merge_blocks(a.postings.select(*cols).unionByName(b.postings.select(*cols)), stats), stats, a.analyzer)
 
 
 # Doc ids per row of the nested export views: a stop word sits in most
