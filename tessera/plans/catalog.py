@@ -122,16 +122,28 @@ def tfidf_scores(spark, sf_dir):
                     .alias("score")))
 
 
-@register("postings_merge", f"WITH {index_ctes()} SELECT term, doc_id, tf FROM tf")
+def _cut_documents(docs: DataFrame) -> list[DataFrame]:
+    """Every document in two: its even and its odd lines."""
+    def part(odd: int):
+        lines = F.filter(F.split("text", "\n", -1), lambda x, i: i % 2 == odd)
+        return docs.withColumn("text", F.array_join(lines, "\n"))
+
+    return [part(0), part(1)]
+
+
+@register("postings_merge", f"WITH {index_ctes()} SELECT term, doc_id, tf, doc_len FROM tf JOIN dl USING (doc_id)")
 def postings_merge(spark, sf_dir):
-    """AGG-3 / SET-5: index the two halves of the corpus (split by a hash of
-    the source; together they are the whole corpus) separately, then merge
-    the partial indexes."""
-    docs = read_corpus(spark, sf_dir)
-    half = F.crc32(F.col("source")) % 2 == 0
-    a = I.build_index(docs.where(half))
-    b = I.build_index(docs.where(~half))
-    return I.merge_index(a, b).postings.select("term", "doc_id", "tf")
+    """AGG-3 / SET-5: two blocks that hold the even and the odd lines of every
+    document, indexed separately, then merged: tf and length add up."""
+    a, b = map(I.build_index, _cut_documents(read_corpus(spark, sf_dir)))
+    return I.merge_index(a, b).postings.select("term", "doc_id", "tf", "doc_len")
+
+
+@register("merged_term_df", f"WITH {index_ctes()} SELECT term, df FROM dfs")
+def merged_term_df(spark, sf_dir):
+    """AGG-4 of the merged index: a document in both blocks counts once."""
+    a, b = map(I.build_index, _cut_documents(read_corpus(spark, sf_dir)))
+    return I.merge_index(a, b).term_stats().select("term", "df")
 
 
 # --- Boolean search ----------------------------------------------------------
@@ -273,7 +285,7 @@ H2 AS (SELECT * FROM H WHERE NOT EXISTS (SELECT 1 FROM EX WHERE EX.query_id = H.
 CA AS (SELECT query_id, doc_id, round(score, 9) AS tfidf,
               row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) - 1 AS l0_rank
        FROM H2 QUALIFY l0_rank < {l0}),
-DW AS (SELECT doc_id AS id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents
+DW AS (SELECT doc_id AS id, unnest({_embed_words_sql('text', None)}) AS w FROM documents
        WHERE doc_id IN (SELECT doc_id FROM CA)),
 DV AS (SELECT id, {_bucket_sql('w')} AS bucket, count(*) AS cnt FROM DW GROUP BY ALL),
 QEW AS (SELECT query_id AS id, unnest({_embed_words_sql('positive', None)}) AS w FROM MP),
@@ -346,17 +358,29 @@ def reduced_text_q(spark, sf_dir):
 
 @register("hash_embedding", f"""SELECT id AS doc_id, bucket, CAST(count(*) AS BIGINT) AS cnt
 FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
-      FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents))
+      FROM (SELECT doc_id, unnest({_embed_words_sql('text', None)}) AS w FROM documents))
 GROUP BY ALL""")
 def hash_embedding(spark, sf_dir):
     """CMP-8 / VEC-1 / AGG-13: sparse sum-pooled hash embedding of every
-    document (first 512 words)."""
+    document, whole texts."""
     from tessera.functions.vectors import hash_embed
 
     d = read_table(spark, sf_dir, "documents")
     return hash_embed(d, "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
+@register("hash_embedding_cut", f"""SELECT id AS doc_id, bucket, CAST(count(*) AS BIGINT) AS cnt
+FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
+      FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents))
+GROUP BY ALL""")
+def hash_embedding_cut(spark, sf_dir):
+    """VEC-1 with the user's option to embed the first 512 words only."""
+    from tessera.functions.vectors import hash_embed
+
+    d = read_table(spark, sf_dir, "documents")
+    return hash_embed(d, "doc_id", "text", max_words=512).withColumnRenamed("id", "doc_id")
+
+
 @register("l2_normalize", """SELECT vec_id,
   list_transform(embedding::DOUBLE[], lambda x: round(CASE WHEN n = 0 THEN 0.0 ELSE x / n END, 6)) AS unit,
   round(n, 6) AS norm
@@ -379,29 +403,21 @@ QV AS (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 0),
 S AS (SELECT C.*, round(list_reduce(list_transform(list_zip(e.embedding::DOUBLE[], QV.qv), lambda p: p[1] * p[2]), lambda a, b: a + b, 0.0)
                   / (sqrt(list_reduce(list_transform(e.embedding::DOUBLE[], lambda x: x * x), lambda a, b: a + b, 0.0))
                      * sqrt(list_reduce(list_transform(QV.qv, lambda x: x * x), lambda a, b: a + b, 0.0))), 6) AS cos_sim
-      FROM C JOIN embeddings e ON e.vec_id = C.doc_id CROSS JOIN QV)
+      FROM C LEFT JOIN embeddings e ON e.vec_id = C.doc_id CROSS JOIN QV)
 SELECT CAST(query_id AS BIGINT) AS query_id,
        row_number() OVER (ORDER BY cos_sim DESC NULLS LAST, l0_rank) - 1 AS rank,
        doc_id, CAST(l0_rank AS BIGINT) AS l0_rank, tfidf, cos_sim
-FROM S QUALIFY rank < 20""")
+FROM S""")
 def rerank_given_vectors(spark, sf_dir):
-    """JN-8 / VEC-4: L0 candidates of ``the`` joined to the given embeddings
-    table (vec_id = doc_id) and reranked by cosine to the vector vec_id = 0."""
-    from tessera.functions.vectors import cosine
+    """CMP-7 / JN-8 / VEC-4 with given dense vectors: the L0 candidates of
+    ``the``, reranked by the cosine of their row of ``embeddings`` (vec_id =
+    doc_id) to the vector vec_id = 0 as the query's; all 100 candidates, those
+    without a vector last."""
+    from tessera.operators.rerank import ml_search
 
     docs = read_corpus(spark, sf_dir)
-    idx = I.build_index(docs)
-    lits, _ = B.parse_boolean(_queries_df(spark, [(0, "the")]), idx.analyzer)
-    hits = B.rank_hits(B.score_hits(B.literal_matches(idx, lits)), 100, rank_col="l0_rank")
-    cands = hits.select("query_id", "doc_id", F.col("score").alias("tfidf"), (F.col("l0_rank") - 1).alias("l0_rank"))
-    emb = read_table(spark, sf_dir, "embeddings")
-    qv = emb.where(F.col("vec_id") == 0).select(F.col("embedding").alias("qv"))
-    # candidates are a top-100 list: broadcast-sized by construction
-    j = F.broadcast(cands).join(emb, F.col("doc_id") == F.col("vec_id")).crossJoin(F.broadcast(qv))
-    j = j.withColumn("cos_sim", F.round(cosine("embedding", "qv"), 6))
-    w = Window.partitionBy("query_id").orderBy(F.col("cos_sim").desc_nulls_last(), F.col("l0_rank"))
-    return (j.withColumn("rank", (F.row_number().over(w) - 1).cast("bigint")).where(F.col("rank") < 20)
-            .select("query_id", "rank", "doc_id", F.col("l0_rank").cast("bigint").alias("l0_rank"), "tfidf", "cos_sim"))
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return ml_search(I.build_index(docs), docs, "the", l0=100, l1=100, doc_vectors=emb, query_vectors=emb.where(F.col("id") == 0))
 
 
 # --- kNN and near-duplicates -------------------------------------------------
@@ -446,7 +462,7 @@ def knn_threshold(spark, sf_dir):
 def _dup_pairs_sql(threshold: float = 0.99, k: int = KNN_K) -> str:
     return f"""V AS (SELECT id, bucket, count(*) AS cnt FROM (
         SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
-        FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents)) GROUP BY ALL),
+        FROM (SELECT doc_id, unnest({_embed_words_sql('text', None)}) AS w FROM documents)) GROUP BY ALL),
 NQ AS (SELECT id, sum(cnt * cnt) AS sq FROM V GROUP BY id),
 DP AS (SELECT a.id AS doc_id, b.id AS neighbor_id, sum(a.cnt * b.cnt) AS dot
        FROM V a JOIN V b ON a.bucket = b.bucket AND a.id <> b.id GROUP BY ALL),
@@ -473,11 +489,14 @@ def near_duplicates(spark, sf_dir):
     return _doc_neighbors(spark, sf_dir, "exact")
 
 
-@register("near_duplicates_auto", f"WITH {_dup_pairs_sql()} SELECT * FROM NB")
-def near_duplicates_auto(spark, sf_dir):
-    """CMP-9 with the library default ``method='auto'``: exact below the
-    size bound (as here), LSH above it."""
-    return _doc_neighbors(spark, sf_dir, "auto")
+@register("near_duplicates_cells", f"WITH {_dup_pairs_sql(0.9)} SELECT * FROM NB")
+def near_duplicates_cells(spark, sf_dir):
+    """CMP-9 / VEC-6 at 0.9 with small cells and blocks: many pivots, guests
+    in foreign cells and cut cells; the oracle is the plain pair search."""
+    from tessera.operators.duplicates import embed_corpus, find_duplicates
+
+    vectors = embed_corpus(read_corpus(spark, sf_dir))
+    return find_duplicates(vectors, threshold=0.9, collapse_copies=False, cell_rows=100, block_rows=64)
 
 
 @register("near_duplicates_lsh", f"WITH {_dup_pairs_sql()} SELECT * FROM NB")
@@ -546,7 +565,7 @@ def source_ranges_q(spark, sf_dir):
     from tessera.operators.duplicates import source_ranges
     from tessera.sources.corpus import ordinal
 
-    docs = ordinal(read_corpus(spark, sf_dir), "path", "doc_ord")
+    docs = ordinal(read_corpus(spark, sf_dir).select("source", "path"), "path", "doc_ord")
     return source_ranges(docs).select("source", "start", "end", F.col("n_docs").cast("bigint"))
 
 
@@ -557,7 +576,7 @@ def doc_ordinal(spark, sf_dir):
     without a single-partition window."""
     from tessera.sources.corpus import ordinal
 
-    return ordinal(read_corpus(spark, sf_dir), "path", "doc_ord").select("doc_id", "path", "doc_ord")
+    return ordinal(read_corpus(spark, sf_dir).select("doc_id", "path"), "path", "doc_ord")
 
 
 FUZZY_NAMES = [(0, "smal rng"), (1, "abc"), (2, "red widgett"), (3, "BLUE BOLT")]
@@ -883,14 +902,14 @@ def corpus_roundtrip(spark, sf_dir):
 
 @register("vectors_roundtrip", f"""SELECT id AS doc_id, CAST(count(*) AS BIGINT) AS n_buckets, CAST(sum(cnt * cnt) AS BIGINT) AS sq
 FROM (SELECT id, bucket, count(*) AS cnt FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
-      FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents)) GROUP BY ALL) GROUP BY id""")
+      FROM (SELECT doc_id, unnest({_embed_words_sql('text', None)}) AS w FROM documents)) GROUP BY ALL) GROUP BY id""")
 def vectors_roundtrip(spark, sf_dir):
     """CMP-8 / SNK-4 / SRC-8: corpus embeddings written with their parameters
     in the path (Q13) and read back."""
     from tessera.operators.duplicates import embed_corpus
     from tessera.session import scratch_path
 
-    out = scratch_path(spark, "vectors-words512-dim768")
+    out = scratch_path(spark, "vectors-dim768")
     embed_corpus(read_corpus(spark, sf_dir)).write.mode("overwrite").parquet(out)
     v = spark.read.parquet(out)
     return v.select(F.col("id").alias("doc_id"), F.size("idx").cast("bigint").alias("n_buckets"),
@@ -912,12 +931,10 @@ def neighbors_roundtrip(spark, sf_dir):
 
 @register("posting_map_merge", f"WITH {index_ctes()} SELECT term, doc_id, tf FROM tf")
 def posting_map_merge(spark, sf_dir):
-    """MAP-1 / D5: nested term -> MAP<doc, tf> views of two corpus halves
-    merged with ``map_zip_with``, flattened back to rows."""
-    docs = read_corpus(spark, sf_dir)
-    half = F.crc32(F.col("source")) % 2 == 0
-    a = I.posting_maps(I.build_index(docs.where(half)).postings)
-    b = I.posting_maps(I.build_index(docs.where(~half)).postings)
+    """MAP-1 / D5: nested (term, chunk) -> MAP<doc, tf> views of two blocks
+    (even and odd lines of every document) merged with ``map_zip_with``, in
+    small chunks, flattened back to rows."""
+    a, b = (I.posting_maps(I.build_index(d).postings, chunk=100) for d in _cut_documents(read_corpus(spark, sf_dir)))
     m = I.merge_posting_maps(a, b)
     return m.select("term", F.explode("postings").alias("doc_id", "tf")).select(
         "term", "doc_id", F.col("tf").cast("bigint"))
@@ -1002,7 +1019,7 @@ def source_boundaries(spark, sf_dir):
     from tessera.operators.duplicates import source_ranges
     from tessera.sources.corpus import ordinal
 
-    r = source_ranges(ordinal(read_corpus(spark, sf_dir), "path", "doc_ord"))
+    r = source_ranges(ordinal(read_corpus(spark, sf_dir).select("source", "path"), "path", "doc_ord"))
     prev = r.select(F.col("end").alias("start"), F.col("source").alias("prev_source"))
     return r.select("source", "start").join(prev, "start", "left").select("source", "start", "prev_source")
 
@@ -1034,8 +1051,8 @@ def conversation_postings(spark, sf_dir):
     """CMP-3 over the second corpus: every conversation turn is a document;
     doc ids are ordinals over (conv_id, turn) (WIN-1, no single-partition
     window)."""
-    from tessera.sources.corpus import ordinal
+    from tessera.sources.corpus import with_ordinal
 
-    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    docs = ordinal(conv, ["conv_id", "turn"], "doc_id")
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.struct("conv_id", "turn").alias("key"))
+    docs = with_ordinal(conv, "key", "key", "doc_id")
     return I.build_index(docs).postings.select("term", "doc_id", "tf")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import path_key, source_of_path
+from tessera.functions.text import FILE_LINE_BREAK, path_key, source_of_path
 from tessera.session import reliable_checkpoint
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -57,7 +57,9 @@ def ordinal(df: DataFrame, order_col, out_col: str = "doc_id") -> DataFrame:
     prefix-sum the (few) partition counts, add the offset.
 
     The sorted data is checkpointed first (reliable checkpoint in the shared
-    folder) so that recomputation after an executor loss cannot reorder it."""
+    folder) so that recomputation after an executor loss cannot reorder it.
+    All columns of ``df`` travel: give the key columns only and join the rest
+    back by key (:func:`with_ordinal`)."""
     cols = order_col if isinstance(order_col, (list, tuple)) else [order_col]
     s = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
          .withColumn("_pid", F.spark_partition_id())
@@ -72,21 +74,33 @@ def ordinal(df: DataFrame, order_col, out_col: str = "doc_id") -> DataFrame:
             .drop("_pid", "_mono", "_local", "_off"))
 
 
+def with_ordinal(df: DataFrame, order_col, key: str, out_col: str = "doc_id") -> DataFrame:
+    """``df`` with its ordinal by ``order_col``: only the order columns and the
+    unique ``key`` are sorted and checkpointed; the other columns (texts) join
+    them back by ``key``."""
+    cols = order_col if isinstance(order_col, (list, tuple)) else [order_col]
+    narrow = ordinal(df.select(*dict.fromkeys([key, *cols])), cols, out_col)
+    return df.join(narrow.select(key, out_col), key)
+
+
 def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
     """SRC-1: one document per file under ``root/<band>/<song>.txt``; ids are
     ordinals of the sorted ``band/song`` paths (WIN-1)."""
     files = (spark.read.format("text").option("wholetext", True)
              .option("recursiveFileLookup", True).load(root)
              .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text")))
-    # _metadata.file_path is a URI: percent-encoded ("Alice%20in%20Chains")
-    files = files.select(path_key(F.url_decode(F.regexp_replace("file_path", "^file:", ""))).alias("path"), "text")
+    # _metadata.file_path is a URI: percent-encoded ("Alice%20in%20Chains"),
+    # but a "+" in it is a plus, which url_decode would turn into a space
+    plain = F.url_decode(F.replace(F.regexp_replace("file_path", "^file:", ""), F.lit("+"), F.lit("%2B")))
+    files = files.select(path_key(plain).alias("path"), "text")
     files = files.withColumn("source", source_of_path("path"))
-    return ordinal(files, "path").select("doc_id", "source", "path", "text")
+    return with_ordinal(files, "path", "path").select("doc_id", "source", "path", "text")
 
 
 def read_lines(docs: DataFrame) -> DataFrame:
-    """SRC-2: (doc_id, line_no, line) — documents read line by line."""
-    return (docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    """SRC-2: (doc_id, line_no, line) — documents read line by line (universal
+    newlines, as a text file is read)."""
+    return (docs.select("doc_id", F.posexplode_outer(F.split("text", FILE_LINE_BREAK, -1)).alias("line_no", "line"))
             .where(F.col("line").isNotNull()))
 
 
