@@ -122,6 +122,54 @@ def test_merge_postings(micro_docs, micro_index):
     assert key(merged.postings) == key(micro_index.postings)
 
 
+def test_merge_adds_up_a_cut_document(spark):
+    a = I.build_index(spark.createDataFrame([(0, "rain sun"), (1, "star")], "doc_id bigint, text string"))
+    b = I.build_index(spark.createDataFrame([(0, "rain"), (2, "sun")], "doc_id bigint, text string"))
+    m = I.merge_index(a, b)
+    assert sorted(tuple(r) for r in m.postings.collect()) == [
+        ("rain", 0, 2, 3), ("star", 1, 1, 1), ("sun", 0, 1, 3), ("sun", 2, 1, 1)]
+    assert sorted(tuple(r) for r in m.doc_stats.collect()) == [(0, 3), (1, 1), (2, 1)]
+    assert {r.term: r.df for r in m.term_stats().collect()} == {"rain": 1, "star": 1, "sun": 2}
+    with pytest.raises(ValueError):
+        I.merge_index(a, I.Index(b.postings, b.doc_stats, "porter"))
+
+
+def test_posting_chunks_concatenate(micro_index):
+    rows = I.posting_lists(micro_index.postings, chunk=2).collect()
+    assert max(len(r.postings) for r in rows) <= 2
+    whole = {r.term: r.postings for r in I.posting_lists(micro_index.postings).collect()}
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.term, r.chunk)):
+        got.setdefault(r.term, []).extend(r.postings)
+    assert got == whole
+
+
+def test_large_query_table_path_equals_the_small_one(spark, micro_index, monkeypatch):
+    """With the literal bound at 0 everything is a shuffle join: same hits, no
+    nested loop or cartesian product over documents."""
+    qs = spark.createDataFrame([(i, q) for i, (q, *_) in enumerate(
+        [("rain AND moon OR dog",), ("NOT rain",), ("star OR NOT moon",), ("zzz",), ("NOT moon AND NOT dog",)])], "query_id bigint, query string")
+    want = sorted(tuple(r) for r in B.boolean_search(micro_index, qs, count=None).collect())
+    monkeypatch.setattr(B, "MAX_BROADCAST_LITERALS", 0)
+    hits = B.boolean_search(micro_index, qs, count=None)
+    assert sorted(tuple(r) for r in hits.collect()) == want
+    lits, _ = B.parse_boolean(qs)
+    plan = B.literal_matches(micro_index, lits)._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan.split("== Physical Plan ==")[1]
+
+
+@pytest.mark.parametrize("keys", [[("hot", 50), ("cold", 1)], [(7, 50), (8, 1)], [((1, 2), 50), ((1, 3), 1)]])
+def test_skew_split_join_keys(spark, keys):
+    from tessera.operators.skew import skew_split_join
+
+    kind = {str: "string", int: "bigint", tuple: "struct<a:int,b:int>"}[type(keys[0][0])]
+    big = spark.createDataFrame([(k, i) for k, n in keys for i in range(n)], f"k {kind}, v bigint")
+    small = spark.createDataFrame([(k, f"tag{n}", n) for k, n in keys], f"k {kind}, tag string, n bigint")
+    want = sorted(repr(r) for r in big.join(small, "k").collect())
+    for kw in ({"hot_rows": 1}, {"hot_rows": 10}, {"hot_rows": 10, "max_bytes": 0}, {"hot_rows": 1000}):
+        assert sorted(repr(r) for r in skew_split_join(big, small, "k", "n", **kw).collect()) == want
+
+
 def test_skew_split_join_hot_path(spark):
     from tessera.operators.skew import skew_split_join
 

@@ -26,7 +26,7 @@ def test_search_on_stored_index(spark, tmp_path):
     idx = I.read_index(spark, path)
     plan = plan_of(B.boolean_search(idx, "the AND of OR der AND und", count=10))
     # the query terms reach both Parquet scans (postings and term stats)
-    assert len(re.findall(r"PushedFilters: \[[^\]]*In\(term", plan)) == 2
+    assert len(re.findall(r"PushedFilters: \[[^\]]*EqualTo\(term", plan)) == 2
     # partial top-k before the exchange, final after it
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
     # no sort-merge join: literals are broadcast
@@ -47,16 +47,47 @@ def test_index_build_single_hash_exchange(spark):
     assert not any("split" in l for l in scan)
 
 
-def test_snippet_documents_fetched_by_id(spark):
-    from pyspark.sql import functions as F
-
-    from tessera.operators.lookup import lookup
-    from tessera.sources.corpus import read_table
+def rows_read(df) -> int:
+    """Rows that the scans of a plan without exchange gave out."""
+    df = df.select("*")
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    leaves, total = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        total += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_lookups_read_few_rows(spark, tmp_path):
+    """Rows that the scan gives out for 5, 20 and 1,000 ids, of 5,000 in 50
+    files; an ``IN`` list alone reads all of them from 11 ids on."""
+    import random
+
+    from tessera.operators.lookup import key_filter, lookup
+
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id doc_id", "concat('w', lpad(id, 5, '0')) term").repartitionByRange(50, "doc_id").write.parquet(path)
+    table = spark.read.parquet(path)
+    rng = random.Random(1)
+    for n, most in ((5, 600), (20, 2200)):
+        ids = rng.sample(range(5000), n)
+        keys = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+        assert sorted(r.doc_id for r in lookup(table, keys).collect()) == sorted(ids)
+        assert rows_read(lookup(table, keys)) <= most
+        assert rows_read(table.where(key_filter("term", [f"w{i:05d}" for i in ids]))) <= most
+    near = [*range(700, 1200), *range(4000, 4500)]
+    hit = table.where(key_filter("doc_id", near))
+    assert hit.count() == 1000 and rows_read(hit) <= 1400
+
+
+def test_one_word_reads_its_row_groups(spark, tmp_path):
+    from tessera.sources.corpus import read_corpus
 
-    docs = read_table(spark, SF, "documents")
-    keys = spark.createDataFrame([(3,), (7,)], "doc_id bigint")
-    plan = plan_of(lookup(docs, keys).select("doc_id", F.length("text")))
-    assert re.search(r"PushedFilters: \[[^\]]*In\(doc_id", plan)
+    path = str(tmp_path / "idx")
+    I.write_index(I.build_index(read_corpus(spark, SF)), path, num_partitions=40)
+    idx = I.read_index(spark, path)
+    plan = plan_of(B.term_postings(idx, "the"))
+    assert len(re.findall(r"PushedFilters: \[[^\]]*EqualTo\(term,the\)", plan)) == 2
 
 
 def test_porter_search_keeps_stemmer_off_token_stream(spark):

@@ -1,5 +1,7 @@
 """SRC-1 / SRC-2 / SRC-4: corpus tree, lines, seed list."""
 
+import pytest
+
 from tessera.sources.corpus import read_lines, read_seeds, read_text_tree
 
 
@@ -18,6 +20,61 @@ def test_text_tree_ordinals(spark, tmp_path):
     assert lines[(0, 2)] == "four" and len(lines) == 6
 
 
+def test_text_tree_names_and_line_ends(spark, tmp_path):
+    p = tmp_path / "Florence + The Machine" / "100% s+1.txt"
+    p.parent.mkdir(parents=True)
+    p.write_bytes(b"a\r\nb\rc\n")
+    docs = read_text_tree(spark, str(tmp_path))
+    row = docs.first()
+    assert (row.path, row.source) == ("Florence + The Machine/100% s+1.txt", "Florence + The Machine")
+    assert [r.line for r in read_lines(docs).orderBy("line_no").collect()] == ["a", "b", "c", ""]
+
+
+def test_ordinals_carry_no_texts(spark):
+    from tessera.sources.corpus import with_ordinal
+
+    df = spark.createDataFrame([(f"p{i % 10}{i}", "text") for i in range(50)], "path string, text string")
+    out = with_ordinal(df, "path", "path", "n")
+    assert [r.n for r in out.orderBy("path").collect()] == list(range(50))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    checkpointed = [x for x in plan.splitlines() if "_mono" in x and "Project" not in x]
+    assert checkpointed and all("text" not in x for x in checkpointed), plan
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster(monkeypatch):
+    from tessera import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Dir:
+        def isEmpty(self):
+            return True
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class S:
+                    @staticmethod
+                    def getCheckpointDir():
+                        return Dir()
+                return S
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
+
+
 def test_seed_list(spark, tmp_path):
     p = tmp_path / "seeds.txt"
     p.write_text("ABBA\nAC-DC\nAlice in Chains\n")
