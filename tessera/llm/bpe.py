@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 
 import numpy as np
@@ -34,7 +35,11 @@ from pyspark.sql import functions as F
 from tessera.llm._common import batch, map_arrow
 
 #: Entries that a task remembers before it starts afresh.
-MEMORY = 200_000
+MEMORY = 300_000
+#: Ids up to which a plain search for the lowest rank beats a heap.
+SHORT = 40
+#: Rank of a pair that is no merge.
+NONE = (2**31, 0)
 WHITE = r"\p{White_Space}+"
 END = "</w>"
 
@@ -75,38 +80,60 @@ class Codec:
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.rank = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)}
         byte = {c: b for b, c in enumerate(alphabet)}
-        self.joined = np.zeros((256, 256), bool)
+        self.joined = bytearray(65536)  # 1 where two bytes stand side by side in a token
         for t in vocab:
             raw = [byte[c] for c in t.removesuffix(END)]
-            self.joined[raw[:-1], raw[1:]] = True
+            for a, b in zip(raw, raw[1:], strict=False):
+                self.joined[a << 8 | b] = 1
         self.fragments: dict = {}
         self.words: dict[str, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge neighbours, lowest rank and then leftmost first."""
+        return self.merge_short(ids) if len(ids) <= SHORT else self.merge_long(ids)
+
+    def merge_short(self, ids: list[int]) -> list[int]:
+        get = self.rank.get
+        ranks = [get(p, NONE) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks))[0] != NONE[0]:
+            i = ranks.index(best)
+            ids[i:i + 2] = [best[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], best[1]), NONE)
+            if i < len(ranks):
+                ranks[i] = get((best[1], ids[i + 1]), NONE)
+        return ids
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """By a heap over a linked list: log-linear in the ids."""
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*self.rank[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in self.rank]
-        heap = [(r, i, new, ids[i], ids[i + 1]) for r, new, i in heap]
-        heapq.heapify(heap)
+        heap = []
+
+        def meet(i: int, j: int) -> None:
+            if i >= 0 and j < n and (found := self.rank.get((ids[i], ids[j]))):
+                heapq.heappush(heap, (found[0], i, found[1], ids[i], ids[j]))
+
+        for i in range(n - 1):
+            meet(i, i + 1)
         while heap:
             _, i, new, a, b = heapq.heappop(heap)
-            j = after[i] if i < n else n
+            j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue  # a neighbour has been merged meanwhile
             ids[i], ids[j] = new, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-            for x, y in ((before[i], i), (i, k)):
-                if x >= 0 and y < n and (found := self.rank.get((ids[x], ids[y]))):
-                    heapq.heappush(heap, (found[0], x, found[1], ids[x], ids[y]))
+            meet(before[i], i)
+            meet(i, k)
         return [t for t in ids if t >= 0]
 
     def cuts(self, raw: bytes) -> list[int]:
         """Ends of the fragments of a piece: its forced boundaries and its end."""
-        b = np.frombuffer(raw, np.uint8)
-        return [*(np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist(), len(raw)]
+        joined = self.joined
+        return [*[i for i, (a, b) in enumerate(zip(raw, raw[1:], strict=False), 1) if not joined[a << 8 | b]], len(raw)]
 
     def encode_piece(self, piece: str) -> list[int]:
         raw, out, start = piece.encode(), [], 0
@@ -127,9 +154,12 @@ class Codec:
 
     def encode_word(self, word: str) -> bytes:
         """Ids of the text between two white spaces, as little-endian 32 bits."""
-        norm = unicodedata.normalize("NFC", word)
-        norm = "".join(c.lower() for c in norm) if "Σ" in norm else norm.lower()
-        out = np.array([i for p in self.piece.findall(norm) for i in self.encode_piece(p)], "<u4").tobytes()
+        norm = word if word.isascii() else unicodedata.normalize("NFC", word)
+        norm = "".join(map(str.lower, norm)) if "Σ" in norm else norm.lower()
+        # ASCII letters alone are one piece of the pattern
+        pieces = [norm] if norm.isascii() and norm.isalpha() else self.piece.findall(norm)
+        ids = [i for p in pieces for i in self.encode_piece(p)]
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) < 256:
             if len(self.words) >= MEMORY:
                 self.words.clear()
