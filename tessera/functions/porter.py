@@ -1,206 +1,119 @@
-"""STR-3: Porter stemming.
+"""STR-3: Porter stemming as column expressions.
 
-The stemmer follows M. F. Porter, "An algorithm for suffix stripping" (1980),
-in the revised form Porter later published with his reference code, which
-departs from the paper in three places: words of one or two letters are left
-alone, step 2 maps ``-bli`` to ``-ble`` (paper: ``-abli`` to ``-able``) and adds
+The rules are M. F. Porter's, "An algorithm for suffix stripping" (1980), in
+the revised form Porter later published with his reference code, which departs
+from the paper in three places: words of one or two letters are left alone,
+step 2 maps ``-bli`` to ``-ble`` (paper: ``-abli`` to ``-able``) and adds
 ``-logi`` to ``-log``.  Input is lower-cased first.
 
-Spark use: stems are computed once per *distinct* token (the vocabulary) with
-an Arrow ``pandas_udf`` and joined back, so Python touches each word form
-once, never each token occurrence.
+A ``y`` after a consonant is a vowel; it is written ``Y`` while the steps run.
+Consonants and vowels are then plain character classes, and the conditions of
+the rules (the measure of a stem, "contains a vowel", "ends consonant vowel
+consonant") are regular expressions on the stem.
+
+Use it on distinct words (``operators.index.stem_vocabulary``): the steps are
+many regular expressions per word.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values: suffix rules of the published algorithm ------------------
-STEP2_RULES = {
-    "a": [("ational", "ate"), ("tional", "tion")],
-    "c": [("enci", "ence"), ("anci", "ance")],
-    "e": [("izer", "ize")],
-    "l": [("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous")],
-    "o": [("ization", "ize"), ("ation", "ate"), ("ator", "ate")],
-    "s": [("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous")],
-    "t": [("aliti", "al"), ("iviti", "ive"), ("biliti", "ble")],
-    "g": [("logi", "log")],
-}
-STEP3_RULES = {
-    "e": [("icate", "ic"), ("ative", ""), ("alize", "al")],
-    "i": [("iciti", "ic")],
-    "l": [("ical", "ic"), ("ful", "")],
-    "s": [("ness", "")],
+STEP2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
+    "bli": "ble", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous",
+    "ization": "ize", "ation": "ate", "ator": "ate",
+    "alism": "al", "iveness": "ive", "fulness": "ful", "ousness": "ous",
+    "aliti": "al", "iviti": "ive", "biliti": "ble", "logi": "log",
 }
-STEP4_SUFFIXES = {
-    "a": ["al"],
-    "c": ["ance", "ence"],
-    "e": ["er"],
-    "i": ["ic"],
-    "l": ["able", "ible"],
-    "n": ["ant", "ement", "ment", "ent"],
-    "o": ["ion", "ou"],
-    "s": ["ism"],
-    "t": ["ate", "iti"],
-    "u": ["ous"],
-    "v": ["ive"],
-    "z": ["ize"],
-}
-VOWELS = "aeiou"
+STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
+         "ism", "ate", "iti", "ous", "ive", "ize"]
 # -----------------------------------------------------------------------------
 
+V, C = "[aeiouY]", "[^aeiouY]"
+ONE = f"^{C}*{V}+{C}"             # measure of at least one
+TWO = f"^{C}*{V}+{C}+{V}+{C}"     # measure of at least two
+CVC = f"{C}{V}[^aeiouYwxy]$"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` computed once however often it is read."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _mark(w: Column) -> Column:
+    def add(done: Column, c: Column) -> Column:
+        return F.concat(done, F.when((c == "y") & done.rlike(f"{C}$"), "Y").otherwise(c))
+
+    one_by_one = F.aggregate(F.split(w, ""), F.lit(""), add)
+    return F.when(w.contains("yy"), one_by_one).otherwise(F.regexp_replace(w, "([^aeiouy])y", "$1Y"))
+
+
+def _step1a(w: Column) -> Column:
+    return F.regexp_replace(w, "(?:(ss|i)es|([^s])s)$", "$1$2")
+
+
+def _step1b(w: Column) -> Column:
+    def mend(stem: Column) -> Column:
+        double = stem.rlike(r"([^aeiouY])\1$|Yy$")
+        return (F.when(stem.rlike("(at|bl|iz)$") | (~double & stem.rlike(f"^{C}+{V}[^aeiouYwxy]$")), F.concat(stem, F.lit("e")))
+                .when(double & ~stem.rlike("[lsz]$"), F.regexp_replace(stem, ".$", "")).otherwise(stem))
+
+    cut = f"^(.*{V}.*)(ed|ing)$"
+    return (F.when(w.rlike("eed$"), F.regexp_replace(w, f"({ONE}.*)eed$", "$1ee"))
+            .when(w.rlike(cut), _let(F.regexp_extract(w, cut, 1), mend)).otherwise(w))
+
+
+def _step1c(w: Column) -> Column:
+    return F.regexp_replace(w, f"^(.*{V}.*)[yY]$", "$1i")
+
+
+def _longest(suffixes) -> str:
+    """(stem)(suffix): the shortest stem, so the longest suffix."""
+    return f"^(.*?)({'|'.join(suffixes)})$"
+
+
+def _replace(rules: dict[str, str]):
+    pattern = _longest(rules)
+    table = F.create_map(*(F.lit(x) for kv in rules.items() for x in kv))
+
+    def step(w: Column) -> Column:
+        stem, suffix = F.regexp_extract(w, pattern, 1), F.regexp_extract(w, pattern, 2)
+        return F.when((suffix != "") & stem.rlike(ONE), F.concat(stem, F.get(F.array(table[suffix]), 0))).otherwise(w)
+
+    return step
+
+
+def _step4(w: Column) -> Column:
+    pattern = _longest(STEP4)
+
+    def strip(stem: Column) -> Column:
+        fits = stem.rlike(TWO) & (~w.rlike("ion$") | stem.rlike("[st]$"))
+        return F.when(w.rlike(pattern) & fits, stem).otherwise(w)
+
+    return _let(F.regexp_extract(w, pattern, 1), strip)
+
+
+def _step5a(w: Column) -> Column:
+    def strip(stem: Column) -> Column:
+        return F.when(w.endswith("e") & (stem.rlike(TWO) | (stem.rlike(ONE) & ~stem.rlike(CVC))), stem).otherwise(w)
+
+    return _let(F.regexp_replace(w, "e$", ""), strip)
+
+
+def _step5b(w: Column) -> Column:
+    return F.when(w.endswith("ll") & w.rlike(TWO), F.regexp_replace(w, "l$", "")).otherwise(w)
+
+
+def porter_stem(word) -> Column:
+    """Stem of a word (lower-cased; words of one or two letters unchanged)."""
+    steps = [_mark, _step1a, _step1b, _step1c, _replace(STEP2), _replace(STEP3), _step4, _step5a, _step5b]
 
-class _Word:
-    """Mutable word buffer: ``w[:end]`` is the current stem."""
-
-    __slots__ = ("w", "end")
-
-    def __init__(self, w: str):
-        self.w = w
-        self.end = len(w)
-
-    def consonant(self, i: int) -> bool:
-        c = self.w[i]
-        if c in VOWELS:
-            return False
-        if c == "y":
-            return i == 0 or not self.consonant(i - 1)
-        return True
-
-    def measure(self, stop: int) -> int:
-        """Number of VC sequences in ``w[:stop]``."""
-        pattern = []
-        for i in range(stop):
-            kind = "c" if self.consonant(i) else "v"
-            if not pattern or pattern[-1] != kind:
-                pattern.append(kind)
-        return "".join(pattern).count("vc")
-
-    def has_vowel(self, stop: int) -> bool:
-        return any(not self.consonant(i) for i in range(stop))
-
-    def double_consonant(self, i: int) -> bool:
-        return i >= 1 and self.w[i] == self.w[i - 1] and self.consonant(i)
-
-    def cvc(self, i: int) -> bool:
-        if i < 2:
-            return False
-        if not self.consonant(i) or self.consonant(i - 1) or not self.consonant(i - 2):
-            return False
-        return self.w[i] not in "wxy"
-
-    def ends(self, suffix: str) -> bool:
-        return len(suffix) <= self.end and self.w[: self.end].endswith(suffix)
-
-    def replace(self, suffix: str, repl: str) -> None:
-        base = self.end - len(suffix)
-        self.w = self.w[:base] + repl + self.w[self.end:]
-        self.end = base + len(repl)
-
-
-def _step1ab(b: _Word) -> None:
-    if b.w[b.end - 1] == "s":
-        if b.ends("sses"):
-            b.end -= 2
-        elif b.ends("ies"):
-            b.replace("ies", "i")
-        elif b.w[b.end - 2] != "s":
-            b.end -= 1
-    if b.ends("eed"):
-        if b.measure(b.end - 3) > 0:
-            b.end -= 1
-        return
-    for suffix in ("ed", "ing"):
-        if b.ends(suffix):
-            stem_end = b.end - len(suffix)
-            if not b.has_vowel(stem_end):
-                return
-            b.end = stem_end
-            break
-    else:
-        return
-    for short, full in (("at", "ate"), ("bl", "ble"), ("iz", "ize")):
-        if b.ends(short):
-            b.replace(short, full)
-            return
-    last = b.end - 1
-    if b.double_consonant(last):
-        if b.w[last] not in "lsz":
-            b.end -= 1
-    elif b.measure(b.end) == 1 and b.cvc(last):
-        b.replace("", "e")
-
-
-def _step1c(b: _Word) -> None:
-    if b.ends("y") and b.has_vowel(b.end - 1):
-        b.w = b.w[: b.end - 1] + "i" + b.w[b.end:]
-
-
-def _apply_rules(b: _Word, rules: list[tuple[str, str]]) -> None:
-    for suffix, repl in rules:
-        if b.ends(suffix):
-            if b.measure(b.end - len(suffix)) > 0:
-                b.replace(suffix, repl)
-            return
-
-
-def _step4(b: _Word) -> None:
-    for suffix in STEP4_SUFFIXES.get(b.w[b.end - 2], ()):
-        if b.ends(suffix):
-            stem_end = b.end - len(suffix)
-            if suffix == "ion" and (stem_end < 1 or b.w[stem_end - 1] not in "st"):
-                continue
-            if b.measure(stem_end) > 1:
-                b.end = stem_end
-            return
-
-
-def _step5(b: _Word) -> None:
-    stop = b.end
-    if b.w[b.end - 1] == "e":
-        m = b.measure(stop)
-        if m > 1 or (m == 1 and not b.cvc(b.end - 2)):
-            b.end -= 1
-    if b.w[b.end - 1] == "l" and b.double_consonant(b.end - 1) and b.measure(stop) > 1:
-        b.end -= 1
-
-
-def porter_stem(word: str) -> str:
-    """Stem one word (lower-cased first; words of <= 2 letters unchanged)."""
-    w = word.lower()
-    if len(w) <= 2:
-        return w
-    b = _Word(w)
-    _step1ab(b)
-    if b.end == 0:
-        return b.w[: b.end]
-    _step1c(b)
-    if b.end >= 2:
-        _apply_rules(b, STEP2_RULES.get(b.w[b.end - 2], []))
-    if b.end >= 1:
-        _apply_rules(b, STEP3_RULES.get(b.w[b.end - 1], []))
-    if b.end >= 2:
-        _step4(b)
-    if b.end >= 1:
-        _step5(b)
-    return b.w[: b.end]
-
-
-@F.pandas_udf(T.StringType())
-def porter_stem_udf(words: pd.Series) -> pd.Series:
-    """Arrow-batched stemmer; apply it to distinct words only (a per-batch
-    memo covers repeats)."""
-    memo: dict[str, str] = {}
-
-    def one(w):
-        if w is None:
-            return None
-        s = memo.get(w)
-        if s is None:
-            s = memo[w] = porter_stem(w)
-        return s
-
-    return words.map(one)
+    def run(w: Column, rest: list) -> Column:
+        return F.translate(w, "Y", "y") if not rest else _let(rest[0](w), lambda x: run(x, rest[1:]))
 
+    c = F.col(word) if isinstance(word, str) else word
+    return _let(F.lower(c), lambda w: F.when(F.length(w) <= 2, w).otherwise(run(w, steps)))

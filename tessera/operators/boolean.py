@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.porter import porter_stem_udf
+from tessera.functions.porter import porter_stem
 from tessera.functions.text import OP_AND, OP_NOT, OP_OR, split_words, strip_punctuation
 from tessera.operators.index import Index
 from tessera.operators.lookup import key_filter
@@ -50,7 +50,7 @@ def normalize_query_word(word, analyzer: str, normalize_query: bool = False):
     never matches the index term ``dogs``); ``normalize_query`` strips it."""
     w = strip_punctuation(word) if normalize_query else word
     if analyzer == "porter":
-        return porter_stem_udf(w)
+        return porter_stem(w)
     if analyzer == "lower":
         return F.lower(w)
     return w

@@ -19,8 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.porter import porter_stem_udf
+from tessera.functions.porter import porter_stem
 from tessera.functions.text import index_tokens, pretty_name, split_words, strip_punctuation, word_count
+from tessera.operators.skew import skew_split_join, write_once
 
 
 @dataclass
@@ -77,15 +78,12 @@ def tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def stem_vocabulary(words: DataFrame, col: str = "token") -> DataFrame:
-    """Distinct words -> (token, term) via the Arrow Porter UDF, materialised
-    (reliable checkpoint).  Python runs once per distinct word form, never
-    per occurrence: without the checkpoint, a later filter on ``term`` (a
-    search's ``term IN (...)``) would be rewritten by Catalyst into a filter
-    on ``udf(token)`` over the raw token stream."""
-    from tessera.session import reliable_checkpoint
-
-    vocab = words.select(col).distinct()
-    return reliable_checkpoint(vocab.select(F.col(col).alias("token"), porter_stem_udf(F.col(col)).alias("term")))
+    """Distinct words -> (token, term, n), n the rows that hold the word;
+    written once, so that the stemmer runs once per distinct word form and a
+    later filter on ``term`` cannot be rewritten into one over every
+    occurrence."""
+    vocab = words.groupBy(F.col(col).alias("token")).agg(F.count(F.lit(1)).alias("n"))
+    return write_once(vocab.select("token", porter_stem("token").alias("term"), "n"), "stems")
 
 
 def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text") -> Index:
@@ -111,17 +109,13 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
                     .agg(F.count(F.lit(1)).alias("tf")))
     elif analyzer == "porter":
         # Count raw word forms per document first (partial aggregation shrinks
-        # the stream to postings), then map forms to stems and re-aggregate:
-        # several forms of one stem in a document add up.
-        raw = (toks.withColumnRenamed("tok", "token")
-               .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")))
-        # Hot word forms: the vocabulary is the output of a shuffle, so AQE
-        # sees its real size (broadcast when small) and splits skewed
-        # partitions of the sort-merge join otherwise; an explicit hot-key
-        # split would need a second tokenising pass to find the hot forms.
-        stems = stem_vocabulary(raw)
-        postings = (raw.join(stems, "token")
-                    .groupBy("term", "doc_id", "doc_len").agg(F.sum("tf").alias("tf")))
+        # the stream to postings) and write the counts once: the vocabulary,
+        # the hot forms and the stems all read them.  Several forms of one
+        # stem in a document add up.
+        raw = write_once(toks.withColumnRenamed("tok", "token")
+                         .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")), "word-forms")
+        stemmed = skew_split_join(raw, stem_vocabulary(raw), "token", "n")
+        postings = stemmed.groupBy("term", "doc_id", "doc_len").agg(F.sum("tf").alias("tf"))
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}")
     postings = postings.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "doc_len")
@@ -234,8 +228,7 @@ def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
                         F.explode_outer(split_words(pretty_name("path"))).alias("token")
                         ).where(F.col("token").isNotNull())
     if analyzer == "porter":
-        stems = stem_vocabulary(names)
-        names = names.join(stems, "token")
+        names = skew_split_join(names, stem_vocabulary(names), "token", "n")
     else:
         names = names.withColumn("term", F.lower("token"))
     return (names.select("term", "doc_id", "doc_len").distinct()

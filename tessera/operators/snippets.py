@@ -47,9 +47,9 @@ def snippets(hits: DataFrame, docs: DataFrame, words: DataFrame,
     if normalize is not None:
         norm = normalize
     elif analyzer == "porter":
-        from tessera.functions.porter import porter_stem_udf
+        from tessera.functions.porter import porter_stem
 
-        norm = porter_stem_udf
+        norm = porter_stem
     else:
         norm = F.lower
     w = words.select("query_id", "word_no", "word", norm(F.col("word")).alias("nword"))

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import boolean as B
 from tessera.operators import index as I
-from tessera.plans.sqltext import boolean_ctes, index_ctes, q, ranked_sql, tokens_sql, values_sql, words_sql
+from tessera.plans.sqltext import (
+    ML_QUERY_SPLIT, NON_WORD_CHAR, PUNCTUATION, SPLITLINES_BREAK, WHITESPACE, WORD_CHAR,
+    boolean_ctes, index_ctes, q, ranked_sql, stemmed_index_ctes, tokens_sql, values_sql, words_sql)
 from tessera.sources.corpus import read_corpus, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,8 +183,6 @@ def query_status(spark, sf_dir):
 def _snippet_sql(hits_sql: str, words_rel: str, offset: int = 20) -> str:
     """Snippet CTEs over HT(query_id, rank, doc_id, score) and a words
     relation (query_id, word_no, word); the pattern is built per word in SQL."""
-    from tessera.functions.text import NON_WORD_CHAR, WORD_CHAR
-
     lead = (f"CASE WHEN regexp_matches(lower(word), {q('^' + WORD_CHAR)}) THEN {q('(^|' + NON_WORD_CHAR + ')')} "
             f"ELSE {q('(' + WORD_CHAR + ')')} END")
     tail = (f"CASE WHEN regexp_matches(lower(word), {q(WORD_CHAR + '$')}) THEN {q(WORD_CHAR + '*')} "
@@ -241,14 +241,10 @@ ML_QUERIES = [
 
 
 def _ml_split_sql(expr: str, group: int) -> str:
-    from tessera.functions.text import ML_QUERY_SPLIT
-
     return f"regexp_extract({expr}, {q(ML_QUERY_SPLIT)}, {group})"
 
 
 def _ml_parsed_sql(queries_sql: str) -> str:
-    from tessera.functions.text import ML_QUERY_SPLIT
-
     m = f"regexp_matches(query, {q(ML_QUERY_SPLIT)})"
     return f"""MP AS (SELECT query_id, query,
        CASE WHEN {m} THEN {_ml_split_sql('query', 1)} ELSE query END AS positive,
@@ -265,7 +261,7 @@ def _embed_words_sql(text: str, max_words: int | None) -> str:
     ws = words_sql(text)
     if max_words:
         ws = f"({ws})[1:{max_words}]"
-    return (f"list_filter(list_transform({ws}, lambda w: lower(translate(w, {q(__import__('tessera.functions.text', fromlist=['x']).PUNCTUATION)}, ''))), "
+    return (f"list_filter(list_transform({ws}, lambda w: lower(translate(w, {q(PUNCTUATION)}, ''))), "
             f"lambda w: w <> '')")
 
 
@@ -344,7 +340,7 @@ def ml_parse(spark, sf_dir):
 
 @register("reduced_text", f"""SELECT doc_id,
   array_to_string(list_filter(list_transform(string_split_regex(text, '\\r\\n|\\r|\\n'),
-        lambda x: regexp_replace(x, {q(__import__('tessera.functions.text', fromlist=['x']).WHITESPACE + '+$')}, '')),
+        lambda x: regexp_replace(x, {q(WHITESPACE + '+$')}, '')),
         lambda x: x <> ''), ' ') AS reduced,
   array_to_string(({words_sql('text')})[1:512], ' ') AS reduced_512
 FROM documents""")
@@ -688,17 +684,23 @@ def name_search(spark, sf_dir):
     return B.boolean_search(idx, NAME_QUERY, count=10)
 
 
-@register("postings_stemmed")
+@register("postings_stemmed", f"WITH {stemmed_index_ctes()} SELECT term, doc_id, tf FROM tf")
 def postings_stemmed(spark, sf_dir):
     """STR-3 / CMP-3 with the Porter analyzer (the reference default): stems
-    computed once per distinct word form by the Arrow UDF, joined back."""
+    computed once per distinct word form, joined back."""
     return _index(spark, sf_dir, "porter").postings.select("term", "doc_id", "tf")
 
 
-@register("bool_stemmed")
+STEM_QUERY = "licensed OR queens AND NOT the"
+_STEM_QUERY_SQL = values_sql([(0, STEM_QUERY)], "query_id, query")
+
+
+@register("bool_stemmed", f"""WITH {stemmed_index_ctes("(SELECT * FROM " + _STEM_QUERY_SQL + ")")},
+{boolean_ctes(_STEM_QUERY_SQL, "(SELECT STEMS.term FROM STEMS WHERE STEMS.token = word)")}
+{ranked_sql("H", 10)}""")
 def bool_stemmed(spark, sf_dir):
     """CMP-4 with stemming on both sides (``licensed`` finds ``license``)."""
-    return B.boolean_search(_index(spark, sf_dir, "porter"), "licensed OR queens AND NOT the", count=10)
+    return B.boolean_search(_index(spark, sf_dir, "porter"), STEM_QUERY, count=10)
 
 
 # --- scalar text functions -------------------------------------------------
@@ -713,7 +715,7 @@ def bracket_strip(spark, sf_dir):
 
 
 @register("blank_lines", f"""SELECT doc_id,
-  array_to_string(list_filter(string_split_regex(text, {q(__import__('tessera.functions.text', fromlist=['x']).SPLITLINES_BREAK)}), lambda x: x <> ''), chr(10)) AS cleaned
+  array_to_string(list_filter(string_split_regex(text, {q(SPLITLINES_BREAK)}), lambda x: x <> ''), chr(10)) AS cleaned
 FROM documents""")
 def blank_lines(spark, sf_dir):
     """STR-6: empty lines dropped."""
@@ -818,8 +820,6 @@ def _html_extract_sql() -> str:
     """Regex form for the test pages (first <article>, no script/style/
     comment inside it, entities limited to amp/quot, with or without ';' as
     HTML5 allows for these legacy names) — checked equal at sf0.001-0.1."""
-    from tessera.functions.text import SPLITLINES_BREAK
-
     return f"""WITH A AS (
   SELECT page_id, regexp_extract(html, {q('(?s)<article[^>]*>(.*?)</article>')}, 1) AS body,
          regexp_matches(html, {q('<article[\\s>]')}) AS has

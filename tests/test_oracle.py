@@ -47,8 +47,6 @@ def _rows(cols, records):
 
 
 WITHOUT_SQL = {
-    "postings_stemmed": (["doc_id", "term", "tf"], None),
-    "bool_stemmed": (["doc_id", "query_id", "rank", "score"], None),
     "embed_with_user_model": (["doc_id", "embedding"], 200),
 }
 

@@ -63,15 +63,37 @@ def test_snippet(spark):
     assert out[(7, "zzz")].found is False
 
 
-def test_html_element_text():
+def test_html_element_text(spark):
     from tessera.functions.html import element_text
 
-    html = ("<html><head><script>var t='</p>';</script></head><body><nav>menu</nav>"
-            "<article><h1>T&amp;A</h1><p><b>bold<br>line</p><style>p{}</style><!-- c -->"
-            "<div>in</div>[Chorus] end</article><article>second</article></body></html>")
-    assert element_text(html, "article", None) == "T&Aboldlinein[Chorus] end"
-    assert element_text("<div class='lyrics x'>la</div>", "div", "lyrics") == "la"
-    assert element_text("<p>none</p>", "div", "lyrics") is None
+    cases = [  # page, text of the first article, text of the first div of class lyrics
+        ("<html><head><script>var t='</p>';</script></head><body><nav>menu</nav>"
+         "<article><h1>T&amp;A</h1><p><b>bold<br>line</p><style>p{}</style><!-- c -->"
+         "<div>in</div>[Chorus] end</article><article>second</article></body></html>", "T&Aboldlinein[Chorus] end", None),
+        ("<div class='lyrics x'>la</div>", None, "la"),
+        ("<p>none</p>", None, None), ("", None, None), (None, None, None),
+        ("<p><article class='a'>x<br/>y<article>in</article>z<!-- > c --></article>after", "xyinz", None),
+        ("<div class='nolyrics'>B</div><DIV CLASS=lyrics id=2>C < d<style>s</style><div>e</div>f</div>g", None, "C < def"),
+        ("<article/>x", "", None), ("<articles>no</articles><article >yes", "yes", None),
+        ('<div id="1" class="a lyrics">&lt;&#233;&eacute;</div>', None, "<éé"),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, h string")
+    out = df.select("i", element_text("h", "article", None).alias("a"), element_text("h").alias("d"))
+    assert {r.i: (r.a, r.d) for r in out.collect()} == {i: (a, d) for i, (_, a, d) in enumerate(cases)}
+    assert "Python" not in out._jdf.queryExecution().toString()
+
+
+def test_character_references(spark):
+    import html
+
+    from pyspark.sql import functions as F
+
+    from tessera.functions.html import unescape
+
+    texts = ["a&amp;b", "&#65;&#x41;", "&notit; &notin; &lt", "&bogus; &", "&#0;&#xD800;&#1114112;&#99999999999999999999;&#xFFFFFFFFFF;",
+             "&#128;&#x9f;&#129;&#1;&#xFFFE;", "x &copy y &copyright; &acE;", "&ampamp;", "plain", "&#x1F600; é &NotEqualTilde;", "&;&#;&#x;", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.u for r in df.select("t", unescape(F.col("t")).alias("u")).collect()} == {t: html.unescape(t) for t in texts}
 
 
 def test_snippet_with_stemmed_word(spark):
