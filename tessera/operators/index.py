@@ -233,3 +233,9 @@ def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
         names = names.withColumn("term", F.lower("token"))
     return (names.select("term", "doc_id", "doc_len").distinct()
             .select("term", "doc_id", F.lit(1).cast("bigint").alias("tf"), "doc_len"))
+
+
+def write_name_index(docs: DataFrame, path: str, analyzer: str = "lower") -> None:
+    """SNK-3: the name index written like a text index (postings, df, N), to
+    be opened by :func:`read_index` and searched in its place."""
+    write_index(Index(build_name_index(docs, analyzer), doc_stats(docs), analyzer), path)

@@ -515,6 +515,21 @@ def duplicate_report_q(spark, sf_dir):
     return duplicate_report(_doc_neighbors(spark, sf_dir), read_corpus(spark, sf_dir))
 
 
+@register("duplicate_report_lines", f"""WITH {_dup_pairs_sql()},
+KEEP AS (SELECT doc_id FROM NB WHERE rank = 1 AND neighbor_id > doc_id)
+SELECT p.path AS line FROM KEEP JOIN DOCP p USING (doc_id)
+UNION ALL
+SELECT chr(9) || q.path FROM NB JOIN KEEP USING (doc_id) JOIN DOCP q ON q.doc_id = NB.neighbor_id""")
+def duplicate_report_lines(spark, sf_dir):
+    """SNK-6: the report written as text and read back, line by line."""
+    from tessera.operators.duplicates import duplicate_report, write_report
+    from tessera.session import scratch_path
+
+    path = scratch_path(spark, "duplicate-report")
+    write_report(duplicate_report(_doc_neighbors(spark, sf_dir), read_corpus(spark, sf_dir)), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 SOURCE_NAMES = [(0, "SRC3"), (1, "scr3"), (2, "zzzzzzzzzz"), (3, "src1")]
 
 
@@ -684,6 +699,16 @@ def name_search(spark, sf_dir):
     return B.boolean_search(idx, NAME_QUERY, count=10)
 
 
+@register("name_search_stored", ORACLE["name_search"])
+def name_search_stored(spark, sf_dir):
+    """SNK-3 / CMP-6: the same search on the written name index."""
+    from tessera.session import scratch_path
+
+    path = scratch_path(spark, "names-index")
+    I.write_name_index(_part_docs(spark, sf_dir), path)
+    return B.boolean_search(I.read_index(spark, path), NAME_QUERY, count=10)
+
+
 @register("postings_stemmed", f"WITH {stemmed_index_ctes()} SELECT term, doc_id, tf FROM tf")
 def postings_stemmed(spark, sf_dir):
     """STR-3 / CMP-3 with the Porter analyzer (the reference default): stems
@@ -904,14 +929,14 @@ def corpus_roundtrip(spark, sf_dir):
 FROM (SELECT id, bucket, count(*) AS cnt FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
       FROM (SELECT doc_id, unnest({_embed_words_sql('text', None)}) AS w FROM documents)) GROUP BY ALL) GROUP BY id""")
 def vectors_roundtrip(spark, sf_dir):
-    """CMP-8 / SNK-4 / SRC-8: corpus embeddings written with their parameters
-    in the path (Q13) and read back."""
-    from tessera.operators.duplicates import embed_corpus
+    """CMP-8 / SNK-4 / SRC-8: corpus embeddings, computed and written by the
+    first call, found by the second."""
     from tessera.session import scratch_path
+    from tessera.sources.tables import corpus_vectors
 
-    out = scratch_path(spark, "vectors-dim768")
-    embed_corpus(read_corpus(spark, sf_dir)).write.mode("overwrite").parquet(out)
-    v = spark.read.parquet(out)
+    out, docs = scratch_path(spark, "vectors"), read_corpus(spark, sf_dir)
+    corpus_vectors(spark, out, docs)
+    v = corpus_vectors(spark, out, docs)
     return v.select(F.col("id").alias("doc_id"), F.size("idx").cast("bigint").alias("n_buckets"),
                     F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x).cast("bigint").alias("sq"))
 
@@ -919,14 +944,58 @@ def vectors_roundtrip(spark, sf_dir):
 @register("neighbors_roundtrip", f"""WITH {_dup_pairs_sql()}
 SELECT doc_id, list(neighbor_id ORDER BY rank) AS neighbors FROM NB GROUP BY doc_id""")
 def neighbors_roundtrip(spark, sf_dir):
-    """SNK-5 / SRC-9 / AGG-12: duplicate table written, re-read, folded into
-    per-document neighbour lists in rank order."""
+    """SNK-5 / SRC-9 / AGG-12: the duplicate table, computed and written by
+    the first call, found by the second, folded into per-document neighbour
+    lists in rank order."""
+    from tessera.operators.duplicates import embed_corpus
     from tessera.operators.knn import neighbor_lists
     from tessera.session import scratch_path
+    from tessera.sources.tables import duplicate_table
+
+    out, vectors = scratch_path(spark, "neighbors"), embed_corpus(read_corpus(spark, sf_dir))
+    duplicate_table(spark, out, vectors)
+    return neighbor_lists(duplicate_table(spark, out, vectors))
 
-    out = scratch_path(spark, "neighbors-k5-t0.99")
-    _doc_neighbors(spark, sf_dir).write.mode("overwrite").parquet(out)
-    return neighbor_lists(spark.read.parquet(out))
+
+@register("text_tree", """SELECT row_number() OVER (ORDER BY source || '/' || CAST(doc_id AS VARCHAR) || '.txt') - 1 AS doc_id, source,
+  source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, md5(text || chr(10)) AS text_md5 FROM documents""")
+def text_tree(spark, sf_dir):
+    """SRC-1 / WIN-1: the documents written as a tree of text files, a folder
+    per source and document, and read back whole (a text file ends with a line
+    end); ids are ordinals of the sorted paths."""
+    from tessera.session import scratch_path
+    from tessera.sources.corpus import read_text_tree
+
+    root = scratch_path(spark, "text-tree")
+    docs = read_corpus(spark, sf_dir).select(F.col("source").alias("band"), F.substring_index("path", "/", -1).alias("song"), "text")
+    docs.repartitionByRange("band", "song").write.partitionBy("band", "song").text(root)
+    tree = read_text_tree(spark, root, lambda p: F.regexp_replace(p, "^.*/band=([^/]*)/song=([^/]*)/[^/]*$", "$1/$2"))
+    return tree.select("doc_id", "source", "path", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@register("seed_list", "SELECT DISTINCT p_name AS name FROM part")
+def seed_list(spark, sf_dir):
+    """SRC-4: the distinct part names written one per line and read back."""
+    from tessera.session import scratch_path
+    from tessera.sources.corpus import read_seeds
+
+    path = scratch_path(spark, "seeds")
+    read_table(spark, sf_dir, "part").select("p_name").distinct().write.text(path)
+    return read_seeds(spark, path)
+
+
+@register("search_answers", """SELECT p_brand AS seed, row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey) - 1 AS hit_pos,
+  p_partkey AS artist_id, p_name AS artist_name FROM part""")
+def search_answers(spark, sf_dir):
+    """STR-15 / CMP-2: search answers, landed as JSON (an answer per brand and
+    size of ``part``), flattened to their hits."""
+    from tessera.operators.ingest import search_hits
+
+    artist = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    hit = F.struct("p_partkey", F.struct(F.struct(artist.alias("primary_artist")).alias("result")).alias("h"))
+    answers = read_table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("seed"), "p_size").agg(F.sort_array(F.collect_list(hit)).alias("l"))
+    landed = answers.select("seed", F.to_json(F.struct(F.struct(F.col("l.h").alias("hits")).alias("response"))).alias("json"))
+    return search_hits(landed)
 
 
 @register("posting_map_merge", f"WITH {index_ctes()} SELECT term, doc_id, tf FROM tf")
@@ -940,33 +1009,51 @@ def posting_map_merge(spark, sf_dir):
         "term", "doc_id", F.col("tf").cast("bigint"))
 
 
-@register("embed_with_user_model")
-def embed_with_user_model(spark, sf_dir):
-    """VEC-2: a user model plugged in as an iterator Arrow UDF (toy model:
-    normalised character-trigram hashing), applied to reduced texts."""
-    from tessera.functions.text import reduced_text
-    from tessera.functions.vectors import model_embedder
+_LETTERS_SQL = "list_transform(range(26), lambda i: CAST(length({0}) - length(replace({0}, chr(CAST(97 + i AS INTEGER)), '')) AS FLOAT))"
+
+
+def _letter_model():
+    """A user's model: how often each letter occurs."""
+    import numpy as np
 
-    def load():
-        import zlib
+    def model(texts):
+        rows = [np.frombuffer(t.lower().encode("utf-32-le"), np.uint32) for t in texts]
+        return np.stack([np.bincount(r[(r >= 97) & (r < 123)] - 97, minlength=26) for r in rows])
 
-        import numpy as np
+    return model
 
-        def model(texts):
-            out = np.zeros((len(texts), 32), dtype=np.float32)
-            for i, t in enumerate(texts):
-                s = t.lower()
-                for j in range(max(0, len(s) - 2)):
-                    out[i, zlib.crc32(s[j:j + 3].encode()) % 32] += 1
-                n = np.linalg.norm(out[i])
-                if n > 0:
-                    out[i] /= n
-            return out
-        return model
 
-    udf = model_embedder(load, dim=32)
+@register("embed_with_user_model", f"SELECT doc_id, {_LETTERS_SQL.format('lower(text)')} AS embedding FROM documents")
+def embed_with_user_model(spark, sf_dir):
+    """VEC-2: a user's model plugged in as an iterator Arrow UDF, applied to
+    the reduced texts, whole."""
+    from tessera.functions.text import reduced_text
+    from tessera.functions.vectors import model_embedder
+
     d = read_table(spark, sf_dir, "documents")
-    return d.select("doc_id", udf(reduced_text("text", 512)).alias("embedding"))
+    return d.select("doc_id", model_embedder(_letter_model, dim=26)(reduced_text("text")).alias("embedding"))
+
+
+@register("ml_search_user_model", f"""WITH {index_ctes()},
+C AS (SELECT doc_id, round(score, 9) AS tfidf, row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) - 1 AS l0_rank
+      FROM sc WHERE term = 'license' QUALIFY l0_rank < 100),
+E AS (SELECT doc_id, list_transform({_LETTERS_SQL.format('lower(text)')}, lambda x: CAST(x AS DOUBLE)) AS v FROM documents),
+Q AS (SELECT list_transform({_LETTERS_SQL.format("'license'")}, lambda x: CAST(x AS DOUBLE)) AS v),
+S AS (SELECT C.*, round(list_dot_product(E.v, Q.v) / (sqrt(list_dot_product(E.v, E.v)) * sqrt(list_dot_product(Q.v, Q.v))), 6) AS cos_sim
+      FROM C JOIN E USING (doc_id) CROSS JOIN Q)
+SELECT 0::BIGINT AS query_id, row_number() OVER (ORDER BY cos_sim DESC, l0_rank) - 1 AS rank, doc_id, CAST(l0_rank AS BIGINT) AS l0_rank, tfidf, cos_sim
+FROM S QUALIFY rank < 20""")
+def ml_search_user_model(spark, sf_dir):
+    """VEC-2 / CMP-7: search reranked by a user's model on both sides."""
+    from tessera.functions.text import reduced_text
+    from tessera.functions.vectors import model_embedder
+    from tessera.operators.rerank import ml_search
+
+    docs, embed = read_corpus(spark, sf_dir), model_embedder(_letter_model, dim=26)
+    queries = _queries_df(spark, [(0, "license")])
+    vectors = docs.select(F.col("doc_id").alias("id"), embed(reduced_text("text")).alias("vec"))
+    asked = queries.select(F.col("query_id").alias("id"), embed(F.col("query")).alias("vec"))
+    return ml_search(I.build_index(docs), docs, queries, doc_vectors=vectors, query_vectors=asked)
 
 
 # --- streaming ----------------------------------------------------------------

@@ -83,16 +83,17 @@ def with_ordinal(df: DataFrame, order_col, key: str, out_col: str = "doc_id") ->
     return df.join(narrow.select(key, out_col), key)
 
 
-def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
+def read_text_tree(spark: SparkSession, root: str, key=path_key) -> DataFrame:
     """SRC-1: one document per file under ``root/<band>/<song>.txt``; ids are
-    ordinals of the sorted ``band/song`` paths (WIN-1)."""
+    ordinals of the sorted ``band/song`` paths (WIN-1).  ``key`` makes that
+    path from a file's full path (default: its last two parts)."""
     files = (spark.read.format("text").option("wholetext", True)
              .option("recursiveFileLookup", True).load(root)
              .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text")))
     # _metadata.file_path is a URI: percent-encoded ("Alice%20in%20Chains"),
     # but a "+" in it is a plus, which url_decode would turn into a space
     plain = F.url_decode(F.replace(F.regexp_replace("file_path", "^file:", ""), F.lit("+"), F.lit("%2B")))
-    files = files.select(path_key(plain).alias("path"), "text")
+    files = files.select(key(plain).alias("path"), "text")
     files = files.withColumn("source", source_of_path("path"))
     return with_ordinal(files, "path", "path").select("doc_id", "source", "path", "text")
 

@@ -1,7 +1,6 @@
 """Every query of the catalog against its DuckDB oracle statement (sf0.001).
 
-The driver runs the same comparison at sf0.01.  A query without an exact SQL
-form must name the columns and the row count it returns in ``WITHOUT_SQL``."""
+The driver runs the same comparison at sf0.01."""
 
 import math
 import os
@@ -46,23 +45,12 @@ def _rows(cols, records):
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
 
 
-WITHOUT_SQL = {
-    "embed_with_user_model": (["doc_id", "embedding"], 200),
-}
-
-
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF)
     cols = df.columns
     got = _rows(cols, [tuple(r) for r in df.collect()])
-    sql = ORACLE.get(name)
-    if sql is None:
-        want, n = WITHOUT_SQL[name]
-        assert sorted(cols) == want
-        assert got and (n is None or len(got) == n)
-        return
-    res = duck.execute(sql)
+    res = duck.execute(ORACLE[name])  # every query has its statement
     dcols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(dcols)
     assert got == _rows(dcols, res.fetchall())

@@ -79,3 +79,20 @@ def test_seed_list(spark, tmp_path):
     p = tmp_path / "seeds.txt"
     p.write_text("ABBA\nAC-DC\nAlice in Chains\n")
     assert [r.name for r in read_seeds(spark, str(p)).collect()] == ["ABBA", "AC-DC", "Alice in Chains"]
+
+
+def test_stored_tables_are_computed_once(spark, tmp_path):
+    from tessera.sources.tables import stored
+
+    calls = []
+
+    def compute():
+        calls.append(1)
+        return spark.range(3)
+
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        assert stored(spark, path, {"k": 5}, compute).count() == 3
+    assert len(calls) == 1
+    with pytest.raises(ValueError):
+        stored(spark, path, {"k": 6}, compute)
