@@ -7,11 +7,12 @@ is FTRL-proximal with per-coordinate rates and L1: most weights are exactly
 zero, so the broadcast model holds the others only, at most 2**BITS.
 
 The classifier is fitted on a bounded sample: labelled rows in the order of a
-hash, about ``max_rows`` of them.  They are dealt to ``SHARDS`` tasks; each
-round every task runs over its rows from the common state and Spark averages
-the states per coordinate.  L1 grows with the root of a shard's rows, as the
-noise of a coordinate's summed gradients does.  Scoring covers every row, in
-tasks.
+hash, about ``max_rows`` of them.  They are dealt to tasks of about
+``SHARD_ROWS``; each round every task runs over its rows from the common state
+and Spark averages the states per coordinate.  L1 grows with the root of a shard's rows, as the
+noise of a coordinate's summed gradients does.  Features that fewer than
+``ADMIT`` rows of a shard hold are not passed on (they cannot outgrow L1).
+Scoring covers every row, in tasks.
 
 Rows: NULL and empty texts have the bias alone, so score the base rate; labels
 that are NULL or belong to NULL ids are not learned from; the largest label of
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from tessera.llm._common import POLY, batch, map_arrow, mix, word_hashes, written
 
 BITS = 20
-SHARDS, ROUNDS, MAX_ROWS = 6, 5, 12_000
+SHARD_ROWS, ROUNDS, MAX_ROWS = 2_000, 4, 12_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.1, 0.0
+ADMIT = 5
 THRESHOLD = 0.3
 #: The skipped distances of pairs.
 GAPS = (1, 2)
@@ -70,17 +72,19 @@ def probability(x):
 
 
 def _round(state, l1: float):
-    schema = pa.schema([("at", pa.int32()), ("z", pa.float64()), ("n", pa.float64())])
+    schema = pa.schema([("at", pa.int32()), ("z", pa.float32()), ("n", pa.float32())])
 
     def run(batches):
         z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-        at, z0, n0 = state.value
-        z[at], n[at] = z0, n0
+        z[state.value[0]], n[state.value[0]] = state.value[1:]
         model = Ftrl(z, n, l1)
+        rows = np.zeros(BIAS + 1, np.int32)
         for b in batches:
             for text, label in zip(b.column("text"), b.column("label").to_pylist(), strict=True):
-                model.learn(features(text.as_py()), label)
-        seen = np.flatnonzero(model.n)
+                at = features(text.as_py())
+                rows[at] += 1
+                model.learn(at, label)
+        seen = np.flatnonzero(rows >= ADMIT)
         if len(seen):
             yield batch(schema, seen, model.z[seen], model.n[seen])
 
@@ -93,18 +97,19 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     total = known.count()
     share = min(1.0, max_rows / max(1, total))
-    l1 = L1 * float(np.sqrt(min(total, max_rows) / SHARDS))
+    shards = max(1, round(min(total, max_rows) / SHARD_ROWS))
+    l1 = L1 * float(np.sqrt(min(total, max_rows) / shards))
     order = F.pmod(F.xxhash64("doc_id"), F.lit(2**30))
     chosen = known.where(order < int(share * 2**30)).where("label in (0, 1)")
     # about max_rows short rows, a bound
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = written(rows.withColumn("order", order).repartition(SHARDS, F.pmod("order", F.lit(SHARDS))).sortWithinPartitions("order"), "toxic-sample")
+    rows = written(rows.withColumn("order", order).repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order"), "toxic-sample")
     state = (np.array([], np.int64), np.array([]), np.array([]))
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(state)
-        dealt = rows.repartition(SHARDS, F.pmod("order", F.lit(SHARDS))).sortWithinPartitions("order")
-        steps = map_arrow(dealt.select("text", "label"), _round(shared, l1), "at int, z double, n double")
-        t = steps.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).orderBy("at").toArrow()  # at most 2**BITS + 1 rows
+        dealt = rows.repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order")
+        steps = map_arrow(dealt.select("text", "label"), _round(shared, l1), "at int, z float, n float")
+        t = steps.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()  # at most 2**BITS + 1 rows
         state = (t.column("at").to_numpy().astype(np.int64), t.column("z").to_numpy(), t.column("n").to_numpy())
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
     z[state[0]], n[state[0]] = state[1], state[2]
