@@ -21,9 +21,12 @@ Links.  Tiles are counted in Spark; only keys that two texts share go on.
    blocks compare all nodes of different components.
 
 In both steps a hashed bitmap signature (parity of the shingles per bit) comes
-first: the bits that differ bound the overlap from above.  What passes is
-decided by exact intersection of the sorted arrays.  Components of the links
-follow by alternating stars.
+first: the bits that differ bound the overlap from above.  Only for pairs that
+pass are the sorted arrays made and shuffled, and intersected exactly.  Texts
+are never shuffled: the documents whose arrays are wanted are picked in the
+scan by a Bloom filter of their ids (at most 2**28 bits, 32 MB; where that
+fills up, more arrays are made than needed, and dropped by the join that
+follows).  Components of the links follow by alternating stars.
 
 Rows: NULL and empty texts (or texts without words) have the empty set, link
 with nothing and are their own component; rows that share a doc_id are taken
@@ -45,6 +48,8 @@ SHINGLE, PERCENT = 5, 80
 SPARE = 3
 #: Nodes of one block of a tile.
 BLOCK = 256
+#: Bound of the Bloom filter of wanted documents, as a power of two of bits.
+MOST_BITS = 28
 
 
 def band_starts(top: int = 2**40) -> list[int]:
@@ -114,13 +119,21 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _sets(shingle: int):
-    schema = pa.schema([("d", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
+def _sets(shingle: int, percent: int):
+    """(d, n_shingles, node, level, sig, sig_next): sizes and signatures."""
+    schema = pa.schema([("d", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("level", pa.int32()), ("sig", pa.binary()), ("sig_next", pa.binary())])
 
     def run(batches):
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in b.column("words")]
-            yield batch(schema, b.column("d"), [len(s) for s in sets], [node_hash(s) if len(s) else None for s in sets])
+            out = []
+            for t in b.column("words"):
+                s = shingle_set(t.as_py(), shingle)
+                if len(s):
+                    v = levels_of(len(s), percent)[0]
+                    out.append((len(s), node_hash(s), v, signature(s, v).tobytes(), signature(s, v + 1).tobytes()))
+                else:
+                    out.append((0, None, None, None, None))
+            yield batch(schema, b.column("d"), *zip(*out, strict=True)) if out else batch(schema, *([] for _ in schema))
 
     return run
 
@@ -150,54 +163,79 @@ def _keys(shingle: int, percent: int):
     return run
 
 
-def _members(shingle: int, percent: int):
-    """(node, leader, level, next, words, sig, sig_next) of the texts that a tile holds."""
-    schema = pa.schema([("node", pa.int64()), ("leader", pa.int64()), ("level", pa.int32()), ("words", pa.binary()), ("sig", pa.binary()), ("sig_next", pa.binary())])
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for t, node, leader in zip(b.column("words"), b.column("node").to_pylist(), b.column("leader").to_pylist(), strict=True):
-                s = shingle_set(t.as_py(), shingle)
-                if len(s) and node_hash(s) == node:
-                    v = levels_of(len(s), percent)
-                    out.append((node, leader, v[0], s.tobytes(), signature(s, v[0]).tobytes(), signature(s, v[0] + 1).tobytes()))
-            if out:
-                yield batch(schema, *zip(*out, strict=True))
-
-    return run
-
-
 def _differ(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1).astype(np.int64)
 
 
-def _verify(percent: int):
-    """Links among rows of two sets: bit bound first, exact intersection then."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _bounded(percent: int):
+    """The pairs whose signatures, on the level of the larger set, allow a link."""
+    schema = pa.schema([("node", pa.int64()), ("node2", pa.int64())])
 
     def run(batches):
         for t in batches:
-            a, b = [], []
+            out = []
             for r in t.to_pylist():
                 if abs(r["level"] - r["level2"]) > 1:
                     continue
                 top = max(r["level"], r["level2"])
                 x = np.frombuffer(r["sig"] if r["level"] == top else r["sig_next"], np.uint64)
                 y = np.frombuffer(r["sig2"] if r["level2"] == top else r["sig_next2"], np.uint64)
-                s, o = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["words2"], np.uint64)
-                if may_link(np.int64(len(s)), len(o), _differ(x, y), percent) and links(s, o, percent):
-                    a.append(r["node"])
-                    b.append(r["node2"])
-            yield batch(schema, a, b)
+                if may_link(np.int64(r["size"]), r["size2"], _differ(x, y), percent):
+                    out.append((r["node"], r["node2"]))
+            if out:
+                yield batch(schema, *zip(*out, strict=True))
 
     return run
 
 
+def _exact(percent: int):
+    """The pairs whose sorted arrays link."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for t in batches:
+            out = []
+            for a, b, x, y in zip(t.column("node").to_pylist(), t.column("node2").to_pylist(), t.column("words"), t.column("words2"), strict=True):
+                if links(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent):
+                    out.append((a, b))
+            if out:
+                yield batch(schema, *zip(*out, strict=True))
+
+    return run
+
+
+def _arrays(src: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, words): sorted arrays of the nodes of ``wanted(node, d)``, made
+    from the text of document d.  A Bloom filter of the ids picks the documents
+    in the scan; the join drops what it let through."""
+    bits = 1 << min(MOST_BITS, max(16, int(16 * wanted.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("d"), F.lit(bits))
+    t = (wanted.select(slot.alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("at"))
+         .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("mask"))).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[t.column("at").to_numpy()] = t.column("mask").to_numpy()
+    held = src.sparkSession.sparkContext.broadcast(table)
+    schema = pa.schema([("node", pa.int64()), ("words", pa.binary())])
+
+    def run(batches):
+        mask = held.value.view(np.uint64)
+        for b in batches:
+            at = b.column("slot").to_numpy()
+            hit = np.flatnonzero((mask[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            texts = b.column("words")
+            sets = [shingle_set(texts[int(i)].as_py(), shingle) for i in hit]
+            sets = [s for s in sets if len(s)]
+            if sets:
+                yield batch(schema, [node_hash(s) for s in sets], [s.tobytes() for s in sets])
+
+    made = map_arrow(src.select(slot.alias("slot"), "words"), run, "node bigint, words binary")
+    return written(made.join(wanted.select("node"), "node", "left_semi"), "shingle-arrays")
+
+
 def _tile_pairs(percent: int):
     """Pairs of nodes of different components in a tile (rows of a tile
     follow one another) whose signatures allow a link."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("node", pa.int64()), ("node2", pa.int64())])
 
     def pairs(node, root, block, size, sig):
         order = np.lexsort((node, size))
@@ -241,8 +279,7 @@ def _open_tiles(rows: DataFrame, members: DataFrame, roots: DataFrame) -> DataFr
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
                .where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    sized = members.select("node", "level", "sig", "sig_next", (F.length("words") / 8).cast("bigint").alias("size"))
-    inside = rooted.join(written(several, "open-tiles"), "key").join(sized, "node")
+    inside = rooted.join(written(several, "open-tiles"), "key").join(members.select("node", "level", "sig", "sig_next", "size"), "node")
     own = F.col("level") == F.col("key").bitwiseAND(F.lit(63))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -256,7 +293,7 @@ def link_table(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     """(nodes, links): nodes(d, n_shingles, node) per row of ``docs``; links
     (a, b) between nodes, enough of them to join each component."""
     src = docs.select(id_key().alias("d"), F.col("text").cast("binary").alias("words"))
-    nodes = written(map_arrow(src, _sets(shingle), "d bigint, n_shingles bigint, node bigint"), "shingle-nodes")
+    nodes = written(map_arrow(src, _sets(shingle, percent), "d bigint, n_shingles bigint, node bigint, level int, sig binary, sig_next binary"), "shingle-nodes")
     keys = map_arrow(src.select("words"), _keys(shingle, percent), "key bigint, node bigint")
     shared = written(keys.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
     met = written(keys.join(shared, "key").distinct(), "met-keys")
@@ -268,23 +305,23 @@ def link_table(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     heads = weighted.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("head"))
     leaders = (rows.select("key", "node").join(written(heads, "tile-heads"), "key")
                .groupBy("node").agg(F.max("head").alias("head")).select("node", F.col("head.node").alias("leader")))
-    first = nodes.where("node is not null").groupBy("node").agg(F.min("d").alias("d"))
-    wanted = leaders.join(first, "node")
-    members = map_arrow(src.join(wanted, "d"), _members(shingle, percent),
-                        "node bigint, leader bigint, level int, words binary, sig binary, sig_next binary")
-    members = written(members, "members")
-
-    def verified(pairs: DataFrame, left: DataFrame) -> DataFrame:
-        right = members.select(*(F.col(c).alias(f"{c}2") for c in ("node", "level", "words", "sig", "sig_next")))
-        return map_arrow(left.join(pairs, "node").join(right, "node2"), _verify(percent), "a bigint, b bigint")
-
-    sides = members.drop("leader")
-    chosen = members.where("node <> leader").select("node", F.col("leader").alias("node2"))
-    edges = written(verified(chosen, sides), "links-1")
+    first = nodes.where("node is not null").groupBy("node").agg(
+        F.min(F.struct("d", F.col("n_shingles").alias("size"), "level", "sig", "sig_next")).alias("f"))
+    members = written(first.join(leaders, "node").select("node", "leader", "f.*"), "members")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select("node").unionByName(pairs.select(F.col("node2").alias("node"))).distinct()
+        arrays = _arrays(src, written(members.select("node", "d").join(ends, "node"), "wanted-arrays"), shingle)
+        other = arrays.select(F.col("node").alias("node2"), F.col("words").alias("words2"))
+        return map_arrow(arrays.join(pairs, "node").join(other, "node2"), _exact(percent), "a bigint, b bigint")
+
+    heads = members.select(*(F.col(c).alias(f"{c}2") for c in ("node", "size", "level", "sig", "sig_next")))
+    chosen = members.where("node <> leader").withColumn("node2", F.col("leader")).join(heads, "node2")
+    close = written(map_arrow(chosen, _bounded(percent), "node bigint, node2 bigint"), "pairs-1")
+    edges = written(verified(close), "links-1")
     opened = _open_tiles(rows.drop("n"), members, components(edges))
-    rest = map_arrow(opened, _tile_pairs(percent), "a bigint, b bigint").distinct()
-    more = written(verified(written(rest.toDF("node", "node2"), "pairs-2"), sides), "links-2")
-    return nodes, edges.unionByName(more)
+    rest = written(map_arrow(opened, _tile_pairs(percent), "node bigint, node2 bigint").distinct(), "pairs-2")
+    return nodes.select("d", "n_shingles", "node"), edges.unionByName(written(verified(rest), "links-2"))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
