@@ -38,6 +38,9 @@ class Index:
     analyzer: str = "lower"
     stored_term_stats: DataFrame | None = None  # (term, df) written with the index
     stored_num_docs: int | None = None          # N written with the index
+    # (term, doc_id, tf, doc_len) of one tokenising pass, with a row of NULL
+    # term per document: postings and doc_stats are its two halves
+    staged: DataFrame | None = None
 
     def term_stats(self) -> DataFrame:
         """AGG-4: document frequency per term (stored table, else a partial +
@@ -97,29 +100,33 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
     # from the whole text first, since deletion never touches whitespace.
     words = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), split_words(text_col).alias("w"))
     stats = words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"))
-    # explode_outer (+ the non-empty filter, which also drops its NULL row):
-    # a plain explode makes Spark infer ``size(words) > 0`` and push it below
-    # the scan's round-robin spread, splitting every text twice, once in the
-    # scan task.
-    toks = (words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"), F.explode_outer("w").alias("w0"))
+    # One element more than words: its row (past the last word) stands for the
+    # document itself, so that lengths come out of the same pass.
+    # explode_outer: a plain explode makes Spark infer a size filter and push
+    # it below the scan's round-robin spread, splitting every text twice, once
+    # in the scan task.
+    own = F.concat("w", F.array(F.lit(None).cast("string")))
+    toks = (words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"), F.explode_outer(own).alias("w0"))
             .select("doc_id", "doc_len", strip_punctuation("w0").alias("tok"))
-            .where(F.col("tok") != ""))
+            .where(F.col("tok").isNull() | (F.col("tok") != "")))
     if analyzer == "lower":
-        postings = (toks.groupBy(F.lower("tok").alias("term"), "doc_id", "doc_len")
-                    .agg(F.count(F.lit(1)).alias("tf")))
-    elif analyzer == "porter":
+        staged = toks.groupBy(F.lower("tok").alias("term"), "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
+        staged = staged.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "doc_len")
+        return Index(staged.where("term is not null"), stats, analyzer, staged=staged)
+    if analyzer == "porter":
         # Count raw word forms per document first (partial aggregation shrinks
         # the stream to postings) and write the counts once: the vocabulary,
         # the hot forms and the stems all read them.  Several forms of one
         # stem in a document add up.
         raw = write_once(toks.withColumnRenamed("tok", "token")
                          .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")), "word-forms")
+        stats = raw.where("token is null").select("doc_id", "doc_len")
+        raw = raw.where("token is not null")
         stemmed = skew_split_join(raw, stem_vocabulary(raw), "token", "n")
         postings = stemmed.groupBy("term", "doc_id", "doc_len").agg(F.sum("tf").alias("tf"))
-    else:
-        raise ValueError(f"unknown analyzer {analyzer!r}")
-    postings = postings.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "doc_len")
-    return Index(postings=postings, doc_stats=stats, analyzer=analyzer)
+        postings = postings.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "doc_len")
+        return Index(postings, stats, analyzer)
+    raise ValueError(f"unknown analyzer {analyzer!r}")
 
 
 def merge_stats(stats: DataFrame) -> DataFrame:
@@ -186,7 +193,10 @@ def write_index(index: Index, path: str, num_partitions: int | None = None) -> N
     """SNK-2: range-partition by term and sort by (term, doc_id) so Parquet
     row-group min/max statistics on ``term`` let a lookup read only the row
     groups of the query terms (SRC-7)."""
-    p = index.postings
+    p, stats = index.postings, index.doc_stats
+    if index.staged is not None:  # one tokenising pass for both
+        once = write_once(index.staged, "staged-postings")
+        p, stats = once.where("term is not null"), once.where("term is null").select("doc_id", "doc_len")
     # (term, doc_id) range keys: a hot term is split over several tasks/files
     # while the files stay globally ordered by term.
     p = (p.repartitionByRange(num_partitions, "term", "doc_id") if num_partitions
@@ -201,7 +211,7 @@ def write_index(index: Index, path: str, num_partitions: int | None = None) -> N
     (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
      .repartitionByRange("term").sortWithinPartitions("term")
      .write.mode("overwrite").parquet(f"{path}/term_stats"))
-    index.doc_stats.write.mode("overwrite").parquet(f"{path}/doc_stats")
+    stats.write.mode("overwrite").parquet(f"{path}/doc_stats")
     n = spark.read.parquet(f"{path}/doc_stats").count()
     spark.createDataFrame([(index.analyzer, n)], "analyzer string, num_docs bigint").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
