@@ -7,11 +7,15 @@ are never compared with one another.
 Candidates (lossless).  Sizes fall into bands that grow by half; a node works
 on the level of its own band and, if it can link to a larger set, on the next
 one.  Two sets that link on a level whose sizes stay below ``hi`` differ in at
-most ``d = floor((1 - t) / (1 + t) * 2 * (hi - 1))`` shingles, so if the hash
-range is cut into more than ``d`` parts, some part holds the same shingles in
-both.  The hash of (level, part, shingles in it) is the key of a *tile*: each
-linking pair meets in a tile.  ``SPARE`` parts more let a node leave out up
-to ``SPARE`` empty parts.
+most ``d = floor((1 - t) / (1 + t) * 2 * (hi - 1))`` shingles.  The hash range
+is cut into ``parts > d`` parts, so the sets hold the same shingles in at least
+``parts - d`` of them.  The hash of (level, part, shingles in it) is the key of
+a *tile*.  A node with E empty parts shares at least ``parts - d - E`` tiles of
+shingles with a partner, so it may leave out the ``parts - d - E - 1`` most
+popular ones (in one order for all nodes: the least popular tile that two sets
+share is never left out by either).  Passages that many documents share make
+popular tiles, which go; a node that meets others in too few tiles goes
+altogether.  A node with too many empty parts names those too.
 
 Links.  Tiles are counted in Spark; only keys that two texts share go on.
 
@@ -38,14 +42,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._common import POLY, as_i64, batch, from_key, id_key, map_arrow, mix, word_hashes, written
 from tessera.llm._graph import components
 
 SHINGLE, PERCENT = 5, 80
-SPARE = 3
+#: Parts beyond the d + 1 that a level needs: so many, and a share of d.
+SPARE, SHARE = 3, 4
 #: Nodes of one block of a tile.
 BLOCK = 256
 #: Bound of the Bloom filter of wanted documents, as a power of two of bits.
@@ -86,19 +91,21 @@ def levels_of(n: int, percent: int) -> list[int]:
     return [own, own + 1] if 100 * n >= percent * int(_LO[own + 1]) else [own]
 
 
-def tile_keys(s: np.ndarray, level: int, percent: int) -> np.ndarray:
-    """Keys of a set's tiles on one level; the lowest six bits are the level."""
+def tile_keys(s: np.ndarray, level: int, percent: int) -> tuple[np.ndarray, int]:
+    """(keys of a set's tiles on one level, how many of the most popular may be
+    left out); the lowest six bits of a key are the level."""
     d = (100 - percent) * 2 * (int(_LO[level + 1]) - 1) // (100 + percent)
-    parts = d + 1 + SPARE
+    parts = d + 1 + SPARE + d // SHARE
     at = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(s ^ np.uint64(level + 1)), dtype=np.uint64)))
     p = np.arange(parts, dtype=np.uint64)
     lo, hi = np.searchsorted(at, p, "left"), np.searchsorted(at, p, "right")
     keys = mix(total[hi] - total[lo] + p * np.uint64(POLY) + (hi - lo).astype(np.uint64))
     full = hi > lo
-    if parts - int(full.sum()) <= SPARE:
+    spare = int(full.sum()) - d - 1
+    if spare >= 0:
         keys = keys[full]
-    return (keys & ~np.uint64(63)) | np.uint64(level)
+    return (keys & ~np.uint64(63)) | np.uint64(level), max(0, spare)
 
 
 def signature(s: np.ndarray, level: int) -> np.ndarray:
@@ -108,7 +115,7 @@ def signature(s: np.ndarray, level: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def may_link(n: np.ndarray, m: int, differ: np.ndarray, percent: int) -> np.ndarray:
+def may_link(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
     """The overlap is at most (n + m - differing bits) / 2."""
     most = (n + m - differ) // 2
     return 100 * most >= percent * (n + m - most)
@@ -139,14 +146,14 @@ def _sets(shingle: int, percent: int):
 
 
 def _keys(shingle: int, percent: int):
-    """(key, node); a task names the keys of a repeated node once (it forgets
-    nodes when it has met many: a key row more does no harm)."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+    """(key, node, spare); a task names the keys of a repeated node once (it
+    forgets nodes when it has met many: a key row more does no harm)."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("spare", pa.int32())])
 
     def run(batches):
         met: set[int] = set()
         for b in batches:
-            keys, nodes = [], []
+            keys, nodes, spares = [], [], []
             for t in b.column("words"):
                 s = shingle_set(t.as_py(), shingle)
                 if not len(s) or (node := node_hash(s)) in met:
@@ -154,11 +161,13 @@ def _keys(shingle: int, percent: int):
                 if len(met) > 200_000:
                     met.clear()
                 met.add(node)
-                k = np.concatenate([tile_keys(s, v, percent) for v in levels_of(len(s), percent)])
-                keys.append(k)
-                nodes.append(np.full(len(k), node, np.int64))
+                for v in levels_of(len(s), percent):
+                    k, spare = tile_keys(s, v, percent)
+                    keys.append(k)
+                    nodes.append(np.full(len(k), node, np.int64))
+                    spares.append(np.full(len(k), spare, np.int32))
             if keys:
-                yield batch(schema, as_i64(np.concatenate(keys)), np.concatenate(nodes))
+                yield batch(schema, as_i64(np.concatenate(keys)), np.concatenate(nodes), np.concatenate(spares))
 
     return run
 
@@ -237,38 +246,45 @@ def _tile_pairs(percent: int):
     follow one another) whose signatures allow a link."""
     schema = pa.schema([("node", pa.int64()), ("node2", pa.int64())])
 
-    def pairs(node, root, block, size, sig):
-        order = np.lexsort((node, size))
-        node, root, block, size, sig = node[order], root[order], block[order], size[order], sig[order]
-        one = block.min() == block.max()
-        last = np.searchsorted(100 * size, 100 * size * 100 // percent, "right")
-        for i in range(len(node)):
-            j = slice(i + 1, last[i])
-            ok = may_link(size[j], int(size[i]), _differ(sig[j], sig[i]), percent) & (root[j] != root[i])
-            if not one:
-                ok &= block[j] != block[i]
-            for k in np.flatnonzero(ok):
-                x, y = int(node[i]), int(node[i + 1 + k])
-                yield (x, y) if x < y else (y, x)
+    def pairs(t: pa.RecordBatch):
+        """All pairs within the tiles of ``t``: rows k apart, for every k that
+        some tile spans."""
+        tile, node, root, block, size = (t.column(c).to_numpy() for c in ("tile", "node", "root", "block", "size"))
+        col = t.column("sig")
+        ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+        width, data = np.diff(ends), np.frombuffer(col.buffers()[2], np.uint8)
+        starts = np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1])))
+        one = np.repeat(np.minimum.reduceat(block, starts) == np.maximum.reduceat(block, starts), np.diff(np.append(starts, len(tile))))
+        sigs = {int(w): data[ends[:-1][width == w][:, None] + np.arange(w)].view(np.uint64) for w in np.unique(width)}
+        place = np.zeros(len(tile), np.int64)
+        for w in sigs:
+            place[width == w] = np.arange((width == w).sum())
+        for k in range(1, len(tile)):
+            i = np.flatnonzero(tile[k:] == tile[:-k])
+            if not len(i):
+                break
+            j = i + k
+            low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            ok = (root[i] != root[j]) & (one[i] | (block[i] != block[j])) & (100 * low >= percent * high) & (width[i] == width[j])
+            i, j = i[ok], j[ok]
+            for w, sig in sigs.items():
+                at = width[i] == w
+                x, y = i[at], j[at]
+                fit = may_link(size[x], size[y], _differ(sig[place[x]], sig[place[y]]), percent)
+                x, y = node[x[fit]], node[y[fit]]
+                yield from zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)
 
     def run(batches):
-        held: list = []
-
-        def flush():
-            if len(held) > 1:
-                node, root, block, size = (np.array([r[c] for r in held], np.int64) for c in (1, 2, 3, 4))
-                sig = np.stack([np.frombuffer(r[5], np.uint64) for r in held])
-                out = set(pairs(node, root, block, size, sig))
-                if out:
-                    yield batch(schema, *zip(*out, strict=True))
-
+        held = None  # the rows of the last tile, which may go on in the next batch
         for t in batches:
-            for r in zip(*(c.to_pylist() for c in t.columns), strict=True):
-                if held and held[0][0] != r[0]:
-                    yield from flush()
-                    held = []
-                held.append(r)
-        yield from flush()
+            t = t if held is None else pa.concat_batches([held, t])
+            tile = t.column("tile").to_numpy()
+            cut = int(np.flatnonzero(tile == tile[-1])[0]) if len(tile) else 0
+            held = t.slice(cut)
+            if cut and (out := set(pairs(t.slice(0, cut)))):
+                yield batch(schema, *zip(*out, strict=True))
+        if held is not None and held.num_rows and (out := set(pairs(held))):
+            yield batch(schema, *zip(*out, strict=True))
 
     return run
 
@@ -289,16 +305,24 @@ def _open_tiles(rows: DataFrame, members: DataFrame, roots: DataFrame) -> DataFr
             .repartition("tile").sortWithinPartitions("tile"))
 
 
+def _several(rows: DataFrame) -> DataFrame:
+    """(key, n) of the keys that several nodes have; ``rows`` are distinct."""
+    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def link_table(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(nodes, links): nodes(d, n_shingles, node) per row of ``docs``; links
     (a, b) between nodes, enough of them to join each component."""
     src = docs.select(id_key().alias("d"), F.col("text").cast("binary").alias("words"))
     nodes = written(map_arrow(src, _sets(shingle, percent), "d bigint, n_shingles bigint, node bigint, level int, sig binary, sig_next binary"), "shingle-nodes")
-    keys = map_arrow(src.select("words"), _keys(shingle, percent), "key bigint, node bigint")
+    keys = map_arrow(src.select("words"), _keys(shingle, percent), "key bigint, node bigint, spare int")
     shared = written(keys.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
     met = written(keys.join(shared, "key").distinct(), "met-keys")
-    tiles = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = written(met.join(tiles, "key"), "tiles")
+    several = written(_several(met), "popular-keys")
+    popular = Window.partitionBy("node", F.col("key").bitwiseAND(F.lit(63))).orderBy(F.desc("n"), "key")  # a node's keys
+    left = met.join(several, "key").withColumn("place", F.row_number().over(popular)).where("place > spare").select("key", "node")
+    left = written(left, "left-keys")
+    rows = written(left.join(written(_several(left), "tile-sizes"), "key"), "tiles")
 
     central = rows.groupBy("node").agg(F.sum("n").alias("weight"))
     weighted = rows.select("key", "node").join(central, "node")

@@ -139,8 +139,9 @@ def test_every_linked_pair_shares_a_tile():
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
         b = np.unique(np.concatenate((a[rng.random(len(a)) > 0.07], rng.integers(0, 2**63, int(rng.integers(0, n // 12 + 1))).astype(np.uint64))))
         if len(b) and ngram_join.links(a, b, 80):
-            keys = [np.concatenate([ngram_join.tile_keys(s, v, 80) for v in ngram_join.levels_of(len(s), 80)]) for s in (a, b)]
-            assert len(np.intersect1d(*keys))
+            keys = {v: [ngram_join.tile_keys(s, v, 80) for s in (a, b)] for v in set(ngram_join.levels_of(len(a), 80)) & set(ngram_join.levels_of(len(b), 80))}
+            # whichever tiles count as the most popular: more are shared than may be left out
+            assert any(len(np.intersect1d(x[0], y[0])) > max(x[1], y[1]) for x, y in keys.values())
             top = max(ngram_join.levels_of(len(a), 80)[0], ngram_join.levels_of(len(b), 80)[0])
             differ = int(np.bitwise_count(ngram_join.signature(a, top) ^ ngram_join.signature(b, top)).sum())
             assert ngram_join.may_link(np.int64(len(a)), len(b), differ, 80)
