@@ -355,8 +355,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     full = nodes.where("node is not null")
     roots = components(edges)
     first = full.groupBy("node").agg(F.min("d").alias("d")).join(roots, "node", "left")
-    first = first.select("node", "d", F.coalesce("root", "node").alias("root"))
-    least = first.groupBy("root").agg(F.min("d").alias("c"))
+    # both written, so that AQE can split the join of a large component
+    first = written(first.select("node", "d", F.coalesce("root", "node").alias("root")), "component-nodes")
+    least = written(first.groupBy("root").agg(F.min("d").alias("c")), "component-ids")
     named = written(first.join(least, "root").select("node", "c"), "component-names")
     out = nodes.join(named, "node", "left").withColumn("c", F.coalesce("c", "d"))
     return out.select(from_key("d").alias("doc_id"), "n_shingles", from_key("c").alias("component_id"))
