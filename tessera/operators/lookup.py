@@ -32,12 +32,11 @@ def materialize_small(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFram
 
 
 def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
-    """``df`` computed once: a local relation if small, else its reliable
-    checkpoint, so that no later use runs its plan again."""
+    """``df`` for several uses without running its plan at each: a local
+    relation if small (one run), else its reliable checkpoint (a second run)."""
     from tessera.session import reliable_checkpoint
 
-    once = reliable_checkpoint(df)
-    return materialize_small(once, max_rows) or once
+    return materialize_small(df, max_rows) or reliable_checkpoint(df)
 
 
 def ranges(values: list, most: int = MAX_RANGES) -> list[tuple]:
