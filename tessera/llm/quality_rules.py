@@ -3,9 +3,10 @@
 Every rule votes for good (+1) or junk (-1) or abstains (0).  The votes of a
 document form a pattern; with K rules there are at most 3**K patterns, so the
 table of pattern counts over *all* documents is small whatever the input.
-Expectation-maximisation on these counts estimates the share of good documents
-and, per rule and class, the chance of each vote (a rule's accuracy), and gives
-every pattern its posterior probability of quality.  Documents at or above
+Expectation-maximisation on these counts estimates the shares of the classes
+(good documents, unlike kinds of junk) and, per rule and class, the chance of
+each vote (a rule's accuracy, held by a weak prior only), and gives every
+pattern its posterior probability of quality.  Documents at or above
 ``threshold`` are kept; the base rules of the contract (fewer than 10 words, a
 fifth of the words in repeated windows) also fail a document by themselves.
 
@@ -64,8 +65,8 @@ def _kinds() -> np.ndarray:
 
 
 def rules(prefix: str = "") -> dict[str, Column]:
-    """Votes over the counts (shares are cross-multiplied: no division).  Most
-    rules know junk only and abstain otherwise."""
+    """Votes over the counts (shares are cross-multiplied: no division).  Each
+    rule vouches for clearly clean documents and abstains in between."""
     def c(name: str) -> Column:
         return F.col(prefix + name)
 
@@ -81,9 +82,18 @@ def rules(prefix: str = "") -> dict[str, Column]:
         "marks": 5 * c("n_marks") > words,
         "stutter": 5 * c("n_stutter") > words,
     }
-    good = {"length": words >= 40}
-    never = F.lit(False)
-    return {k: F.when(v, F.lit(-1)).when(good.get(k, never), F.lit(1)).otherwise(F.lit(0)) for k, v in junk.items()}
+    good = {
+        "length": words >= 40,
+        "repeats": 20 * c("n_repeat_words") <= words,
+        "symbols": 100 * c("n_symbols") <= words,
+        "word_length": (chars >= 3 * words) & (chars <= 8 * words),
+        "lines": 10 * c("n_dup_lines") <= lines,
+        "capitals": 10 * c("n_upper") <= letters,
+        "letters": 10 * letters >= 9 * chars,
+        "marks": 20 * c("n_marks") <= words,
+        "stutter": 20 * c("n_stutter") <= words,
+    }
+    return {k: F.when(v, F.lit(-1)).when(good[k] & (words > 0), F.lit(1)).otherwise(F.lit(0)) for k, v in junk.items()}
 
 
 def measured(docs: DataFrame, carry: list[str], prefix: str = "") -> DataFrame:
@@ -103,37 +113,67 @@ def measured(docs: DataFrame, carry: list[str], prefix: str = "") -> DataFrame:
     return map_arrow(rows, run, ", ".join(fields)).withColumn(prefix + "pattern", pattern.cast("int"))
 
 
-#: A junk vote is taken to be right at least so often.
-MIN_ACCURACY = 0.98
+#: A class of documents is junk if the rules besides its foremost one turn
+#: against it by so much in sum (1: a rule withholds its good vote in every document).
+AGREE = 0.5
 
 
-def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 1.0, floor: float = MIN_ACCURACY) -> tuple[np.ndarray, np.ndarray, float]:
-    """EM over patterns: (posterior of good per pattern, chance of each vote
-    [class, rule, vote], share of good).  Starts from the belief that one junk
-    vote outweighs silence.  Two classes cannot hold several unlike kinds of
-    junk, and would drift to the one whose rules fire together; so a rule's
-    accuracy is estimated above ``floor`` only: the chance of its junk vote on
-    good documents is bounded accordingly."""
-    total = counts.sum()
-    good = np.where((votes < 0).any(1), 0.05, 0.95)
-    onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)  # pattern, rule, vote
-    belief = prior * np.array([[1.0, 1.0, 0.1], [0.1, 1.0, 1.0]])[:, None, :]
+def _em(onehot: np.ndarray, counts: np.ndarray, post: np.ndarray, rounds: int, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """EM from the class posteriors ``post`` [class, pattern]: (posteriors,
+    chance of each vote [class, rule, vote], class shares, log likelihood).
+    Nothing holds the chances but ``prior`` pseudo-counts."""
     for _ in range(rounds):
-        weight = np.stack([counts * (1 - good), counts * good])
-        sums = np.einsum("cp,prv->crv", weight, onehot) + belief
-        least = floor * sums[:, :, 0].sum(0)
-        move = np.clip(least - sums[0, :, 0], 0, None)  # junk votes that the floor takes from the good class
-        sums[0, :, 0] += move
-        sums[1, :, 0] -= move
+        weight = post * counts
+        sums = np.einsum("cp,prv->crv", weight, onehot) + prior
         chance = sums / sums.sum(2, keepdims=True)
-        share = (weight[1].sum() + prior) / (total + 2 * prior)
-        log = np.einsum("prv,crv->cp", onehot, np.log(chance)) + np.log([1 - share, share])[:, None]
-        now = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
-        done = np.abs(now - good).max(initial=0) < 1e-9
-        good = now
+        share = (weight.sum(1) + prior) / (counts.sum() + prior * len(post))
+        log = np.einsum("prv,crv->cp", onehot, np.log(chance)) + np.log(share)[:, None]
+        top = log.max(0)
+        whole = top + np.log(np.exp(log - top).sum(0))
+        now = np.exp(log - whole)
+        done = np.abs(now - post).max(initial=0) < 1e-9
+        post = now
         if done:
             break
-    return good, chance, float(share)
+    return post, chance, share, float(counts @ whole)
+
+
+def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 1.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """EM over patterns: (posterior of good per pattern, chance of each vote
+    [class, rule, vote], share of good).  Within a class the rules vote
+    independently, and their accuracies are estimated freely.
+
+    One class of junk cannot hold several unlike kinds, so there are as many
+    as the counts bear out: starting from one class of all documents, the
+    documents that some rule calls junk are split off as a further class as
+    long as that lowers the Bayesian information criterion.  A rule that fires
+    by itself, however often, bears out no class: independent votes explain
+    it.  A class is junk if at least two rules turn against it, compared with
+    the classes found good, the most vouched for being the first; so no rule
+    condemns documents that all others vouch for."""
+    onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)  # pattern, rule, vote
+    k = votes.shape[1]
+    cost = (2 * k + 1) * np.log(max(counts.sum(), 2)) / 2  # of one more class
+    best = _em(onehot, counts, np.ones((1, len(counts))), rounds, prior)
+    for _ in range(k):
+        tried = []
+        for r in range(k):
+            fires = votes[:, r] < 0
+            if fires.any() and not fires.all():
+                moved = np.where(fires, 0.95, 0.05)
+                tried.append(_em(onehot, counts, np.vstack([best[0] * (1 - moved), moved]), rounds, prior))
+        top = max(tried, key=lambda t: t[3], default=best)
+        if top[3] - cost <= best[3]:
+            break
+        best = top
+    post, chance, share, _ = best
+    good = np.arange(len(share)) == np.argmax((chance[:, :, 2] - chance[:, :, 0]).sum(1))  # most vouched for
+    for _ in share:
+        clean = np.einsum("c,crv->rv", share * good, chance) / share[good].sum()
+        fired = np.clip(chance[:, :, 0] - clean[:, 0], 0, None)  # class, rule: junk votes beyond those of good classes
+        turned = fired + np.clip(clean[:, 2] - chance[:, :, 2], 0, None)  # and good votes withheld
+        good = good | (turned.sum(1) - turned.max(1) < AGREE) | (fired.sum(1) < AGREE)
+    return post[good].sum(0), chance, float(share[good].sum())
 
 
 def posteriors(rows: DataFrame, prefix: str = "") -> DataFrame:
