@@ -8,6 +8,10 @@ besides white space are counted by hash; the repeated ones are then grouped by
 their very bytes.  The first occurrence (smallest doc_id, then row hash, then
 line) stays, all others go.
 
+Boundaries near the ends of a passage depend on what surrounds it, so short
+shared passages are found in part only (README).  ``all_starts`` judges the
+windows of ``min_lines`` lines at every start instead and misses none.
+
 DataFrame functions only.  Counts are partial aggregates; a text is shuffled
 once, on its own key, and the exchange serves both joins; bodies travel only
 for chunks whose hash repeats, each chunk's rows reduced before the shuffle.
@@ -49,8 +53,9 @@ def _body(lines: Column, start: Column, n: Column) -> Column:
     return F.array_join(F.slice(lines, start + 1, n), "\n")
 
 
-def _chunks(lines: Column, divisor: int, min_lines: int) -> Column:
-    """Chunks (start, n, key) of at least ``min_lines`` lines."""
+def _chunks(lines: Column, divisor: int, min_lines: int, all_starts: bool) -> Column:
+    """Chunks (start, n, key) of at least ``min_lines`` lines; with
+    ``all_starts`` the windows of ``min_lines`` lines instead."""
     def ends(hashes: Column) -> Column:
         def end(h: Column, i: Column) -> Column:
             before = [F.coalesce(F.get(hashes, i - k), F.lit(0).cast("bigint")) * ROLL[k] for k in (1, 2)]
@@ -70,17 +75,22 @@ def _chunks(lines: Column, divisor: int, min_lines: int) -> Column:
         body = _body(lines, c["start"], c["n"])
         return _let(body, lambda x: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.when(x.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(x)).alias("key")))
 
+    if all_starts:
+        last = F.size(lines) - min_lines
+        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: keyed(F.struct(i.alias("start"), F.lit(min_lines).alias("n"))))
     return _let(_let(F.transform(lines, _line_hash), ends), lambda cuts: F.transform(spans(cuts), keyed))
 
 
-def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES, all_starts: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``text`` freed of repeated chunks, plus
-    n_lines and n_removed."""
+    n_lines and n_removed.  With ``all_starts`` every run of ``min_lines`` lines
+    is judged, whatever the boundaries: no repeated run is missed."""
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     # in a struct no column of the input can clash with one of ours
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("_row"), id_key().alias("_d"), "text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_rest"))
 
-    cut = docs.select(F.xxhash64("doc_id", "text").alias("_row"), F.explode(_let(_lines(), lambda lines: _chunks(lines, divisor, min_lines))).alias("c"))
+    cut = docs.select(F.xxhash64("doc_id", "text").alias("_row"), F.explode(_let(_lines(), lambda lines: _chunks(lines, divisor, min_lines, all_starts))).alias("c"))
     cut = written(cut.select("_row", "c.*").where("key is not null"), "line-chunks")
     repeated = written(cut.groupBy("key").count().where("count > 1").select("key"), "repeated-chunks")
     suspects = cut.join(repeated, "key").groupBy("_row").agg(F.collect_set(F.struct("start", "n")).alias("suspects"))
@@ -92,8 +102,14 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LI
               .groupBy(F.col("o._row").alias("_row")).agg(F.collect_list("o.start").alias("kept")))
 
     kept = F.coalesce("kept", F.array().cast("array<int>"))
-    gone = _let(kept, lambda k: F.flatten(F.transform(F.filter("suspects", lambda c: ~F.array_contains(k, c["start"])),
-                                                      lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1))))
+    def gone_of(k: Column) -> Column:
+        if all_starts:  # windows overlap; a set operation, as a long text has many
+            others = F.array_except(F.transform("suspects", lambda c: c["start"]), k)
+            return F.array_distinct(F.flatten(F.transform(others, lambda i: F.sequence(i, i + min_lines - 1))))
+        others = F.filter("suspects", lambda c: ~F.array_contains(k, c["start"]))
+        return F.flatten(F.transform(others, lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
+
+    gone = _let(kept, gone_of)
 
     def freed(lines: Column, gone: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)

@@ -6,7 +6,7 @@ import string
 import numpy as np
 import pytest
 
-from tessera.llm import quality_rules
+from tessera.llm import line_dedup, quality_rules
 
 
 def words(rng, n):
@@ -50,3 +50,26 @@ def test_em_estimates_a_poor_rule(rule, share):
     kept = good[at.ravel()] >= 0.5
     assert kept[hot].mean() > 0.97 and kept[kind == 0].mean() > 0.97
     assert (~kept[kind > 0]).mean() > 0.97 and abs(whole - 0.84) < 0.03
+
+
+# --- 1 line dedup: short shared passages ------------------------------------
+
+@pytest.mark.parametrize("n", [2, 3, 4, 6, 10, 20])
+def test_shared_passages_go_whole(spark, n):
+    rng = random.Random(n)
+
+    def lines(k):
+        return [" ".join(words(rng, 6)) for _ in range(k)]
+
+    rows, want = [], {}
+    for p in range(40):
+        passage = lines(n)
+        for copy in range(3):
+            before, after = lines(3), lines(3)
+            rows.append((3 * p + copy, "\n".join([*before, *passage, *after])))
+            want[3 * p + copy] = "\n".join([*before, *([] if copy else passage), *after])
+    rows += [(1000, None), (1001, ""), (1002, "x"), (1003, "a\nb\na\nb\na\nc"), (1004, "\n\n\n\n")]
+    want |= {1000: None, 1001: "", 1002: "x", 1003: "a\nb\nc", 1004: "\n\n\n\n"}
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), all_starts=True).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert all(r.n_removed == (n if r.doc_id % 3 else 0) for r in got if r.doc_id < 1000)
