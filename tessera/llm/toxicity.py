@@ -9,10 +9,11 @@ zero, so the broadcast model holds the others only, at most 2**BITS.
 The classifier is fitted on a bounded sample: labelled rows in the order of a
 hash, about ``max_rows`` of them.  They are dealt to tasks of about
 ``SHARD_ROWS``; each round every task runs over its rows from the common state
-and Spark averages the states per coordinate.  L1 grows with the root of a shard's rows, as the
-noise of a coordinate's summed gradients does.  Features that fewer than
-``ADMIT`` rows of a shard hold are not passed on (they cannot outgrow L1).
-Scoring covers every row, in tasks.
+and sends back the state of the coordinates that its rows hold, each of them;
+the driver averages the states per coordinate (at most MAX_ROWS / SHARD_ROWS
+times 2**BITS numbers, no shuffle).  L1 grows with the root of a shard's rows,
+as the noise of a coordinate's summed gradients does.  Scoring covers every
+row, in tasks.
 
 Rows: NULL and empty texts have the bias alone, so score the base rate; labels
 that are NULL or belong to NULL ids are not learned from; the largest label of
@@ -30,9 +31,8 @@ from pyspark.sql import functions as F
 from tessera.llm._common import POLY, batch, map_arrow, mix, word_hashes, written
 
 BITS = 20
-SHARD_ROWS, ROUNDS, MAX_ROWS = 2_000, 4, 12_000
+SHARD_ROWS, ROUNDS, MAX_ROWS = 2_000, 5, 12_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.1, 0.0
-ADMIT = 5
 THRESHOLD = 0.3
 #: The skipped distances of pairs.
 GAPS = (1, 2)
@@ -78,19 +78,26 @@ def _round(state, l1: float):
         z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
         z[state.value[0]], n[state.value[0]] = state.value[1:]
         model = Ftrl(z, n, l1)
-        rows = np.zeros(BIAS + 1, np.int32)
+        held = np.zeros(BIAS + 1, bool)
         for b in batches:
             for text, label in zip(b.column("text"), b.column("label").to_pylist(), strict=True):
                 at = features(text.as_py())
-                rows[at] += 1
+                held[at] = True
                 model.learn(at, label)
-        seen = np.flatnonzero(rows >= ADMIT)
+        seen = np.flatnonzero(held)
         if len(seen):
             yield batch(schema, seen, model.z[seen], model.n[seen])
 
     return run
 
 
+def _averaged(z: np.ndarray, n: np.ndarray, at: np.ndarray, new_z: np.ndarray, new_n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean state over the shards that hold a row of a coordinate: the others
+    have not looked at it, and would only thin out a rare word's state."""
+    held = np.bincount(at, minlength=BIAS + 1)
+    return tuple(np.where(held > 0, np.bincount(at, new, BIAS + 1) / np.maximum(held, 1), old).astype(np.float32) for old, new in ((z, new_z), (n, new_n)))
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) that are not zero.  ``labels`` (doc_id, toxic)."""
     spark = docs.sparkSession
@@ -103,16 +110,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
     chosen = known.where(order < int(share * 2**30)).where("label in (0, 1)")
     # about max_rows short rows, a bound
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = written(rows.withColumn("order", order).repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order"), "toxic-sample")
-    state = (np.array([], np.int64), np.array([]), np.array([]))
+    rows = written(rows.withColumn("order", order), "toxic-sample")
+    dealt = rows.repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order").select("text", "label").persist()
+    z, n = np.zeros(BIAS + 1, np.float32), np.zeros(BIAS + 1, np.float32)
     for _ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(state)
-        dealt = rows.repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order")
-        steps = map_arrow(dealt.select("text", "label"), _round(shared, l1), "at int, z float, n float")
-        t = steps.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()  # at most 2**BITS + 1 rows
-        state = (t.column("at").to_numpy().astype(np.int64), t.column("z").to_numpy(), t.column("n").to_numpy())
-    z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-    z[state[0]], n[state[0]] = state[1], state[2]
+        at = np.flatnonzero(n)
+        shared = spark.sparkContext.broadcast((at.astype(np.int32), z[at], n[at]))
+        t = map_arrow(dealt, _round(shared, l1), "at int, z float, n float").toArrow()
+        z, n = _averaged(z, n, *(t.column(c).to_numpy() for c in ("at", "z", "n")))
+        shared.destroy()
+    dealt.unpersist()
+    z, n = z.astype(float), n.astype(float)
     w = Ftrl(z, n, l1).weights(np.arange(BIAS + 1))
     at = np.flatnonzero(w)
     return at, w[at]

@@ -2,11 +2,12 @@
 
 import random
 import string
+import zlib
 
 import numpy as np
 import pytest
 
-from tessera.llm import line_dedup, quality_rules
+from tessera.llm import line_dedup, quality_rules, toxicity
 
 
 def words(rng, n):
@@ -73,3 +74,45 @@ def test_shared_passages_go_whole(spark, n):
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), all_starts=True).collect()
     assert {r.doc_id: r.text for r in got} == want
     assert all(r.n_removed == (n if r.doc_id % 3 else 0) for r in got if r.doc_id < 1000)
+
+
+# --- 7 toxicity: words in few rows ------------------------------------------
+
+def rare_rows(per_word, n=1200, toxic=120, length=12, seed=3):
+    """(rows, labels): every toxic word is in ``per_word`` training rows and
+    in one held-out row, and is the only signal there."""
+    rng = random.Random(seed)
+    ids = iter(range(10**6))
+    clean = [f"w{i}" for i in range(200)]
+    rows, labels = [], []
+
+    def add(label, word, held):
+        d = next(i for i in ids if (zlib.crc32(str(i).encode()) % 4 == 2) == held)
+        w = rng.choices(clean, k=length)
+        rows.append((d, " ".join([*w[:length // 2], *([word] if word else []), *w[length // 2:]])))
+        labels.append((d, label))
+
+    for k in range(toxic // per_word):
+        for _ in range(per_word):
+            add(1, f"bad{per_word}x{k}", False)
+        add(1, f"bad{per_word}x{k}", True)
+    for i in range(n - toxic):
+        add(0, None, i % 4 == 0)
+    return rows, labels
+
+
+@pytest.mark.parametrize("per_word", [3, 4])
+def test_toxicity_learns_rare_words(spark, per_word):
+    rows, labels = rare_rows(per_word, length=2)
+    docs, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    truth = dict(labels)
+    out = [(r.predicted, truth[r.doc_id]) for r in toxicity.predict(docs, marks).collect() if r.held_out]
+    assert np.mean([p for p, t in out if t]) > 0.7 and np.mean([p for p, t in out if not t]) < 0.05
+
+
+def test_toxicity_averages_all_states():
+    z, n = np.zeros(toxicity.BIAS + 1), np.zeros(toxicity.BIAS + 1)
+    z[[3, 4, toxicity.BIAS]], n[[3, 4, toxicity.BIAS]] = (8, 9, 2), (4, 2, 1)
+    at = np.array([3, 5, toxicity.BIAS, toxicity.BIAS])  # two shards: one row each
+    new_z, new_n = toxicity._averaged(z, n, at, np.array([10.0, 7, 4, 6]), np.array([6.0, 3, 2, 4]))
+    assert new_z[[3, 4, 5, toxicity.BIAS]].tolist() == [10, 9, 7, 5] and new_n[[3, 4, 5, toxicity.BIAS]].tolist() == [6, 2, 3, 3]
