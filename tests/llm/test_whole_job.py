@@ -116,3 +116,26 @@ def test_toxicity_averages_all_states():
     at = np.array([3, 5, toxicity.BIAS, toxicity.BIAS])  # two shards: one row each
     new_z, new_n = toxicity._averaged(z, n, at, np.array([10.0, 7, 4, 6]), np.array([6.0, 3, 2, 4]))
     assert new_z[[3, 4, 5, toxicity.BIAS]].tolist() == [10, 9, 7, 5] and new_n[[3, 4, 5, toxicity.BIAS]].tolist() == [6, 2, 3, 3]
+
+
+# --- pipeline: exact copies -------------------------------------------------
+
+def test_pipeline_leaves_one_of_exact_copies(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rng = random.Random(9)
+
+    def prose(k):
+        return "\n".join(" ".join(words(rng, 8)) for _ in range(k))
+
+    rows = []
+    for g in range(12):  # groups of 5 copies, of 2 to 13 lines
+        text = prose(g + 2)
+        rows += [(100 * g + i, text) for i in range(5)]
+    first, second = prose(6), prose(6)
+    rows += [(5000, first), (5001, second), (5002, f"{first}\n{second}"), (5003, prose(4)), (None, prose(5))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'en' lang", "'src0' source", "length(text) n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = P.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id for r in got), key=lambda d: (d is not None, d)) == [None, *(100 * g for g in range(12)), 5000, 5001, 5003]
+    assert all(r.n_tokens > 0 for r in got)
