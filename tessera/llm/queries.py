@@ -18,6 +18,7 @@ from tessera.llm import (
     quality_rules,
     substring_dedup,
     token_counts,
+    token_links,
     toxicity,
 )
 from tessera.llm._common import documents
@@ -77,12 +78,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(documents(spark, sf_dir), spec, eod=50256)
 
 
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align_files(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.transform(documents(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_language_id, op4_adaptive_scan, op5_ngram_join,
-                            op6_bpe, op7_toxicity, op8_mixing, op9_substring_dedup, op10_token_counts, op13_fill_middle)
+                            op6_bpe, op7_toxicity, op8_mixing, op9_substring_dedup, op10_token_counts, op12_token_links, op13_fill_middle)
 }
 ORACLE: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op8_mixing": mixing.oracle(), "op13_fill_middle": fill_middle.ORACLE}
