@@ -9,8 +9,9 @@ and a document's links are weighed by these counts.
 Lockstep.  The texts of a block are walked at once: one NumPy state vector
 holds, per document, the next A token and the next B token.  A step compares
 the two ends of all documents, moves whichever side is behind (both where the
-ends are equal), and emits the cuts of the step and the links of the groups
-that they close; documents that have come to their end leave the state vector.
+ends are equal), and emits the cuts of the step, from which the links of the
+groups that they close follow; documents that have come to their end leave the
+state vector.
 
 Blocks.  A task takes its texts in blocks of about ``BLOCK_BYTES``.  A block
 has a dictionary of its own distinct id pairs with the number of its documents
@@ -48,6 +49,8 @@ from tessera.llm.bpe import byte_alphabet, read_spec
 BLOCK_BYTES, CALL_BYTES = 4 << 20, 256 << 10
 #: Token pairs up to which a group's links are written out one by one.
 WIDE = 64
+#: Cuts that are turned into links at once.
+RUN = 1 << 16
 #: An id pair as one number: A times this, plus B.  Ids of B are smaller.
 PAIR_BITS = 20
 PAIR = 1 << PAIR_BITS
@@ -127,7 +130,7 @@ def encoded(sides: Sides, texts: list[str | None]) -> tuple[list[np.ndarray], li
         part = [texts[i] for i in at]
         for i, x, y in zip(at, sides.encode_a(part), sides.encode_b(part), strict=True):
             want = b" " + texts[i].encode()
-            if b"".join(map(sides.bytes_a.__getitem__, x)) == want == b"".join(map(sides.bytes_b.__getitem__, y)):
+            if b"".join([sides.bytes_a[k] for k in x]) == want == b"".join([sides.bytes_b[k] for k in y]):
                 a[i], b[i] = np.array(x, np.int32), np.array(y, np.int32)
 
     size, at = 0, []
@@ -161,13 +164,27 @@ def walk(a: Tokens, b: Tokens):
                 doc, i, j, i0, j0, stop = (v[going] for v in (doc, i, j, i0, j0, stop))
 
 
+def gathered(steps, least: int):
+    """The cuts of successive steps, in runs of at least ``least``, so that a
+    step of few documents costs no more than its own comparisons."""
+    held, size = [], 0
+    for cuts in steps:
+        held.append(cuts)
+        size += len(cuts[0])
+        if size >= least:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
 def _spread(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     """lo[k], lo[k] + 1, ... for n[k] numbers, one after another."""
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
 
 
 def group_links(a: Tokens, b: Tokens, cuts: tuple[np.ndarray, ...]):
-    """(doc, pair, times) of the groups that one step has closed."""
+    """(doc, pair, times) of the groups that steps have closed."""
     doc, i0, i1, j0, j1 = cuts
     na, nb = i1 - i0, j1 - j0
     single = (na == 1) & (nb == 1)
@@ -220,7 +237,7 @@ def align(sides: Sides, names: Names, width_a: np.ndarray, width_b: np.ndarray,
     n = len(texts)
     last_a, last_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
     docs, pairs, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for cuts in walk(a, b):
+    for cuts in gathered(walk(a, b), RUN):
         last_a[cuts[2] - 1], last_b[cuts[4] - 1] = True, True
         for d, p, t in group_links(a, b, cuts):
             docs.append(d)
