@@ -14,6 +14,7 @@ from tessera.llm import (
     language_id,
     line_dedup,
     mixing,
+    neighbour_votes,
     ngram_join,
     quality_rules,
     substring_dedup,
@@ -78,6 +79,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(documents(spark, sf_dir), spec, eod=50256)
 
 
+def op11_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_votes.predict(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_links.align_files(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
 
@@ -88,6 +93,6 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_language_id, op4_adaptive_scan, op5_ngram_join,
-                            op6_bpe, op7_toxicity, op8_mixing, op9_substring_dedup, op10_token_counts, op12_token_links, op13_fill_middle)
+                            op6_bpe, op7_toxicity, op8_mixing, op9_substring_dedup, op10_token_counts, op11_neighbour_votes, op12_token_links, op13_fill_middle)
 }
 ORACLE: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op8_mixing": mixing.oracle(), "op13_fill_middle": fill_middle.ORACLE}

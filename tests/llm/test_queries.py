@@ -42,7 +42,10 @@ def test_contract_columns(spark):
     want = {"op2_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
             "op3_language_id": {"doc_id", "held_out", "lang_pred", "score"}, "op4_adaptive_scan": {"query_id", "rank", "vec_id", "score"},
             "op5_ngram_join": {"doc_id", "n_shingles", "component_id"}, "op6_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
-            "op7_toxicity": {"doc_id", "held_out", "score", "predicted"}, "op9_substring_dedup": {"doc_id", "n_words", "n_removed", "kept_sha256"}}
+            "op7_toxicity": {"doc_id", "held_out", "score", "predicted"}, "op9_substring_dedup": {"doc_id", "n_words", "n_removed", "kept_sha256"},
+            "op11_neighbour_votes": {"doc_id", "held_out", "score", "predicted"},
+            "op12_token_links": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
+            "op13_fill_middle": {"doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"}}
     for name, cols in want.items():
         assert cols <= set(E.queries()[name](spark, SF).columns), name
 
