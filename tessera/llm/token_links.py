@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,6 +48,10 @@ from tessera.llm.bpe import byte_alphabet, read_spec
 
 #: Bytes of text of a block, and of a call of a tokenizer.
 BLOCK_BYTES, CALL_BYTES = 4 << 20, 256 << 10
+#: Characters of chunks that are encoded as one text.
+JOINED = 16 << 10
+#: Chunks that a task remembers before it starts afresh, and their length.
+MEMORY, LONG = 300_000, 100
 #: Token pairs up to which a group's links are written out one by one.
 WIDE = 64
 #: Cuts that are turned into links at once.
@@ -55,6 +60,9 @@ RUN = 1 << 16
 PAIR_BITS = 20
 PAIR = 1 << PAIR_BITS
 
+#: White space that a cut at every single space would not leave whole.
+ODD_SPACE = re.compile(r"^\s|\s\s|\s$")
+
 
 @dataclass
 class Sides:
@@ -120,29 +128,96 @@ class Tokens:
         return cls(ids, upto - np.repeat(base, np.diff(first)), first)
 
 
-def encoded(sides: Sides, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Ids of every text; none for texts that either side does not spell."""
-    none = np.empty(0, np.int32)
-    a, b = [none] * len(texts), [none] * len(texts)
-    todo = [i for i, t in enumerate(texts) if t]
+def chunks(text: str) -> list[str]:
+    """``text`` cut before every single space that stands between two
+    characters that are not white; these spaces are left out."""
+    if not ODD_SPACE.search(text):
+        return text.split(" ")
+    out: list[str] = []
+    for part in text.split(" "):
+        if out and (not part or not out[-1] or part[0].isspace() or out[-1][-1].isspace()):
+            out[-1] += " " + part
+        else:
+            out.append(part)
+    return out
+
 
-    def call(at: list[int]) -> None:
-        part = [texts[i] for i in at]
-        for i, x, y in zip(at, sides.encode_a(part), sides.encode_b(part), strict=True):
-            want = b" " + texts[i].encode()
-            if b"".join([sides.bytes_a[k] for k in x]) == want == b"".join([sides.bytes_b[k] for k in y]):
-                a[i], b[i] = np.array(x, np.int32), np.array(y, np.int32)
+class Encoder:
+    """Ids of texts by both tokenizers.  A's pattern ends a piece before a single
+    space, and B merges nothing across one if none of its pieces holds a space
+    behind another character; so the ids of a text are those of its chunks, and
+    chunks are remembered.  Otherwise texts are encoded whole."""
+
+    def __init__(self, sides: Sides, width_a: np.ndarray, width_b: np.ndarray):
+        self.sides, self.widths = sides, (width_a, width_b)
+        self.cut = not any(b" " in piece.lstrip(b" ") for piece in sides.bytes_b)
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def whole(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Both sides' ids; None where a side does not spell a space and the text."""
+        out, sides = [], self.sides
+        for lo, hi in runs(list(map(len, texts)), CALL_BYTES):
+            part = texts[lo:hi]
+            for t, x, y in zip(part, sides.encode_a(part), sides.encode_b(part), strict=True):
+                want = b" " + t.encode()
+                same = b"".join([sides.bytes_a[k] for k in x]) == want == b"".join([sides.bytes_b[k] for k in y])
+                out.append((np.array(x, np.int32), np.array(y, np.int32)) if same else None)
+        return out
 
-    size, at = 0, []
-    for i in todo:
-        at.append(i)
-        size += len(texts[i])
-        if size >= CALL_BYTES:
-            call(at)
-            size, at = 0, []
-    if at:
-        call(at)
-    return a, b
+    def learn(self, new: list[str]) -> None:
+        """Ids of chunks, as bytes.  Those without white space at their ends are
+        encoded many at once, as the text that they make."""
+        plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
+        rows = [plain[lo:hi] for lo, hi in runs(list(map(len, plain)), JOINED)]
+        odd = [c for c in new if not c or c[0].isspace() or c[-1].isspace()]
+        for row, found in zip(rows, self.whole([" ".join(row) for row in rows]), strict=True):
+            if found is None:
+                odd += row
+                continue
+            ends = np.cumsum([len(c.encode()) + 1 for c in row])
+            cut = [np.searchsorted(np.cumsum(w[ids]), ends, "right").tolist() for w, ids in zip(self.widths, found, strict=True)]
+            x, y = (ids.tobytes() for ids in found)
+            i = j = 0
+            for c, i1, j1 in zip(row, *cut, strict=True):
+                self.known[c] = x[4 * i:4 * i1], y[4 * j:4 * j1]
+                i, j = i1, j1
+        for c, found in zip(odd, self.whole(odd), strict=True):
+            self.known[c] = found and tuple(ids.tobytes() for ids in found)
+
+    def of(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of every text; none for texts that either side does not spell."""
+        none = np.empty(0, np.int32)
+        a, b = [none] * len(texts), [none] * len(texts)
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        rows = {i: chunks(t) if self.cut else [t] for i, t in enumerate(texts) if t}
+        new = list({c for row in rows.values() for c in row}.difference(self.known))
+        self.learn(new)
+        known, left = self.known, []
+        for i, row in rows.items():
+            found = [known[c] for c in row]
+            if None in found:  # a chunk is not spelled: the text as a whole decides
+                left.append(i)
+                continue
+            x, y = zip(*found, strict=True)
+            a[i], b[i] = np.frombuffer(b"".join(x), np.int32), np.frombuffer(b"".join(y), np.int32)
+        for i, found in zip(left, self.whole([texts[i] for i in left]), strict=True):
+            if found:
+                a[i], b[i] = found
+        for c in new:
+            if len(c) > LONG:
+                del known[c]
+        return a, b
+
+
+def runs(sizes: list[int], most: int):
+    """(start, end) of successive runs of about ``most``."""
+    lo = size = 0
+    for i, n in enumerate(sizes, 1):
+        size += n
+        if size >= most or i == len(sizes):
+            yield lo, i
+            lo, size = i, 0
 
 
 def walk(a: Tokens, b: Tokens):
@@ -228,11 +303,11 @@ class Names:
         return out
 
 
-def align(sides: Sides, names: Names, width_a: np.ndarray, width_b: np.ndarray, texts: list[str | None]) -> dict:
+def align(encoder: Encoder, names: Names, width_a: np.ndarray, width_b: np.ndarray, texts: list[str | None]) -> dict:
     """A block: per document n_a, n_b, n_groups, n_links, groups_sha256, links
     (places in the dictionary, with offsets) and times; the dictionary's pairs
     and in how many documents of the block each is linked."""
-    rows_a, rows_b = encoded(sides, texts)
+    rows_a, rows_b = encoder.of(texts)
     a, b = Tokens.of(rows_a, width_a), Tokens.of(rows_b, width_b)
     n = len(texts)
     last_a, last_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
@@ -244,14 +319,15 @@ def align(sides: Sides, names: Names, width_a: np.ndarray, width_b: np.ndarray,
             pairs.append(p)
             times.append(t)
     doc, pair, times = np.concatenate(docs), np.concatenate(pairs), np.concatenate(times)
-    known, place = np.unique(pair, return_inverse=True)
+    known = np.unique(pair)
     # links of a document with the same pair become one, with its multiplicity
-    key = doc * max(1, len(known)) + place
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
-    times = np.add.reduceat(times[order], at) if len(at) else times
-    doc, place = np.divmod(key[at], max(1, len(known)))
+    key = doc * max(1, len(known)) + np.searchsorted(known, pair)
+    if (times == 1).all():
+        key, times = np.unique(key, return_counts=True)
+    else:
+        key, where = np.unique(key, return_inverse=True)
+        times = np.bincount(where, times, len(key)).astype(np.int64)
+    doc, place = np.divmod(key, max(1, len(known)))
     return {
         "n_a": np.diff(a.first), "n_b": np.diff(b.first),
         "n_groups": np.diff(np.concatenate(([0], np.cumsum(last_a)))[a.first]),
@@ -288,8 +364,8 @@ def _blocks(spec, model, block_bytes: int):
         import uuid
 
         sides = Sides.load(spec.value, model.value)
-        names = Names(len(sides.bytes_a), len(sides.bytes_b))
         width_a, width_b = (np.array(list(map(len, t)), np.int64) for t in (sides.bytes_a, sides.bytes_b))
+        encoder, names = Encoder(sides, width_a, width_b), Names(len(sides.bytes_a), len(sides.bytes_b))
         ids, texts, size = [], [], 0
         for b in batches:
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
@@ -297,10 +373,10 @@ def _blocks(spec, model, block_bytes: int):
                 texts.append(t.as_py())
                 size += len(texts[-1] or "") + 1
                 if size >= block_bytes:
-                    yield from _block_rows(uuid.uuid4().hex, ids, align(sides, names, width_a, width_b, texts))
+                    yield from _block_rows(uuid.uuid4().hex, ids, align(encoder, names, width_a, width_b, texts))
                     ids, texts, size = [], [], 0
         if ids:
-            yield from _block_rows(uuid.uuid4().hex, ids, align(sides, names, width_a, width_b, texts))
+            yield from _block_rows(uuid.uuid4().hex, ids, align(encoder, names, width_a, width_b, texts))
 
     return run
 

@@ -39,7 +39,7 @@ class Index:
     stored_term_stats: DataFrame | None = None  # (term, df) written with the index
     stored_num_docs: int | None = None          # N written with the index
     # (term, doc_id, tf, doc_len) of one tokenising pass, with a row of NULL
-    # term per document: postings and doc_stats are its two halves
+    # term per document, for writers: postings and doc_stats are its two halves
     staged: DataFrame | None = None
 
     def term_stats(self) -> DataFrame:
@@ -100,25 +100,30 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
     # from the whole text first, since deletion never touches whitespace.
     words = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), split_words(text_col).alias("w"))
     stats = words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"))
-    # One element more than words: its row (past the last word) stands for the
-    # document itself, so that lengths come out of the same pass.
+    length = F.size("w").cast("bigint").alias("doc_len")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        tf = rows.groupBy(F.lower("tok").alias("term"), "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
+        return tf.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "doc_len")
+
     # explode_outer: a plain explode makes Spark infer a size filter and push
     # it below the scan's round-robin spread, splitting every text twice, once
     # in the scan task.
+    toks = words.select("doc_id", length, F.explode_outer("w").alias("w0")).select("doc_id", "doc_len", strip_punctuation("w0").alias("tok")).where(F.col("tok") != "")
+    # One element more than words: its row (past the last word) stands for the
+    # document itself, so that lengths come out of the same pass.  Only writers
+    # read these rows; a search has no use for them.
     own = F.concat("w", F.array(F.lit(None).cast("string")))
-    toks = (words.select("doc_id", F.size("w").cast("bigint").alias("doc_len"), F.explode_outer(own).alias("w0"))
-            .select("doc_id", "doc_len", strip_punctuation("w0").alias("tok"))
-            .where(F.col("tok").isNull() | (F.col("tok") != "")))
+    staged = (words.select("doc_id", length, F.explode_outer(own).alias("w0")).select("doc_id", "doc_len", strip_punctuation("w0").alias("tok"))
+              .where(F.col("tok").isNull() | (F.col("tok") != "")))
     if analyzer == "lower":
-        staged = toks.groupBy(F.lower("tok").alias("term"), "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
-        staged = staged.select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "doc_len")
-        return Index(staged.where("term is not null"), stats, analyzer, staged=staged)
+        return Index(counted(toks), stats, analyzer, staged=counted(staged))
     if analyzer == "porter":
         # Count raw word forms per document first (partial aggregation shrinks
         # the stream to postings) and write the counts once: the vocabulary,
         # the hot forms and the stems all read them.  Several forms of one
         # stem in a document add up.
-        raw = write_once(toks.withColumnRenamed("tok", "token")
+        raw = write_once(staged.withColumnRenamed("tok", "token")
                          .groupBy("token", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf")), "word-forms")
         stats = raw.where("token is null").select("doc_id", "doc_len")
         raw = raw.where("token is not null")

@@ -440,9 +440,18 @@ FROM C WHERE cos_sim IS NOT NULL QUALIFY rank <= {KNN_K - 1}""")
 def knn_topk(spark, sf_dir):
     """JN-10 / VEC-5 / SRT-9 / WIN-4: exact k = 5 (self included) nearest
     neighbours of every vector of the embeddings table."""
-    from tessera.operators.knn import knn_exact
+    from tessera.operators.pivots import knn_pruned
 
-    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K)
+    return knn_pruned(_given_vectors(spark, sf_dir), k=KNN_K)
+
+
+@register("knn_topk_cells", ORACLE["knn_topk"])
+def knn_topk_cells(spark, sf_dir):
+    """VEC-5 with small cells: home cells split twice, bounds from the home
+    cell, visits from the root of the pivot tree."""
+    from tessera.operators.pivots import knn_pruned
+
+    return knn_pruned(_given_vectors(spark, sf_dir), k=KNN_K, cell_rows=32, fanout=8)
 
 
 @register("knn_threshold", f"""WITH {_GIVEN_PAIRS_SQL}
@@ -450,9 +459,9 @@ SELECT doc_id, neighbor_id, row_number() OVER (PARTITION BY doc_id ORDER BY cos_
 FROM C WHERE cos_sim > {GIVEN_THRESHOLD} QUALIFY rank <= {KNN_K - 1}""")
 def knn_threshold(spark, sf_dir):
     """VEC-6 / FLT-6: exact neighbours with cosine strictly above 0.4."""
-    from tessera.operators.knn import knn_exact
+    from tessera.operators.duplicates import find_duplicates
 
-    return knn_exact(_given_vectors(spark, sf_dir), k=KNN_K, threshold=GIVEN_THRESHOLD)
+    return find_duplicates(_given_vectors(spark, sf_dir), k=KNN_K, threshold=GIVEN_THRESHOLD, dim=None)
 
 
 def _dup_pairs_sql(threshold: float = 0.99, k: int = KNN_K) -> str:
@@ -495,6 +504,16 @@ def near_duplicates_cells(spark, sf_dir):
     return find_duplicates(vectors, threshold=0.9, collapse_copies=False, cell_rows=100, block_rows=64)
 
 
+@register("near_duplicates_tree", f"WITH {_dup_pairs_sql(0.9)} SELECT * FROM NB")
+def near_duplicates_tree(spark, sf_dir):
+    """VEC-6 / CMP-9 with at most 8 pivots a level: cells are split by pivots
+    of their own until none holds more than 48 home vectors."""
+    from tessera.operators.duplicates import embed_corpus, find_duplicates
+
+    vectors = embed_corpus(read_corpus(spark, sf_dir))
+    return find_duplicates(vectors, threshold=0.9, collapse_copies=False, cell_rows=24, max_pivots=8, split_rows=48)
+
+
 @register("near_duplicates_lsh", f"WITH {_dup_pairs_sql()} SELECT * FROM NB")
 def near_duplicates_lsh(spark, sf_dir):
     """CMP-9 / VEC-6 scalable path: SimHash LSH candidates (bands derived

@@ -66,3 +66,18 @@ def test_walk_and_links(monkeypatch, wide):
                 key = (d, int(x[i]), int(y[j]))
                 want[key] = want.get(key, 0) + 1
     assert got == want and steps <= max(map(len, ra)) + max(map(len, rb))
+
+
+def test_chunks_encode_like_whole_texts():
+    rng = random.Random(8)
+    parts = ["a", "The", "été", "日本", "𝄞", "1", "23", "'s", "...", "<|endoftext|>", "<s>", "▁", " ", " ", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "᠎", "​", " ", " ", "　", "\x00", "ͅ", "\U000e0001"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(4000)] + [None]
+    sides = tl.Sides.load(open(A).read(), open(B, "rb").read())
+    encoder = tl.Encoder(sides, *(np.array(list(map(len, t))) for t in (sides.bytes_a, sides.bytes_b)))
+    assert encoder.cut
+    a, b = encoder.of(texts)
+    a2, b2 = encoder.of(texts[::-1])  # from what is remembered
+    whole = dict(zip(filter(None, texts), encoder.whole(list(filter(None, texts))), strict=True))
+    for i, t in enumerate(texts):
+        x, y = whole.get(t) or ([], [])
+        assert a[i].tolist() == list(x) == a2[-1 - i].tolist() and b[i].tolist() == list(y) == b2[-1 - i].tolist(), t

@@ -1,0 +1,85 @@
+"""Pivot trees and kNN by metric pruning, against the plain search."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import knn as K
+from tessera.operators import pivots as P
+
+
+def vec_df(spark, rows):
+    return spark.createDataFrame(rows, "id bigint, vec array<double>").repartition(4)
+
+
+def clustered(n, groups, dim, spread, seed=3):
+    rnd = random.Random(seed)
+    centres = [[rnd.gauss(0, 1) for _ in range(dim)] for _ in range(groups)]
+    return [(i, [x + rnd.gauss(0, spread) for x in centres[i % groups]]) for i in range(n)]
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("fanout", [8, 3])
+def test_pruned_equals_the_plain_search_with_few_pairs(spark, fanout):
+    rows = clustered(1500, 30, 12, 0.05)
+    rows += [(2000 + i, rows[7][1]) for i in range(12)]  # ties: exact copies
+    v = vec_df(spark, [*rows, (9000, [0.0] * 12)])
+    n = len(rows)
+    counter = spark.sparkContext.accumulator(0)
+    got = rows_of(P.knn_pruned(v, k=5, cell_rows=60, block_rows=50, fanout=fanout, counter=counter))
+    assert got == rows_of(K.knn_exact(v, k=5))
+    assert 0 < counter.value < n * n / 5
+
+
+def test_pruned_without_clusters_and_small_cells(spark):
+    rnd = random.Random(6)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(5)]) for i in range(300)]
+    v = vec_df(spark, rows)
+    want = rows_of(K.knn_exact(v, k=8))
+    assert rows_of(P.knn_pruned(v, k=8, cell_rows=10, block_rows=7, fanout=4)) == want  # cells of fewer than k rows
+    assert rows_of(P.knn_pruned(v, k=8, cell_rows=1000)) == want  # one cell
+    sparse = spark.createDataFrame([(i, list(range(5)), x) for i, x in rows], "id bigint, idx array<int>, val array<double>")
+    assert rows_of(P.knn_pruned(sparse, k=8, dim=5, cell_rows=40)) == want
+
+
+def test_copies_are_no_reason_to_split_for_ever(spark):
+    """Cells whose rows no pivot tells apart stay whole and go by blocks."""
+    rnd = random.Random(9)
+    rows = [(i, [1.0, 1.0, 0.0]) for i in range(200)] + [(500 + i, [rnd.gauss(0, 1) for _ in range(3)]) for i in range(50)]
+    v = vec_df(spark, rows)
+    assert rows_of(P.knn_pruned(v, k=4, cell_rows=20, block_rows=16, fanout=4)) == rows_of(K.knn_exact(v, k=4))
+    got = rows_of(K.knn_cells(v, k=4, threshold=0.9, cell_rows=10, block_rows=16, max_pivots=4, split_rows=20))
+    assert got == rows_of(K.knn_exact(v, k=4, threshold=0.9))
+
+
+@pytest.mark.parametrize("threshold", [0.99, 0.8, 0.0])
+def test_split_cells_equal_the_plain_search(spark, threshold):
+    v = vec_df(spark, clustered(700, 40, 8, 0.1))
+    want = rows_of(K.knn_exact(v, k=6, threshold=threshold))
+    assert rows_of(K.knn_cells(v, k=6, threshold=threshold, cell_rows=10, block_rows=64, max_pivots=4, split_rows=25)) == want
+
+
+def test_rows_per_leaf_are_bounded_and_homes_are_unique(spark):
+    v = vec_df(spark, clustered(2000, 100, 6, 0.2))
+    top, _ = P.first_cells(v, ["vec"], 6, 4, 0.2)
+    placed, levels = P.refine(top, ["vec"], 6, 80, 0.2, 4)
+    homes = placed.where("home")
+    assert homes.count() == homes.select("id").distinct().count() == 2000
+    assert homes.groupBy("cell").count().agg(F.max("count")).first()[0] <= 80 and len(levels) >= 2
+    # a level's spans cover the home rows below its cells
+    for r in levels[0].collect():
+        assert 0 <= r.near <= r.far
+
+
+def test_options(spark):
+    v = vec_df(spark, clustered(30, 3, 4, 0.1))
+    with pytest.raises(ValueError):
+        P.knn_pruned(v, threshold=0.5)
+    with pytest.raises(ValueError):
+        P.refine(v, ["vec"], 4, 10, None, fanout=2**P.LEVEL_BITS)
+    assert K.engine_for("exact", None) is P.knn_pruned
+    assert P.knn_pruned(v.limit(0), k=3, dim=4).count() == 0
