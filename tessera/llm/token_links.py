@@ -47,18 +47,18 @@ from tessera.llm._common import list_slices, map_arrow, written
 from tessera.llm.bpe import byte_alphabet, read_spec
 
 #: Bytes of text of a block, and of a call of a tokenizer.
-BLOCK_BYTES, CALL_BYTES = 4 << 20, 256 << 10
+BLOCK_BYTES, CALL_BYTES = 3 << 20, 256 << 10
 #: Characters of chunks that are encoded as one text.
 JOINED = 16 << 10
-#: Chunks that a task remembers before it starts afresh, and their length.
-MEMORY, LONG = 300_000, 100
+#: Chunks that a task remembers (the first ones: frequent ones come early), and their length.
+MEMORY, LONG = 150_000, 100
 #: Token pairs up to which a group's links are written out one by one.
 WIDE = 64
 #: Cuts that are turned into links at once.
 RUN = 1 << 16
-#: An id pair as one number: A times this, plus B.  Ids of B are smaller.
-PAIR_BITS = 20
-PAIR = 1 << PAIR_BITS
+#: Bits of an id of B in an id pair, and of the pair in a link; ids of A have
+#: 17 bits, numbers of a block's documents the rest of 63.
+PAIR_BITS, DOC_SHIFT = 20, 37
 
 #: White space that a cut at every single space would not leave whole.
 ODD_SPACE = re.compile(r"^\s|\s\s|\s$")
@@ -166,15 +166,16 @@ class Encoder:
 
     def learn(self, new: list[str]) -> None:
         """Ids of chunks, as bytes.  Those without white space at their ends are
-        encoded many at once, as the text that they make."""
-        plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
+        encoded many at once, as the text that they make with spaces between."""
+        plain, odd = [], []
+        for c in new:
+            (plain if c and " " not in c and c == c.strip() else odd).append(c)
         rows = [plain[lo:hi] for lo, hi in runs(list(map(len, plain)), JOINED)]
-        odd = [c for c in new if not c or c[0].isspace() or c[-1].isspace()]
         for row, found in zip(rows, self.whole([" ".join(row) for row in rows]), strict=True):
             if found is None:
                 odd += row
                 continue
-            ends = np.cumsum([len(c.encode()) + 1 for c in row])
+            ends = np.cumsum(list(map(len, " ".join(row).encode().split(b" ")))) + np.arange(1, len(row) + 1)
             cut = [np.searchsorted(np.cumsum(w[ids]), ends, "right").tolist() for w, ids in zip(self.widths, found, strict=True)]
             x, y = (ids.tobytes() for ids in found)
             i = j = 0
@@ -188,8 +189,6 @@ class Encoder:
         """Ids of every text; none for texts that either side does not spell."""
         none = np.empty(0, np.int32)
         a, b = [none] * len(texts), [none] * len(texts)
-        if len(self.known) > MEMORY:
-            self.known.clear()
         rows = {i: chunks(t) if self.cut else [t] for i, t in enumerate(texts) if t}
         new = list({c for row in rows.values() for c in row}.difference(self.known))
         self.learn(new)
@@ -204,8 +203,9 @@ class Encoder:
         for i, found in zip(left, self.whole([texts[i] for i in left]), strict=True):
             if found:
                 a[i], b[i] = found
-        for c in new:
-            if len(c) > LONG:
+        room = MEMORY - (len(known) - len(new))
+        for k, c in enumerate(new):
+            if k >= room or len(c) > LONG:
                 del known[c]
         return a, b
 
@@ -259,24 +259,27 @@ def _spread(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def group_links(a: Tokens, b: Tokens, cuts: tuple[np.ndarray, ...]):
-    """(doc, pair, times) of the groups that steps have closed."""
+    """(link, times) of the groups that steps have closed: a link is document,
+    A id and B id as one number; times is None where every link stands once."""
     doc, i0, i1, j0, j1 = cuts
     na, nb = i1 - i0, j1 - j0
     single = (na == 1) & (nb == 1)
-    yield doc[single], a.ids[i0[single]].astype(np.int64) * PAIR + b.ids[j0[single]], np.ones(int(single.sum()), np.int64)
+    yield _link(doc[single], a.ids[i0[single]], b.ids[j0[single]]), None
     some = ~single & (na * nb <= WIDE)
     if some.any():
         # every A token of a group, and then every B token of the group for it
         at_a = _spread(i0[some], na[some])
         width = np.repeat(nb[some], na[some])
         at_b = _spread(np.repeat(j0[some], na[some]), width)
-        pair = np.repeat(a.ids[at_a], width).astype(np.int64) * PAIR + b.ids[at_b]
-        yield np.repeat(doc[some], na[some] * nb[some]), pair, np.ones(len(pair), np.int64)
+        yield _link(np.repeat(doc[some], na[some] * nb[some]), np.repeat(a.ids[at_a], width), b.ids[at_b]), None
     for k in np.flatnonzero(~single & (na * nb > WIDE)):
         ids_a, times_a = np.unique(a.ids[i0[k]:i1[k]], return_counts=True)
         ids_b, times_b = np.unique(b.ids[j0[k]:j1[k]], return_counts=True)
-        pair = (ids_a.astype(np.int64)[:, None] * PAIR + ids_b[None]).ravel()
-        yield np.full(len(pair), doc[k]), pair, np.outer(times_a, times_b).ravel()
+        yield _link(doc[k], np.repeat(ids_a, len(ids_b)), np.tile(ids_b, len(ids_a))), np.outer(times_a, times_b).ravel()
+
+
+def _link(doc, ids_a: np.ndarray, ids_b: np.ndarray) -> np.ndarray:
+    return np.int64(doc) << DOC_SHIFT | ids_a.astype(np.int64) << PAIR_BITS | ids_b
 
 
 class Names:
@@ -311,23 +314,23 @@ def align(encoder: Encoder, names: Names, width_a: np.ndarray, width_b: np.ndarr
     a, b = Tokens.of(rows_a, width_a), Tokens.of(rows_b, width_b)
     n = len(texts)
     last_a, last_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
-    docs, pairs, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    plain, wide, wide_times = [np.empty(0, np.int64)], [], []
     for cuts in gathered(walk(a, b), RUN):
         last_a[cuts[2] - 1], last_b[cuts[4] - 1] = True, True
-        for d, p, t in group_links(a, b, cuts):
-            docs.append(d)
-            pairs.append(p)
-            times.append(t)
-    doc, pair, times = np.concatenate(docs), np.concatenate(pairs), np.concatenate(times)
-    known = np.unique(pair)
+        for link, times in group_links(a, b, cuts):
+            if times is None:
+                plain.append(link)
+            else:
+                wide.append(link)
+                wide_times.append(times)
     # links of a document with the same pair become one, with its multiplicity
-    key = doc * max(1, len(known)) + np.searchsorted(known, pair)
-    if (times == 1).all():
-        key, times = np.unique(key, return_counts=True)
-    else:
-        key, where = np.unique(key, return_inverse=True)
-        times = np.bincount(where, times, len(key)).astype(np.int64)
-    doc, place = np.divmod(key, max(1, len(known)))
+    link, times = np.unique(np.concatenate(plain), return_counts=True)
+    if wide:
+        link, where = np.unique(np.concatenate((link, *wide)), return_inverse=True)
+        times = np.bincount(where, np.concatenate((times, *wide_times)), len(link)).astype(np.int64)
+    doc, pair = link >> DOC_SHIFT, link & (1 << DOC_SHIFT) - 1
+    known = np.unique(pair)
+    place = np.searchsorted(known, pair)
     return {
         "n_a": np.diff(a.first), "n_b": np.diff(b.first),
         "n_groups": np.diff(np.concatenate(([0], np.cumsum(last_a)))[a.first]),
@@ -365,6 +368,8 @@ def _blocks(spec, model, block_bytes: int):
 
         sides = Sides.load(spec.value, model.value)
         width_a, width_b = (np.array(list(map(len, t)), np.int64) for t in (sides.bytes_a, sides.bytes_b))
+        if len(width_a) > 1 << DOC_SHIFT - PAIR_BITS or len(width_b) > 1 << PAIR_BITS:
+            raise ValueError("the vocabularies have more ids than a link has room for")
         encoder, names = Encoder(sides, width_a, width_b), Names(len(sides.bytes_a), len(sides.bytes_b))
         ids, texts, size = [], [], 0
         for b in batches:

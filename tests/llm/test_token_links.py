@@ -53,9 +53,10 @@ def test_walk_and_links(monkeypatch, wide):
     got, steps = {}, 0
     for cuts in tl.walk(a, b):
         steps += 1
-        for doc, pair, times in tl.group_links(a, b, cuts):
-            for d, p, t in zip(doc.tolist(), pair.tolist(), times.tolist(), strict=True):
-                got[d, *divmod(p, tl.PAIR)] = got.get((d, *divmod(p, tl.PAIR)), 0) + t
+        for link, times in tl.group_links(a, b, cuts):
+            for x, t in zip(link.tolist(), [1] * len(link) if times is None else times.tolist(), strict=True):
+                key = (x >> tl.DOC_SHIFT, x >> tl.PAIR_BITS & 2**17 - 1, x & 2**tl.PAIR_BITS - 1)
+                got[key] = got.get(key, 0) + t
     want = {}
     for d, (x, y) in enumerate(zip(ra, rb, strict=True)):
         ea, eb = np.cumsum(x), np.cumsum(y)
