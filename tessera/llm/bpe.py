@@ -25,7 +25,6 @@ import hashlib
 import heapq
 import json
 import struct
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +60,7 @@ def byte_alphabet() -> list[str]:
 class Codec:
     def __init__(self, spec: str):
         import regex
+        from tokenizers import Regex, normalizers, pre_tokenizers
 
         d = json.loads(spec)
         model = d["model"]
@@ -74,6 +74,10 @@ class Codec:
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.white, self.piece = regex.compile(WHITE), regex.compile(split["pattern"]["Regex"])
+        # Characters beyond ASCII are composed, lowered and told apart by the
+        # library's own tables: Python's are of another version of Unicode.
+        self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
         alphabet = byte_alphabet()
         self.first = [vocab[c] for c in alphabet]
         self.last = [vocab[c + END] for c in alphabet]
@@ -154,10 +158,14 @@ class Codec:
 
     def encode_word(self, word: str) -> bytes:
         """Ids of the text between two white spaces, as little-endian 32 bits."""
-        norm = word if word.isascii() else unicodedata.normalize("NFC", word)
-        norm = "".join(map(str.lower, norm)) if "Σ" in norm else norm.lower()
-        # ASCII letters alone are one piece of the pattern
-        pieces = [norm] if norm.isascii() and norm.isalpha() else self.piece.findall(norm)
+        if word.isascii():
+            norm = word.lower()
+            # ASCII letters alone are one piece of the pattern
+            pieces = [norm] if norm.isalpha() else self.piece.findall(norm)
+        else:
+            norm = self.normal.normalize_str(word)
+            # letters of a range that every version of Unicode knows
+            pieces = [norm] if max(norm) < "\u0250" and norm.isalpha() else [p for p, _ in self.split.pre_tokenize_str(norm)]
         ids = [i for p in pieces for i in self.encode_piece(p)]
         out = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) < 256:
