@@ -197,8 +197,12 @@ def merge_posting_maps(a: DataFrame, b: DataFrame) -> DataFrame:
 def write_index(index: Index, path: str, num_partitions: int | None = None) -> None:
     """SNK-2: range-partition by term and sort by (term, doc_id) so Parquet
     row-group min/max statistics on ``term`` let a lookup read only the row
-    groups of the query terms (SRC-7)."""
+    groups of the query terms (SRC-7).  The four tables are one version: readers
+    see the old index until all of them are there (``sources.versions``)."""
+    from tessera.sources.versions import publish
+
     p, stats = index.postings, index.doc_stats
+    spark = p.sparkSession
     if index.staged is not None:  # one tokenising pass for both
         once = write_once(index.staged, "staged-postings")
         p, stats = once.where("term is not null"), once.where("term is null").select("doc_id", "doc_len")
@@ -206,29 +210,34 @@ def write_index(index: Index, path: str, num_partitions: int | None = None) -> N
     # while the files stay globally ordered by term.
     p = (p.repartitionByRange(num_partitions, "term", "doc_id") if num_partitions
          else p.repartitionByRange("term", "doc_id"))
-    (p.sortWithinPartitions("term", "doc_id")
-     .write.mode("overwrite").parquet(f"{path}/postings"))
-    spark = p.sparkSession
-    postings = spark.read.parquet(f"{path}/postings")
-    # Document frequencies, read back from the written postings (partial +
-    # final aggregate), stored sorted by term so a search looks up its terms
-    # by row-group pruning instead of aggregating postings at query time.
-    (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-     .repartitionByRange("term").sortWithinPartitions("term")
-     .write.mode("overwrite").parquet(f"{path}/term_stats"))
-    stats.write.mode("overwrite").parquet(f"{path}/doc_stats")
-    n = spark.read.parquet(f"{path}/doc_stats").count()
-    spark.createDataFrame([(index.analyzer, n)], "analyzer string, num_docs bigint").coalesce(1) \
-        .write.mode("overwrite").json(f"{path}/meta")
+
+    def write(folder: str) -> dict:
+        p.sortWithinPartitions("term", "doc_id").write.parquet(f"{folder}/postings")
+        postings = spark.read.parquet(f"{folder}/postings")
+        # Document frequencies, read back from the written postings (partial +
+        # final aggregate), stored sorted by term so a search looks up its terms
+        # by row-group pruning instead of aggregating postings at query time.
+        (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+         .repartitionByRange("term").sortWithinPartitions("term")
+         .write.parquet(f"{folder}/term_stats"))
+        stats.write.parquet(f"{folder}/doc_stats")
+        return {"analyzer": index.analyzer, "num_docs": spark.read.parquet(f"{folder}/doc_stats").count()}
+
+    publish(spark, path, write)
 
 
 def read_index(spark, path: str) -> Index:
-    """SRC-7: open a written index.  A missing path is an error (Q12 fix)."""
-    meta = spark.read.schema("analyzer string, num_docs bigint").json(f"{path}/meta").first()
-    return Index(spark.read.parquet(f"{path}/postings"),
-                 spark.read.parquet(f"{path}/doc_stats"), meta["analyzer"],
-                 stored_term_stats=spark.read.parquet(f"{path}/term_stats"),
-                 stored_num_docs=int(meta["num_docs"]))
+    """SRC-7: open the current version of a written index.  A missing path is
+    an error (Q12 fix)."""
+    from tessera.sources.versions import current
+
+    at = current(spark, path)
+    if at is None:
+        raise FileNotFoundError(f"no index at {path}")
+    return Index(spark.read.parquet(f"{at.folder}/postings"),
+                 spark.read.parquet(f"{at.folder}/doc_stats"), at.info["analyzer"],
+                 stored_term_stats=spark.read.parquet(f"{at.folder}/term_stats"),
+                 stored_num_docs=int(at.info["num_docs"]))
 
 
 def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:
