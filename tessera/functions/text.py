@@ -9,6 +9,8 @@ both engines, which keeps the SQL oracle exact.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,6 +55,13 @@ def strip_punctuation(text) -> Column:
     return F.translate(col_(text), PUNCTUATION, "")
 
 
+def has_token(word) -> Column:
+    """Whether anything is left of a word without punctuation: the regex stops
+    at the first such character, and the stripped word is computed once (a
+    filter on it would compute it again)."""
+    return col_(word).rlike("[^" + re.escape(PUNCTUATION) + "]")
+
+
 def split_words(text) -> Column:
     """STR-2: whitespace split with empty pieces removed (``str.split()``).
     ``array_remove`` keeps this inside whole-stage codegen (a lambda

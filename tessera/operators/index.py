@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.porter import porter_stem
-from tessera.functions.text import index_tokens, pretty_name, split_words, strip_punctuation, word_count
+from tessera.functions.text import has_token, index_tokens, pretty_name, split_words, strip_punctuation, word_count
 from tessera.operators.skew import skew_split_join, write_once
 
 
@@ -109,13 +109,13 @@ def build_index(docs: DataFrame, analyzer: str = "lower", text_col: str = "text"
     # explode_outer: a plain explode makes Spark infer a size filter and push
     # it below the scan's round-robin spread, splitting every text twice, once
     # in the scan task.
-    toks = words.select("doc_id", length, F.explode_outer("w").alias("w0")).select("doc_id", "doc_len", strip_punctuation("w0").alias("tok")).where(F.col("tok") != "")
+    stripped = ["doc_id", "doc_len", strip_punctuation("w0").alias("tok")]
+    toks = words.select("doc_id", length, F.explode_outer("w").alias("w0")).where(has_token("w0")).select(*stripped)
     # One element more than words: its row (past the last word) stands for the
     # document itself, so that lengths come out of the same pass.  Only writers
     # read these rows; a search has no use for them.
     own = F.concat("w", F.array(F.lit(None).cast("string")))
-    staged = (words.select("doc_id", length, F.explode_outer(own).alias("w0")).select("doc_id", "doc_len", strip_punctuation("w0").alias("tok"))
-              .where(F.col("tok").isNull() | (F.col("tok") != "")))
+    staged = words.select("doc_id", length, F.explode_outer(own).alias("w0")).where(F.col("w0").isNull() | has_token("w0")).select(*stripped)
     if analyzer == "lower":
         return Index(counted(toks), stats, analyzer, staged=counted(staged))
     if analyzer == "porter":
