@@ -7,17 +7,17 @@ is FTRL-proximal with per-coordinate rates and L1: most weights are exactly
 zero, so the broadcast model holds the others only, at most 2**BITS.
 
 The classifier is fitted on a bounded sample: labelled rows in the order of a
-hash, about ``max_rows`` of them.  They are dealt to tasks of about
-``SHARD_ROWS``; each round every task runs over its rows from the common state
-and sends back the state of the coordinates that its rows hold, each of them;
-the driver averages the states per coordinate (at most MAX_ROWS / SHARD_ROWS
-times 2**BITS numbers, no shuffle).  L1 grows with the root of a shard's rows,
-as the noise of a coordinate's summed gradients does.  Scoring covers every
-row, in tasks.
+hash, about ``max_rows`` of them, as one stream in one task, ``ROUNDS`` times
+over.  (Cut into shards whose states are averaged, words in few rows are lost.)
+Their coordinates are computed in all tasks before.  A coordinate that one row
+holds gains at most one a round, so L1 lies just above the number of rounds:
+what a single row holds keeps the weight zero, and a word in a few rows does
+not.  Scoring covers every row, in tasks.
 
 Rows: NULL and empty texts have the bias alone, so score the base rate; labels
 that are NULL or belong to NULL ids are not learned from; the largest label of
-a doc_id counts; without any label the score is 0.5; repeated rows score
+a doc_id counts, and of rows that share a doc_id one text (the one of smallest
+hash) is learned from; without any label the score is 0.5; repeated rows score
 alike; other columns are ignored.
 """
 
@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import POLY, batch, map_arrow, mix, word_hashes, written
+from tessera.llm._common import POLY, batch, list_slices, map_arrow, mix, word_hashes, written
 
 BITS = 20
-SHARD_ROWS, ROUNDS, MAX_ROWS = 2_000, 5, 12_000
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.1, 0.0
+ROUNDS, MAX_ROWS = 15, 12_000
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 1.1 * ROUNDS, 0.0
 THRESHOLD = 0.3
 #: The skipped distances of pairs.
 GAPS = (1, 2)
@@ -71,59 +71,42 @@ def probability(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _round(state, l1: float):
-    schema = pa.schema([("at", pa.int32()), ("z", pa.float32()), ("n", pa.float32())])
+def _coordinates(batches):
+    schema = pa.schema([("order", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32()))])
+    for b in batches:
+        yield batch(schema, b.column("order"), b.column("label"), [features(t.as_py()).astype(np.int32) for t in b.column("text")])
 
-    def run(batches):
-        z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-        z[state.value[0]], n[state.value[0]] = state.value[1:]
-        model = Ftrl(z, n, l1)
-        held = np.zeros(BIAS + 1, bool)
-        for b in batches:
-            for text, label in zip(b.column("text"), b.column("label").to_pylist(), strict=True):
-                at = features(text.as_py())
-                held[at] = True
-                model.learn(at, label)
-        seen = np.flatnonzero(held)
-        if len(seen):
-            yield batch(schema, seen, model.z[seen], model.n[seen])
 
-    return run
+def stream(rows: list[tuple[np.ndarray, int]], rounds: int = ROUNDS, l1: float = L1) -> tuple[np.ndarray, np.ndarray]:
+    """(coordinates, weights) that are not zero, after ``rounds`` over the rows."""
+    model = Ftrl(np.zeros(BIAS + 1), np.zeros(BIAS + 1), l1)
+    for _ in range(rounds):
+        for at, label in rows:
+            model.learn(at, label)
+    w = model.weights(np.arange(BIAS + 1))
+    at = np.flatnonzero(w)
+    return at, w[at]
 
 
-def _averaged(z: np.ndarray, n: np.ndarray, at: np.ndarray, new_z: np.ndarray, new_n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean state over the shards that hold a row of a coordinate: the others
-    have not looked at it, and would only thin out a rare word's state."""
-    held = np.bincount(at, minlength=BIAS + 1)
-    return tuple(np.where(held > 0, np.bincount(at, new, BIAS + 1) / np.maximum(held, 1), old).astype(np.float32) for old, new in ((z, new_z), (n, new_n)))
+def _fit(table: pa.Table) -> pa.Table:
+    table = table.sort_by([("order", "ascending")]).combine_chunks()
+    at, lo, hi = list_slices(table.column("at").chunk(0))
+    found, w = stream([(at[i:j], y) for i, j, y in zip(lo, hi, table.column("label").to_pylist(), strict=True)])
+    return pa.table({"at": pa.array(found, pa.int32()), "w": pa.array(w, pa.float64())})
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) that are not zero.  ``labels`` (doc_id, toxic)."""
-    spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    total = known.count()
-    share = min(1.0, max_rows / max(1, total))
-    shards = max(1, round(min(total, max_rows) / SHARD_ROWS))
-    l1 = L1 * float(np.sqrt(min(total, max_rows) / shards))
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(2**30))
-    chosen = known.where(order < int(share * 2**30)).where("label in (0, 1)")
+    share = min(1.0, max_rows / max(1, known.count()))
+    known = known.withColumn("order", F.xxhash64("doc_id"))
+    chosen = known.where(F.pmod("order", F.lit(2**30)) < int(share * 2**30)).where("label in (0, 1)")
     # about max_rows short rows, a bound
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = written(rows.withColumn("order", order), "toxic-sample")
-    dealt = rows.repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order").select("text", "label").persist()
-    z, n = np.zeros(BIAS + 1, np.float32), np.zeros(BIAS + 1, np.float32)
-    for _ in range(ROUNDS):
-        at = np.flatnonzero(n)
-        shared = spark.sparkContext.broadcast((at.astype(np.int32), z[at], n[at]))
-        t = map_arrow(dealt, _round(shared, l1), "at int, z float, n float").toArrow()
-        z, n = _averaged(z, n, *(t.column(c).to_numpy() for c in ("at", "z", "n")))
-        shared.destroy()
-    dealt.unpersist()
-    z, n = z.astype(float), n.astype(float)
-    w = Ftrl(z, n, l1).weights(np.arange(BIAS + 1))
-    at = np.flatnonzero(w)
-    return at, w[at]
+    rows = written(rows.groupBy("doc_id", "label", "order").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "toxic-sample")
+    found = map_arrow(rows.select("order", "label", "text"), _coordinates, "order bigint, label int, at array<int>")
+    weights = found.groupBy().applyInArrow(_fit, "at int, w double").toArrow()  # at most 2**BITS + 1 rows
+    return tuple(weights.column(c).to_numpy() for c in ("at", "w"))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:

@@ -110,13 +110,6 @@ def test_toxicity_learns_rare_words(spark, per_word):
     assert np.mean([p for p, t in out if t]) > 0.7 and np.mean([p for p, t in out if not t]) < 0.05
 
 
-def test_toxicity_averages_all_states():
-    z, n = np.zeros(toxicity.BIAS + 1), np.zeros(toxicity.BIAS + 1)
-    z[[3, 4, toxicity.BIAS]], n[[3, 4, toxicity.BIAS]] = (8, 9, 2), (4, 2, 1)
-    at = np.array([3, 5, toxicity.BIAS, toxicity.BIAS])  # two shards: one row each
-    new_z, new_n = toxicity._averaged(z, n, at, np.array([10.0, 7, 4, 6]), np.array([6.0, 3, 2, 4]))
-    assert new_z[[3, 4, 5, toxicity.BIAS]].tolist() == [10, 9, 7, 5] and new_n[[3, 4, 5, toxicity.BIAS]].tolist() == [6, 2, 3, 3]
-
 
 # --- pipeline: exact copies -------------------------------------------------
 
