@@ -41,14 +41,14 @@ def _named(h: np.ndarray, width: int, gram: int) -> np.ndarray:
 
 
 def _pieces(width: int, gram: int):
-    """(piece, n, d): the pieces that a document's windows name; n is 2 where
+    """(piece, n, row): the pieces that a document's windows name; n is 2 where
     a window that names the piece repeats within the document."""
-    schema = pa.schema([("piece", pa.int64()), ("n", pa.int32()), ("d", pa.int64())])
+    schema = pa.schema([("piece", pa.int64()), ("n", pa.int32()), ("row", pa.int64())])
 
     def run(batches):
         for b in batches:
             out, times, ids = [], [], []
-            for d, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for row, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 h = word_hashes(text.as_py())
                 if len(h) < width:
                     continue
@@ -61,7 +61,7 @@ def _pieces(width: int, gram: int):
                     n[np.searchsorted(pieces, name[again])] = 2
                 out.append(pieces)
                 times.append(n)
-                ids.append(np.full(len(pieces), d, np.int64))
+                ids.append(np.full(len(pieces), row, np.int64))
             if out:
                 yield batch(schema, as_i64(np.concatenate(out)), np.concatenate(times), np.concatenate(ids))
 
@@ -69,19 +69,19 @@ def _pieces(width: int, gram: int):
 
 
 def _windows(width: int, gram: int):
-    """(hash, d): distinct windows of a document that name a repeated piece."""
-    schema = pa.schema([("hash", pa.int64()), ("d", pa.int64())])
+    """(hash, d, row): distinct windows of a document that name a repeated piece."""
+    schema = pa.schema([("hash", pa.int64()), ("d", pa.int64()), ("row", pa.int64())])
 
     def run(batches):
         for b in batches:
             values, lo, hi = list_slices(b.column("pieces"))
-            for i, (d, text) in enumerate(zip(b.column("d").to_pylist(), b.column("words"), strict=True)):
+            for i, (d, row, text) in enumerate(zip(b.column("d").to_pylist(), b.column("row").to_pylist(), b.column("words"), strict=True)):
                 h = word_hashes(text.as_py())
                 if len(h) < width or lo[i] == hi[i]:
                     continue
                 hit = np.isin(as_i64(_named(h, width, gram)), values[lo[i]:hi[i]])
                 w = np.unique(rolled(h, width)[hit])
-                yield batch(schema, as_i64(w), np.full(len(w), d, np.int64))
+                yield batch(schema, as_i64(w), np.full(len(w), d, np.int64), np.full(len(w), row, np.int64))
 
     return run
 
@@ -121,16 +121,18 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     words that no repeated window covers, joined by one space."""
     if not 1 <= gram <= width:
         raise ValueError("gram must lie between 1 and width")
-    src = docs.select(id_key().alias("d"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("words"))
-    pieces = map_arrow(src.select("d", "words"), _pieces(width, gram), "piece bigint, n int, d bigint")
+    text = F.col("text").cast("binary")
+    src = docs.select(F.xxhash64("doc_id", text).alias("row"), id_key().alias("d"), F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("words"))
+    pieces = map_arrow(src.select("row", "words"), _pieces(width, gram), "piece bigint, n int, row bigint")
     repeated = written(pieces.groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1").select("piece"), "repeated-pieces")
-    by_doc = pieces.join(repeated, "piece").groupBy("d").agg(F.collect_list("piece").alias("pieces"))
-    hits = src.join(by_doc, "d", "left")
-    windows = map_arrow(hits.where("pieces is not null"), _windows(width, gram), "hash bigint, d bigint")
-    owners = windows.groupBy("hash").agg(F.min("d").alias("d"))
-    owned = owners.groupBy("d").agg(F.collect_list("hash").alias("owned"))
+    # sets: equal rows name equal pieces
+    by_doc = pieces.join(repeated, "piece").groupBy("row").agg(F.collect_set("piece").alias("pieces"))
+    hits = src.join(by_doc, "row", "left")
+    windows = map_arrow(hits.where("pieces is not null"), _windows(width, gram), "hash bigint, d bigint, row bigint")
+    owners = windows.groupBy("hash").agg(F.min(F.struct("d", "row")).alias("o"))
+    owned = owners.groupBy(F.col("o.row").alias("row")).agg(F.collect_list("hash").alias("owned"))
     empty = F.array().cast("array<bigint>")
-    judged = hits.join(owned, "d", "left").select("doc_id", "words", F.coalesce("pieces", empty).alias("pieces"), F.coalesce("owned", empty).alias("owned"))
+    judged = hits.join(owned, "row", "left").select("doc_id", "words", F.coalesce("pieces", empty).alias("pieces"), F.coalesce("owned", empty).alias("owned"))
     return map_arrow(judged, _keep(width, gram), "doc_id bigint, n_words bigint, n_removed bigint, kept binary")
 
 
@@ -139,7 +141,8 @@ def digest(result: DataFrame) -> DataFrame:
 
 
 def brute_force(rows: list[tuple[int | None, str | None]], width: int = WIDTH) -> dict[int, tuple[int, int, str]]:
-    """The definition, in memory, for tests: doc_ids unique."""
+    """The definition, in memory, for tests: rows in the order of documents
+    that share an id, if any."""
     import re
 
     seen: set[tuple] = set()
