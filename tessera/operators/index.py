@@ -41,6 +41,11 @@ class Index:
     # (term, doc_id, tf, doc_len) of one tokenising pass, with a row of NULL
     # term per document, for writers: postings and doc_stats are its two halves
     staged: DataFrame | None = None
+    # (term, block, max_w) of a stored index: the largest tf / doc_len that a
+    # term of at least hot_df documents has in each block of block_docs ids
+    score_blocks: DataFrame | None = None
+    block_docs: int = 0
+    hot_df: int = 0
 
     def term_stats(self) -> DataFrame:
         """AGG-4: document frequency per term (stored table, else a partial +
@@ -194,11 +199,16 @@ def merge_posting_maps(a: DataFrame, b: DataFrame) -> DataFrame:
     return j.select("term", "chunk", merged.alias("postings"))
 
 
-def write_index(index: Index, path: str, num_partitions: int | None = None) -> None:
+# Doc ids of a block, and documents from which a term's blocks are stored.
+BLOCK_DOCS, HOT_DF = 4096, 1024
+
+
+def write_index(index: Index, path: str, num_partitions: int | None = None, block_docs: int = BLOCK_DOCS, hot_df: int = HOT_DF) -> None:
     """SNK-2: range-partition by term and sort by (term, doc_id) so Parquet
     row-group min/max statistics on ``term`` let a lookup read only the row
-    groups of the query terms (SRC-7).  The four tables are one version: readers
-    see the old index until all of them are there (``sources.versions``)."""
+    groups of the query terms (SRC-7).  The tables are one version: readers see
+    the old index until all of them are there (``sources.versions``).
+    ``score_blocks`` serves ``operators.topk``."""
     from tessera.sources.versions import publish
 
     p, stats = index.postings, index.doc_stats
@@ -220,8 +230,14 @@ def write_index(index: Index, path: str, num_partitions: int | None = None) -> N
         (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
          .repartitionByRange("term").sortWithinPartitions("term")
          .write.parquet(f"{folder}/term_stats"))
+        hot = spark.read.parquet(f"{folder}/term_stats").where(F.col("df") >= hot_df).select("term")
+        block = F.floor(F.col("doc_id") / block_docs).cast("bigint").alias("block")
+        (postings.join(hot, "term", "left_semi").groupBy("term", block).agg(F.max(F.col("tf") / F.col("doc_len")).alias("max_w"))
+         .repartitionByRange("term", "block").sortWithinPartitions("term", "block")
+         .write.parquet(f"{folder}/score_blocks"))
         stats.write.parquet(f"{folder}/doc_stats")
-        return {"analyzer": index.analyzer, "num_docs": spark.read.parquet(f"{folder}/doc_stats").count()}
+        return {"analyzer": index.analyzer, "num_docs": spark.read.parquet(f"{folder}/doc_stats").count(),
+                "block_docs": block_docs, "hot_df": hot_df}
 
     publish(spark, path, write)
 
@@ -237,7 +253,9 @@ def read_index(spark, path: str) -> Index:
     return Index(spark.read.parquet(f"{at.folder}/postings"),
                  spark.read.parquet(f"{at.folder}/doc_stats"), at.info["analyzer"],
                  stored_term_stats=spark.read.parquet(f"{at.folder}/term_stats"),
-                 stored_num_docs=int(at.info["num_docs"]))
+                 stored_num_docs=int(at.info["num_docs"]),
+                 score_blocks=spark.read.parquet(f"{at.folder}/score_blocks"),
+                 block_docs=at.info["block_docs"], hot_df=at.info["hot_df"])
 
 
 def build_name_index(docs: DataFrame, analyzer: str = "lower") -> DataFrame:

@@ -169,6 +169,31 @@ def bool_batch(spark, sf_dir):
     return B.boolean_search(_index(spark, sf_dir), _queries_df(spark, BATCH_QUERIES), count=BATCH_COUNT)
 
 
+def _stored_index(spark, sf_dir):
+    from tessera.session import scratch_path
+
+    path = scratch_path(spark, "index")
+    I.write_index(_index(spark, sf_dir), path, block_docs=64, hot_df=32)
+    return I.read_index(spark, path)
+
+
+@register("bool_flagship_topk", ORACLE["bool_flagship"])
+def bool_flagship_topk(spark, sf_dir):
+    """SRT-5: the flagship's ten hits from the score bounds of a stored index."""
+    from tessera.operators.topk import top_hits
+
+    return top_hits(_stored_index(spark, sf_dir), FLAGSHIP_QUERY, count=10)
+
+
+@register("bool_batch_topk", ORACLE["bool_batch"])
+def bool_batch_topk(spark, sf_dir):
+    """SRT-5 / CMP-4 over a table of queries: blocks below the k-th score are
+    skipped, clauses start from their rarest word."""
+    from tessera.operators.topk import top_hits
+
+    return top_hits(_stored_index(spark, sf_dir), _queries_df(spark, BATCH_QUERIES), count=BATCH_COUNT)
+
+
 @register("query_status", f"""WITH {index_ctes()}, {boolean_ctes(values_sql(BATCH_QUERIES, 'query_id, query'))}
 SELECT CAST(ST.query_id AS BIGINT) AS query_id, ST.status,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n_hits
