@@ -390,18 +390,6 @@ def hash_embedding(spark, sf_dir):
     return hash_embed(d, "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
-@register("hash_embedding_cut", f"""SELECT id AS doc_id, bucket, CAST(count(*) AS BIGINT) AS cnt
-FROM (SELECT doc_id AS id, {_bucket_sql('w')} AS bucket
-      FROM (SELECT doc_id, unnest({_embed_words_sql('text', 512)}) AS w FROM documents))
-GROUP BY ALL""")
-def hash_embedding_cut(spark, sf_dir):
-    """VEC-1 with the user's option to embed the first 512 words only."""
-    from tessera.functions.vectors import hash_embed
-
-    d = read_table(spark, sf_dir, "documents")
-    return hash_embed(d, "doc_id", "text", max_words=512).withColumnRenamed("id", "doc_id")
-
-
 @register("l2_normalize", """SELECT vec_id,
   list_transform(embedding::DOUBLE[], lambda x: round(CASE WHEN n = 0 THEN 0.0 ELSE x / n END, 6)) AS unit,
   round(n, 6) AS norm
@@ -651,6 +639,33 @@ def fuzzy_name(spark, sf_dir):
     return fuzzy_lookup(names, read_table(spark, sf_dir, "part"), "p_name")
 
 
+@register("fuzzy_name_segments", ORACLE["fuzzy_name"])
+def fuzzy_name_segments(spark, sf_dir):
+    """JN-11 by the segment index: near names first, the rest by length bands."""
+    from tessera.operators.fuzzy import nearest_names
+
+    names = spark.createDataFrame(FUZZY_NAMES, "query_id bigint, name string")
+    return nearest_names(names, read_table(spark, sf_dir, "part"), "p_name")
+
+
+STATUS_NAMES = [(0, "src0"), (1, "SRC1"), (2, "srx12"), (3, "unheard of"), (4, "s"), (5, "sources")]
+
+
+@register("source_status", f"""WITH QN AS (SELECT * FROM {values_sql(STATUS_NAMES, 'query_id, name')}),
+NM AS (SELECT DISTINCT source AS match FROM documents WHERE source IS NOT NULL),
+BEST AS (SELECT query_id, name, match, levenshtein(lower(name), lower(match)) AS distance FROM QN CROSS JOIN NM
+         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, match) = 1)
+SELECT CAST(query_id AS BIGINT) AS query_id, CASE WHEN distance <= length(name) // 2 THEN 'ok' ELSE 'not_found' END AS status,
+       CASE WHEN distance <= length(name) // 2 THEN match END AS source, CASE WHEN distance <= length(name) // 2 THEN CAST(distance AS BIGINT) END AS distance
+FROM BEST""")
+def source_status(spark, sf_dir):
+    """FLT-10: whether a requested source is found, and which one."""
+    from tessera.operators import duplicates
+
+    names = spark.createDataFrame(STATUS_NAMES, "query_id bigint, name string")
+    return duplicates.source_status(read_corpus(spark, sf_dir), names)
+
+
 # --- Boolean operators as standalone posting-list algebra (JN-1..JN-5) -------
 
 def _term_sc_sql(term: str, alias: str) -> str:
