@@ -11,6 +11,9 @@ A user model plugs in instead through :func:`model_embedder`.
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,23 +89,54 @@ def cosine(a, b) -> Column:
     return F.when(den == 0, F.lit(None).cast("double")).otherwise(d / den)
 
 
-def model_embedder(load_model, dim: int, batch_rows: int = 64):
+def _kept(key: str, load):
+    """What ``load()`` gave under ``key`` in this Python process.  Spark keeps its
+    Python workers from task to task, but unpickles functions for each; so the
+    store hangs on a module of its own.  The last two models are kept."""
+    store = sys.modules.setdefault("tessera_kept_models", types.ModuleType("tessera_kept_models")).__dict__.setdefault("models", {})
+    if key not in store:
+        while len(store) > 1:
+            del store[next(iter(store))]
+        store[key] = load()
+    return store[key]
+
+
+def length_batches(lengths: list[int], batch_rows: int, batch_chars: int) -> Iterator[list[int]]:
+    """Places of texts in batches of like length, shortest first: at most
+    ``batch_rows`` texts that take ``batch_chars`` when all are filled up to
+    the longest of them (or one longer text)."""
+    batch: list[int] = []
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if batch and (len(batch) >= batch_rows or (len(batch) + 1) * lengths[i] > batch_chars):
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
+def model_embedder(load_model, dim: int, batch_rows: int = 64, batch_chars: int = 1 << 20):
     """VEC-2: wrap a user model as an iterator-of-batches Arrow UDF.
 
-    ``load_model()`` runs once per task (partition), not per batch, and must
-    return a callable ``list[str] -> ndarray (n, dim)``.  Use it on the reduced
-    texts: ``df.select(udf(reduced_text('text', 512)))``."""
+    ``load_model()`` runs once per Python worker, whatever the number of tasks
+    that it serves, and must return a callable ``list[str] -> ndarray (n, dim)``.
+    It is given texts of like length at once (:func:`length_batches`), so that a
+    model that fills a batch up to its longest text wastes little.  Use it on
+    the reduced texts: ``df.select(udf(reduced_text('text', 512)))``."""
     from pyspark.sql import types as T
 
+    key = uuid.uuid4().hex  # one per embedder
+
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load_model()
+        model = _kept(key, load_model)
         for texts in batches:
-            out = []
             vals = texts.fillna("").tolist()
-            for i in range(0, len(vals), batch_rows):
-                m = np.asarray(model(vals[i:i + batch_rows]), dtype=np.float32).reshape(-1, dim)
-                out.extend(list(m))
+            out: list = [None] * len(vals)
+            for at in length_batches(list(map(len, vals)), batch_rows, batch_chars):
+                rows = np.asarray(model([vals[i] for i in at]), dtype=np.float32).reshape(-1, dim)
+                for i, row in zip(at, rows, strict=True):
+                    out[i] = row
             yield pd.Series(out)
 
     return _embed
