@@ -195,19 +195,20 @@ def read_spec(spark, path: str) -> str:
     return spark.read.text(where, wholetext=True).first()[0]
 
 
-def encode(docs: DataFrame, spec: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit integers."""
+def encode(docs: DataFrame, spec: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit integers;
+    and the bigint columns ``carry`` as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)  # one vocabulary file
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary()), *((c, pa.int64()) for c in carry)])
 
     def run(batches):
         codec = Codec(shared.value)
         for b in batches:
             ids = [codec.encode(t.as_py()) for t in b.column("text")]
-            yield batch(schema, b.column("doc_id"), [len(x) // 4 for x in ids], ids, [codec.decode(x).encode() for x in ids])
+            yield batch(schema, b.column("doc_id"), [len(x) // 4 for x in ids], ids, [codec.decode(x).encode() for x in ids], *(b.column(c) for c in carry))
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_arrow(rows, run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *carry)
+    return map_arrow(rows, run, ", ".join(["doc_id bigint, n_tokens bigint, ids binary, decoded binary", *(f"{c} bigint" for c in carry)]))
 
 
 def digest(docs: DataFrame, spec: str) -> DataFrame:

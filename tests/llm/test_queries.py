@@ -74,6 +74,47 @@ def test_pipeline_stages(spark, messy, empty, tmp_path):
                 assert docs.count() == before.count()
 
 
+def test_near_copies_reach_the_join(spark):
+    """Line dedup leaves near copies whole, and the join takes them out; shared
+    passages go from documents that are otherwise their own."""
+    import random
+
+    import corpus_pipeline as P
+
+    rng = random.Random(7)
+
+    def line():
+        return " ".join(f"w{rng.randrange(5000)}" for _ in range(12))
+
+    passage = [line() for _ in range(4)]
+    texts = [[line() for _ in range(20)] for _ in range(30)]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    for i in range(10):  # one word of one line is another one
+        t = texts[i][:]
+        t[10] = t[10] + " edited"
+        rows.append((100 + i, "\n".join(t)))
+    rows += [(200 + i, "\n".join([*(line() for _ in range(12)), *passage])) for i in range(5)]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    freed = P.lines(spark, docs, SF).cache()
+    got = {r.doc_id: r.text for r in freed.collect()}
+    assert all(got[100 + i] == dict(rows)[100 + i] for i in range(10))
+    assert sum(passage[0] in t for t in got.values()) == 1
+    kept = {r.doc_id for r in P.near_duplicates(spark, freed, SF).collect()}
+    assert kept == {*range(30), *range(200, 205)}
+
+
+def test_near_duplicates_of_shared_ids(spark):
+    """Two texts under one id (or none): only the one that is a copy goes."""
+    import corpus_pipeline as P
+
+    text = " ".join(f"a{i}" for i in range(60))
+    other = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more"), (2, other), (None, other + " end"), (None, "quite alone here"), (None, None), (3, None), (1, text)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, P.near_duplicates(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([(1, text), (1, text), (None, other + " end"), (None, "quite alone here"), (None, None), (3, None)], key=repr)
+
+
 def test_pipeline_keeps_the_mixture_order(spark, messy, tmp_path):
     import corpus_pipeline as P
 
@@ -88,5 +129,7 @@ def test_pipeline_runs(spark):
     import corpus_pipeline as P
 
     got = P.run(spark, SF)
-    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and got.count() > 100
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256", "mix_slot", "on_target"] and got.count() > 100
+    slots = [r.mix_slot for r in got.collect()]
+    assert len(set(slots)) > 3 and None not in slots
     assert P.ORACLE_SQL is None
