@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import as_i64, batch, covered, id_key, list_slices, map_arrow, rolled, sliding_min, word_hashes, written
+from tessera.llm._common import NULL_ID, as_i64, batch, covered, id_key, list_slices, map_arrow, rolled, sliding_min, word_hashes, written
 
 WIDTH, GRAM = 20, 6
 
@@ -75,7 +75,8 @@ def _windows(width: int, gram: int):
     def run(batches):
         for b in batches:
             values, lo, hi = list_slices(b.column("pieces"))
-            for i, (d, row, text) in enumerate(zip(b.column("d").to_pylist(), b.column("row").to_pylist(), b.column("words"), strict=True)):
+            ids = b.column("doc_id").fill_null(NULL_ID).to_pylist()
+            for i, (d, row, text) in enumerate(zip(ids, b.column("row").to_pylist(), b.column("words"), strict=True)):
                 h = word_hashes(text.as_py())
                 if len(h) < width or lo[i] == hi[i]:
                     continue
@@ -122,15 +123,21 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     if not 1 <= gram <= width:
         raise ValueError("gram must lie between 1 and width")
     text = F.col("text").cast("binary")
-    src = docs.select(F.xxhash64("doc_id", text).alias("row"), id_key().alias("d"), F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("words"))
+    # Where every row has an id of its own, the id is the key of a document: it
+    # compresses well, and the smallest one is a plain aggregate.
+    unique = docs.groupBy(id_key().alias("d")).count().where("count > 1").isEmpty()
+    row = id_key() if unique else F.xxhash64("doc_id", text)
+    # the same columns for both joins below: one exchange of the texts serves both
+    src = docs.select(row.alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("words"))
     pieces = map_arrow(src.select("row", "words"), _pieces(width, gram), "piece bigint, n int, row bigint")
     repeated = written(pieces.groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1").select("piece"), "repeated-pieces")
-    # sets: equal rows name equal pieces
-    by_doc = pieces.join(repeated, "piece").groupBy("row").agg(F.collect_set("piece").alias("pieces"))
+    gather = F.collect_list if unique else F.collect_set  # equal rows name equal pieces
+    by_doc = pieces.join(repeated, "piece").groupBy("row").agg(gather("piece").alias("pieces"))
     hits = src.join(by_doc, "row", "left")
     windows = map_arrow(hits.where("pieces is not null"), _windows(width, gram), "hash bigint, d bigint, row bigint")
-    owners = windows.groupBy("hash").agg(F.min(F.struct("d", "row")).alias("o"))
-    owned = owners.groupBy(F.col("o.row").alias("row")).agg(F.collect_list("hash").alias("owned"))
+    first = F.min("d") if unique else F.min(F.struct("d", "row"))["row"]
+    owners = windows.groupBy("hash").agg(first.alias("row"))
+    owned = owners.groupBy("row").agg(F.collect_list("hash").alias("owned"))
     empty = F.array().cast("array<bigint>")
     judged = hits.join(owned, "row", "left").select("doc_id", "words", F.coalesce("pieces", empty).alias("pieces"), F.coalesce("owned", empty).alias("owned"))
     return map_arrow(judged, _keep(width, gram), "doc_id bigint, n_words bigint, n_removed bigint, kept binary")
