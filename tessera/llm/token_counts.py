@@ -12,7 +12,8 @@ previous separator plus the head, and the running separator count is the
 document's number.  A document without a final separator at the end of a file
 counts too if it has tokens.
 
-A prefix scan within a file runs in two levels, segments of ``SEGMENT`` blocks
+``read_files`` makes blocks of flat files of any size: only lengths are read on
+the way to the tasks, which read ranges.  A prefix scan within a file runs in two levels, segments of ``SEGMENT`` blocks
 first, so that a file of any number of blocks is no single window.
 
 ``pack`` makes such blocks from texts for the query: every task writes one
@@ -95,13 +96,32 @@ def scan(blocks: DataFrame, eod: int, dtype: str = "<u2") -> DataFrame:
     return closed.unionByName(rest.where("n_tokens > 0"))
 
 
-def read_files(spark, path: str, block_bytes: int = 1 << 20) -> DataFrame:
-    """Blocks of flat files below ``path``, read by Spark (one file per row
-    is cut inside the task that reads it; a file must fit that task)."""
-    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), "content")
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("content") - 1), F.lit(block_bytes))
-    cut = files.select("file", "content", F.posexplode(starts).alias("block", "start"))
-    return cut.select("file", "block", F.expr(f"substring(content, start + 1, {block_bytes})").alias("data"))
+def _ranges(batches):
+    """Bytes of (path, start, length) ranges, read from the shared store."""
+    from pyarrow import fs
+
+    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("data", pa.binary())])
+    for b in batches:
+        for file, path, block, start, length in zip(*(b.column(c).to_pylist() for c in ("file", "path", "block", "start", "length")), strict=True):
+            store, name = fs.FileSystem.from_uri(path)
+            with store.open_input_file(name) as f:
+                yield batch(schema, [file], [block], [f.read_at(length, start)])
+
+
+def read_files(spark, path: str, block_bytes: int = 1 << 20, dtype: str = "<u2") -> DataFrame:
+    """Blocks (file, block, data) of the flat files below ``path``, in a store
+    that tasks can open.  Spark lists the files and their lengths; a file of any
+    size is dealt out as ranges of whole ids, each read by itself in some task.
+    An incomplete id at the end of a file is left out."""
+    width = np.dtype(dtype).itemsize
+    block_bytes = block_bytes // width * width
+    if not block_bytes:
+        raise ValueError("a block holds at least one id")
+    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), "path", (F.floor(F.col("length") / width) * width).alias("size"))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.col("size") - 1), F.lit(block_bytes).cast("bigint"))
+    cut = files.select("file", "path", "size", F.posexplode(starts).alias("block", "start"))
+    cut = cut.select("file", "path", F.col("block").cast("bigint").alias("block"), "start", F.least(F.lit(block_bytes), F.col("size") - F.col("start")).cast("bigint").alias("length"))
+    return cut.repartition("path", "start").mapInArrow(_ranges, "file bigint, block bigint, data binary")
 
 
 def read_ranks(spark, path: str) -> dict[bytes, int]:
