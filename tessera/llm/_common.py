@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-#: Rows and bytes of one Arrow batch: a batch of long texts must fit a Python worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: Rows of one Arrow batch: a batch of long texts must fit a Python worker.
+BATCH_ROWS = 1000
 #: Stands for a NULL id in keys; NULL ids sort before all others.
 NULL_ID = -(2**63)
 #: Odd multipliers of the polynomial hashes and of the finaliser (fixed values of splitmix64).
@@ -31,24 +31,15 @@ def from_key(column: str) -> Column:
     return F.when(F.col(column) != F.lit(NULL_ID), F.col(column))
 
 
-def sliced(batches):
-    """The batches, cut into parts of at most BATCH_ROWS rows and BATCH_BYTES
-    bytes, or of one row."""
-    for b in batches:
-        parts = [b]
-        while parts:
-            part = parts.pop()
-            if part.num_rows > 1 and (part.num_rows > BATCH_ROWS or part.nbytes > BATCH_BYTES):
-                half = part.num_rows // 2
-                parts += [part.slice(half), part.slice(0, half)]
-            else:
-                yield part
-
-
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with small batches (Spark's own are bounded in bytes by
-    ``spark.sql.execution.arrow.maxBytesPerBatch``); the session's settings stay."""
-    return df.mapInArrow(lambda batches: fn(sliced(batches)), schema)
+    """``df.mapInArrow`` with batches of at most BATCH_ROWS rows (and, in bytes,
+    of ``spark.sql.execution.arrow.maxBytesPerBatch``, which is Spark's own
+    bound).  The row bound is a session setting, which stays lowered: cutting
+    larger batches inside the task would need memory for the whole of them."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

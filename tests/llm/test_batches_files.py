@@ -1,10 +1,9 @@
-"""Flat files by ranges; Arrow batches bounded in rows and bytes."""
+"""Flat files by ranges."""
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
-from tessera.llm import _common, token_counts
+from tessera.llm import token_counts
 
 
 @pytest.mark.parametrize("block_bytes", [2, 7, 1001, 1 << 20])
@@ -31,15 +30,3 @@ def test_content_is_not_read_on_the_way(spark, tmp_path):
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
     with pytest.raises(ValueError):
         token_counts.read_files(spark, str(tmp_path), 1)
-
-
-def test_sliced_batches(spark, monkeypatch):
-    monkeypatch.setattr(_common, "BATCH_ROWS", 10)
-    monkeypatch.setattr(_common, "BATCH_BYTES", 2000)
-    texts = ["x" * n for n in [5] * 95 + [1500, 3000, 900, 900, 900] + [0] * 7]
-    parts = list(_common.sliced([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
-    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
-    assert all(p.num_rows <= 10 and (p.num_rows == 1 or p.nbytes <= 2000) for p in parts)
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    _common.map_arrow(spark.range(5), lambda it: it, "id bigint").count()
-    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
