@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tessera.functions.porter import porter_stem
 from tessera.functions.text import OP_AND, OP_NOT, OP_OR, split_words, strip_punctuation
 from tessera.operators.index import Index
-from tessera.operators.lookup import key_filter
+from tessera.operators.lookup import key_filter, pruned
 
 # Size bounds for the driver-side shortcuts; beyond them the plan stays fully
 # distributed (shuffle joins, AQE decides broadcast from measured sizes).
@@ -142,9 +142,10 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
         has_neg_only = any(v == 0 for v in n_pos.values())
         terms = sorted({r["term"] for r in rows if r["term"] is not None})
         if len(terms) <= MAX_PUSHDOWN_TERMS:
-            postings = postings.where(key_filter("term", terms))
-            if term_stats is not None:
-                term_stats = term_stats.where(key_filter("term", terms))
+            if term_stats is not None:  # stored, sorted by term
+                postings, term_stats = (pruned(t, "term", terms) for t in (postings, term_stats))
+            else:
+                postings = postings.where(key_filter("term", terms))
     else:
         clause_meta = (literals.groupBy("query_id", "clause_no")
                        .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.porter import porter_stem
 from tessera.functions.text import has_token, index_tokens, pretty_name, split_words, strip_punctuation, word_count
+from tessera.operators.lookup import PAGE_ROWS
 from tessera.operators.skew import skew_split_join, write_once
 
 
@@ -201,6 +202,7 @@ def merge_posting_maps(a: DataFrame, b: DataFrame) -> DataFrame:
 
 # Doc ids of a block, and documents from which a term's blocks are stored.
 BLOCK_DOCS, HOT_DF = 4096, 1024
+PAGES = {"parquet.page.row.count.limit": str(PAGE_ROWS)}
 
 
 def write_index(index: Index, path: str, num_partitions: int | None = None, block_docs: int = BLOCK_DOCS, hot_df: int = HOT_DF) -> None:
@@ -222,14 +224,14 @@ def write_index(index: Index, path: str, num_partitions: int | None = None, bloc
          else p.repartitionByRange("term", "doc_id"))
 
     def write(folder: str) -> dict:
-        p.sortWithinPartitions("term", "doc_id").write.parquet(f"{folder}/postings")
+        p.sortWithinPartitions("term", "doc_id").write.options(**PAGES).parquet(f"{folder}/postings")
         postings = spark.read.parquet(f"{folder}/postings")
         # Document frequencies, read back from the written postings (partial +
         # final aggregate), stored sorted by term so a search looks up its terms
         # by row-group pruning instead of aggregating postings at query time.
         (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
          .repartitionByRange("term").sortWithinPartitions("term")
-         .write.parquet(f"{folder}/term_stats"))
+         .write.options(**PAGES).parquet(f"{folder}/term_stats"))
         hot = spark.read.parquet(f"{folder}/term_stats").where(F.col("df") >= hot_df).select("term")
         block = F.floor(F.col("doc_id") / block_docs).cast("bigint").alias("block")
         (postings.join(hot, "term", "left_semi").groupBy("term", block).agg(F.max(F.col("tf") / F.col("doc_len")).alias("max_w"))

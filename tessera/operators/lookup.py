@@ -8,8 +8,11 @@ plan is not re-run downstream) and its keys become a pushed-down filter.
 Parquet reduces a long ``IN`` list to the range from its smallest to its
 largest value, which prunes nothing; so the sorted keys are also given as an
 OR of at most ``MAX_RANGES`` short ranges, cut at the largest gaps, which the
-scan tests one by one against the statistics of every row group.  Beyond the
-bound everything stays distributed (semi-join, AQE picks the strategy).
+scan tests one by one against the statistics of every row group and page.  A
+long scattered list on a table sorted by the key is dealt to several scans, each
+with a run of the sorted keys (``pruned``): every scan tests its keys one by one
+and reads the pages that can hold one.  Beyond the bound everything stays
+distributed (semi-join, AQE picks the strategy).
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 
 MAX_LOCAL_ROWS = 10_000
 MAX_RANGES = 64
+MAX_SCANS = 32
+#: Rows of a Parquet page of tables that are looked up by key: what a key costs.
+PAGE_ROWS = 1000
 
 
 def materialize_small(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame | None:
@@ -63,6 +69,17 @@ def key_filter(key: str, values: list, most: int = MAX_RANGES) -> Column:
     return near & c.isin(v) if len(set(v)) > most else near
 
 
+def pruned(table: DataFrame, key: str, values: list, scans: int = MAX_SCANS) -> DataFrame:
+    """Rows of a stored table, sorted by ``key``, whose key is one of ``values``:
+    at most ``scans`` scans of MAX_RANGES keys or short ranges each.  Every key is
+    in one scan, so rows come once."""
+    v = sorted({x for x in values if x is not None})
+    n = max(1, min(scans, -(-len(v) // MAX_RANGES)))
+    size = max(1, -(-len(v) // n))
+    parts = [table.where(key_filter(key, v[i:i + size])) for i in range(0, max(1, len(v)), size)]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def lookup(table: DataFrame, keys: DataFrame, key: str = "doc_id",
            max_keys: int = MAX_LOCAL_ROWS) -> DataFrame:
     """Rows of ``table`` whose ``key`` appears in ``keys[key]``."""
