@@ -83,22 +83,22 @@ def _chunks(lines: Column, divisor: int, min_lines: int, all_starts: bool) -> Co
 
 
 def _copies(cut: DataFrame, keyed: DataFrame, repeated: DataFrame, share: float) -> DataFrame:
-    """(_row) of documents that have at least ``share`` of their lines in chunks
+    """(_row) of documents that have more than ``share`` of their lines in chunks
     of one and the same earlier document."""
     whole = keyed.select("_row", "_d", F.size(_lines()).alias("size")).distinct()
     spots = cut.join(repeated, "key").select("_row", "key", F.sequence("start", F.col("start") + F.col("n") - 1).alias("lines")).join(whole, "_row")
     first = spots.groupBy("key").agg(F.min(F.struct("_d", "_row")).alias("o")).select("key", F.col("o._row").alias("first"))
     shared = spots.join(first, "key").where("_row <> first").select("_row", "first", "size", F.explode("lines").alias("line")).distinct()
     per = shared.groupBy("_row", "first", "size").agg(F.count(F.lit(1)).alias("n"))
-    return per.where(F.col("n") >= share * F.col("size")).select("_row").distinct()
+    return per.where(F.col("n") > share * F.col("size")).select("_row").distinct()
 
 
 def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES, all_starts: bool = False, spare: float | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``text`` freed of repeated chunks, plus
     n_lines and n_removed.  With ``all_starts`` every run of ``min_lines`` lines
     is judged, whatever the boundaries: no repeated run is missed.  With
-    ``spare`` a document that has this share of its lines from one earlier
-    document is left whole: it is a near copy, to be judged as a document, and
+    ``spare`` a document that has more than this share of its lines from one
+    earlier document is left whole: it is a near copy, to be judged as a document, and
     cut to its differences it could no longer be told."""
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     # in a struct no column of the input can clash with one of ours
