@@ -83,3 +83,50 @@ def test_options(spark):
         P.refine(v, ["vec"], 4, 10, None, fanout=2**P.LEVEL_BITS)
     assert K.engine_for("exact", None) is P.knn_pruned
     assert P.knn_pruned(v.limit(0), k=3, dim=4).count() == 0
+
+
+def test_a_wide_threshold_copies_no_row_per_cell(spark, monkeypatch):
+    """Cells hold home rows alone: at a wide threshold nearly every row would
+    be a guest of nearly every cell."""
+    import tessera.session as S
+
+    keep, most = S.reliable_checkpoint, []
+
+    def spy(df):
+        out = keep(df)
+        if "id" in out.columns:
+            most.append(out.groupBy("id").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(S, "reliable_checkpoint", spy)
+    v = vec_df(spark, clustered(600, 20, 6, 0.3))
+    got = rows_of(K.knn_cells(v, k=4, threshold=0.5, cell_rows=10, max_pivots=8, split_rows=20))
+    assert got == rows_of(K.knn_exact(v, k=4, threshold=0.5))
+    assert max(most) == 1
+
+
+@pytest.mark.parametrize("threshold", [0.95, None])
+def test_spans_meet_in_parts_and_tiles(monkeypatch, threshold):
+    """Bounds, parts and tiles lose no pair, within a span and between two."""
+    import numpy as np
+    import pandas as pd
+
+    from tessera.operators import span_join as J
+
+    monkeypatch.setattr(J, "PART_ROWS", 37)
+    monkeypatch.setattr(J, "TILE_ROWS", 8)
+    rng = np.random.default_rng(4)
+    base = rng.poisson(0.4, (40, 200))
+    full = np.maximum(base[np.arange(300) % 40] + rng.integers(-1, 2, (300, 200)) * (rng.random((300, 200)) < 0.04), 0)
+    full[7, 3] = 70000  # a count beyond two bytes
+    plain = pd.DataFrame({"id": np.arange(300), "cell": np.arange(300) % 40, "bound": -2.0, "blk": np.arange(300) % 2,
+                          "idx": [np.flatnonzero(r) for r in full], "val": [r[np.flatnonzero(r)].astype(float) for r in full]})
+    packed = next(J._packer(200)([plain]))
+    assert (J._plain(packed["idx"].to_numpy(object), packed["val"].to_numpy(object), 200) == full).all()
+    axes = np.linalg.eigh(full.T.astype(float) @ full)[1][:, -J.SKETCH_DIMS:]
+    run = J._kernel(4, threshold, 200, axes, None)
+    found = pd.concat([run(packed[packed["blk"].isin([a, b])].assign(pa=a, pb=b)) for a, b in ((0, 0), (0, 1), (1, 1))])
+    found = found.sort_values(["doc_id", "cos_sim", "neighbor_id"], ascending=[True, False, True]).groupby("doc_id").head(4)
+    sq = (full * full).sum(1).astype(float)
+    want = K._best(np.arange(300), sq, np.arange(300), sq, (full @ full.T).astype(float), 4, threshold)
+    assert len(want) and found[["doc_id", "neighbor_id", "cos_sim"]].to_numpy().tolist() == want.to_numpy().tolist()
