@@ -103,6 +103,21 @@ def test_near_copies_reach_the_join(spark):
     assert kept == {*range(30), *range(200, 205)}
 
 
+def test_lines_of_a_spared_document_that_stays_go(spark):
+    """More than half its lines are an earlier document's, too few for the
+    join: the repeated lines go all the same."""
+    import random
+
+    import corpus_pipeline as P
+
+    rng = random.Random(8)
+    first, own = ([" ".join(f"w{rng.randrange(5000)}" for _ in range(12)) for _ in range(n)] for n in (12, 8))
+    rows = [(1, "\n".join(first)), (2, "\n".join([*first[:10], *own]))]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: (r.text, r.n_chars) for r in P.near_duplicates(spark, P.lines(spark, docs, SF), SF).collect()}
+    assert got == {1: (rows[0][1], len(rows[0][1])), 2: ("\n".join(own), len("\n".join(own)))}
+
+
 def test_near_duplicates_of_shared_ids(spark):
     """Two texts under one id (or none): only the one that is a copy goes."""
     import corpus_pipeline as P
