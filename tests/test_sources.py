@@ -96,3 +96,13 @@ def test_stored_tables_are_computed_once(spark, tmp_path):
     assert len(calls) == 1
     with pytest.raises(ValueError):
         stored(spark, path, {"k": 6}, compute)
+
+
+def test_text_tree_files_are_opened_once(spark, tmp_path):
+    """The result and its ordinals read a written table, not the files."""
+    for name in ("a", "b"):
+        (tmp_path / "band").mkdir(exist_ok=True)
+        (tmp_path / "band" / f"{name}.txt").write_text(name)
+    docs = read_text_tree(spark, str(tmp_path))
+    assert "text" in docs.columns and not any(f.startswith(f"file://{tmp_path}") or f.startswith(f"file:{tmp_path}") for f in docs.inputFiles())
+    assert sorted((r.doc_id, r.path) for r in docs.collect()) == [(0, "band/a.txt"), (1, "band/b.txt")]
