@@ -130,3 +130,10 @@ def test_spans_meet_in_parts_and_tiles(monkeypatch, threshold):
     sq = (full * full).sum(1).astype(float)
     want = K._best(np.arange(300), sq, np.arange(300), sq, (full @ full.T).astype(float), 4, threshold)
     assert len(want) and found[["doc_id", "neighbor_id", "cos_sim"]].to_numpy().tolist() == want.to_numpy().tolist()
+
+
+def test_visits_go_down_in_small_parts(spark):
+    """A query may visit every cell below: few are sent down at once."""
+    rows = spark.range(6000).select("id", F.lit(1).alias("cell"), F.lit(6000).alias("n_visits"))
+    most = P._parts(rows, "n_visits", P.VISIT_ROWS).groupBy("part").count().agg(F.max("count")).first()[0]
+    assert most < 1.2 * P.VISIT_ROWS < P.PART_ROWS / 4
