@@ -137,3 +137,29 @@ def test_visits_go_down_in_small_parts(spark):
     rows = spark.range(6000).select("id", F.lit(1).alias("cell"), F.lit(6000).alias("n_visits"))
     most = P._parts(rows, "n_visits", P.VISIT_ROWS).groupBy("part").count().agg(F.max("count")).first()[0]
     assert most < 1.2 * P.VISIT_ROWS < P.PART_ROWS / 4
+
+
+def test_spans_travel_as_chunks(spark, monkeypatch):
+    """Packed rows travel CHUNK_ROWS as one, and come back as they were; a
+    count of spans that Spark raises loses no pair."""
+    import numpy as np
+    import pandas as pd
+
+    from tessera.operators import span_join as J
+
+    rng = np.random.default_rng(2)
+    full = rng.integers(0, 4, (50, 200)) * (rng.random((50, 200)) < 0.3)
+    full[7] *= 300
+    plain = pd.DataFrame({"cell": 1, "id": range(50), "bound": -2.0, "blk": 3, "idx": [np.flatnonzero(r) for r in full], "val": [r[r > 0].astype(float) for r in full]})
+    monkeypatch.setattr(J, "CHUNK_ROWS", 20)
+    sent = pd.concat(J._chunks(200)([plain.iloc[:33], plain.iloc[33:]]))
+    assert len(sent) == 3 and set(sent["blk"]) == {3}
+    chunks = list(sent.drop(columns="blk").itertuples(index=False, name=None))
+    span = J._Span(chunks[::-1], -2.0, 200, None)
+    assert span.ids.tolist() == list(range(50)) and (span.plain(5, 44) == full[5:44]).all()
+
+    v = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.normal(0, 1, (90, 6)))], "id bigint, vec array<double>")
+    want = sorted(tuple(r) for r in K.knn_exact(v, k=4, threshold=0.3).collect())
+    cut = type(v).repartitionByRange
+    monkeypatch.setattr(type(v), "repartitionByRange", lambda self, n, *cols: cut(self, 11, *cols))
+    assert sorted(tuple(r) for r in K.knn_cells(v, k=4, threshold=0.3, cell_rows=30, block_rows=1000).collect()) == want
