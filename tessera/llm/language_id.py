@@ -5,12 +5,14 @@ units, each an exact 64-bit number.  Tasks count them over *all* training
 texts, Spark adds the counts per language.  The highest order is discounted raw
 counts, lower orders are continuation counts, all interpolated down to the
 uniform distribution; discounts, continuation counts and context totals are
-Spark aggregates over all grams.  Of each order a language's model stores the
-grams whose count reaches the smallest power-of-two step that leaves at most
-``max_grams`` of them, and all single units; the probability of those left out
-goes to the shorter context.  A model is sorted arrays of gram hashes (the packed units), one
-language after another, searched by bisection: at most 4 * ORDER * max_grams
-numbers a language, whatever the other languages hold.
+Spark aggregates over all grams.  A language's model stores all of its grams.  A
+caller that needs a model of bounded size gives ``max_grams``: of each order it
+then holds the grams whose count reaches the smallest power-of-two step that
+leaves at most so many, and all single units; the probability of those left out
+goes to the shorter context.  A model is sorted arrays of gram hashes (the packed
+units), one language after another, searched by bisection: at most four numbers
+for a gram of each order, so it grows with the distinct grams of its languages
+and not with their texts.
 
 Prediction.  A text gets the language of lowest cross-entropy per letter, ties
 to the smaller name.  A calibration fold (a sixteenth of the training rows,
@@ -26,6 +28,7 @@ learned from; repeated rows are judged alike; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from tessera.llm._common import as_i64, batch, map_arrow, written
 
 ORDER = 4
-MAX_GRAMS, MAX_LANGUAGES = 100_000, 256
+MAX_LANGUAGES = 256
 #: Steps of the calibration tables, per nat.
 STEPS, TOP = 20, 200
 
@@ -224,10 +227,10 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return assemble(langs, levels[::-1], len(units))
 
 
-def train(rows: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
+def train(rows: DataFrame, max_grams: int | None = None) -> Model | None:
     """Model from all rows (lang, text); None if they hold no letters.  Counts,
-    discounts, continuation counts and context totals are those of all grams;
-    only then are the rarest left out of what is stored."""
+    discounts, continuation counts and context totals are those of all grams, and
+    all are stored; with ``max_grams`` the rarest are left out at the end."""
     learn = rows.where("lang is not null and text is not null").select("lang", "text")
     level = written(map_arrow(learn, _count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "char-grams")
     langs, levels, units = [], [], 0
@@ -245,7 +248,7 @@ def train(rows: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
         for lang, steps in per.items():
             total = 0
             for s in sorted(steps, reverse=True):
-                if (total := total + steps[s][0]) > max_grams:
+                if (total := total + steps[s][0]) > (math.inf if max_grams is None else max_grams):
                     break
                 least[lang] = 2**s
             # not even the largest step fits: none; single units always fit
@@ -256,7 +259,7 @@ def train(rows: DataFrame, max_grams: int = MAX_GRAMS) -> Model | None:
         ctx = F.shiftrightunsigned("gram", 16)
         totals = level.groupBy("lang", ctx.alias("ctx")).agg(F.sum("n").alias("total"))
         kept = level.where(F.col("n") >= of(least)).withColumn("ctx", ctx).join(totals, ["lang", "ctx"])
-        table = kept.select("lang", "gram", (F.greatest(F.col("n") - of(off), F.lit(0.0)) / F.col("total")).alias("p")).toArrow()  # at most max_grams rows a language
+        table = kept.select("lang", "gram", (F.greatest(F.col("n") - of(off), F.lit(0.0)) / F.col("total")).alias("p")).toArrow()  # distinct grams, of one order at a time
         lang = np.array(table.column("lang").to_pylist(), object)
         gram, p = table.column("gram").to_numpy().view(np.uint64), table.column("p").to_numpy()
         levels.append({g: (gram[lang == g], p[lang == g]) for g in langs})
@@ -343,7 +346,7 @@ def fold():
     return F.crc32(F.col("doc_id").cast("string").cast("binary"))
 
 
-def fit(docs: DataFrame, max_grams: int = MAX_GRAMS):
+def fit(docs: DataFrame, max_grams: int | None = None):
     """(model, share, ceiling) from the training rows of ``docs`` (doc_id, text, lang)."""
     rows = docs.where(fold() % 4 != 2)
     model = train(rows.where(fold() % 16 != 1), max_grams)

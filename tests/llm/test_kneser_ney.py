@@ -97,3 +97,15 @@ def test_model_grows_with_the_sum_of_its_languages():
 
     small, large = size(2), size(8)
     assert 3.5 * small < large < 4.5 * small and large < 8 * 8 * 20_000 * 16 * 1.01
+
+
+def test_no_gram_is_left_out_of_a_large_language(spark):
+    """A language of very many grams, all of them rare: all are stored."""
+    rng = random.Random(5)
+    texts = ["".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(13_000)) for _ in range(10)]
+    model = li.train(spark.createDataFrame([("zz", t) for t in texts] + [("aa", "la le li")], "lang string, text string"))
+    keys, n = li._tally(np.concatenate([li.grams(t) for t in texts]))
+    full = li.estimate({"zz": (keys, n), "aa": li._tally(li.grams("la le li"))})
+    assert len(keys) > 120_000 and np.array_equal(model.probs[-1].keys[model.probs[-1].starts[1]:], keys)
+    for x, y in zip(model.probs + model.backs, full.probs + full.backs, strict=True):
+        assert np.array_equal(x.keys, y.keys) and np.allclose(x.values, y.values)
