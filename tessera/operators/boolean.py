@@ -146,8 +146,7 @@ def literal_matches(index: Index, literals: DataFrame, num_docs: int | None = No
                 postings, term_stats = (pruned(t, "term", terms) for t in (postings, term_stats))
             else:
                 # one IN: a term is computed from its word once, not per query term
-                postings = index.postings if index.scanned is None else index.scanned
-                postings = postings.where(F.col("term").isin(terms))
+                postings = index.of_terms(terms)
     else:
         clause_meta = (literals.groupBy("query_id", "clause_no")
                        .agg(F.sum((~F.col("negative")).cast("int")).alias("n_pos")))
