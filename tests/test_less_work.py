@@ -72,7 +72,9 @@ def test_only_changed_forms_are_joined(spark, monkeypatch):
     written, real = [], I.write_once
     monkeypatch.setattr(I, "write_once", lambda df, name, **o: (written.append((name, rows(df))), real(df, name, **o))[1])
     text = spark.createDataFrame([(1, "Running runs box boxes box")], "doc_id bigint, text string")
-    found = {(r.term, r.tf) for r in I.build_index(text, "porter").postings.collect()}
+    postings = I.build_index(text, "porter").postings
+    assert "hashpartitioning(doc_id" in plan(postings) and "hashpartitioning(term" not in plan(postings)
+    found = {(r.term, r.tf) for r in postings.collect()}
     assert found == {("run", 2), ("box", 3)}
     assert all("token='box'" not in r for r in dict(written)["changed-forms"])
 
