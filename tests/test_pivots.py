@@ -163,3 +163,57 @@ def test_spans_travel_as_chunks(spark, monkeypatch):
     cut = type(v).repartitionByRange
     monkeypatch.setattr(type(v), "repartitionByRange", lambda self, n, *cols: cut(self, 11, *cols))
     assert sorted(tuple(r) for r in K.knn_cells(v, k=4, threshold=0.3, cell_rows=30, block_rows=1000).collect()) == want
+
+
+def test_passes_cover_every_pair_of_spans_once():
+    from tessera.operators import span_join as J
+
+    for spans, least in ((1, 12), (8, 12), (43, 12), (5, 100)):
+        runs = J._passes(spans, least)
+        assert [s for lo, hi in runs for s in range(lo, hi)] == list(range(spans))
+        # rows sent in a pass: its own spans to all from there on, the later ones to it
+        sent = [(hi - lo) * (spans - lo) + (spans - hi) * (hi - lo) for lo, hi in runs]
+        assert spans < 43 or max(sent) <= 4 * spans < spans * spans / 8
+
+
+def test_visits_are_no_rows(spark, monkeypatch):
+    """Vectors without clusters visit nearly every cell: no table of visits is
+    written, and no shuffle stays when a step has ended."""
+    import random
+
+    from tessera import session as S
+    from tessera.operators import skew
+
+    written, keep = [], skew.scratch_path
+    monkeypatch.setattr(skew, "scratch_path", lambda spark, name: (written.append(keep(spark, name)), written[-1])[1])
+    rnd = random.Random(5)
+    v = vec_df(spark, [(i, [rnd.gauss(0, 1) for _ in range(24)]) for i in range(900)])
+    got = P.knn_pruned(v, k=4, cell_rows=16, fanout=4)
+    assert rows_of(got) == rows_of(K.knn_exact(v, k=4))
+    assert max(spark.read.parquet(p).count() for p in written) <= 3 * 900
+    assert spark.conf.get(S.SHUFFLE_CLEANUP) == "false"
+
+
+def test_pivots_are_drawn_by_id(spark):
+    """Ids are sorted, not vectors; the rows drawn are those of the least hashes."""
+    v = vec_df(spark, clustered(300, 5, 4, 0.1))
+    want = [tuple(r) for r in v.orderBy(F.xxhash64("id"), "id").limit(17).collect()]
+    got = K.drawn(v, ["vec"], 17)
+    assert [(i, list(x)) for i, x in zip(got["id"], got["vec"], strict=True)] == want
+
+
+def test_vectors_without_collapsed_copies_are_embedded_once(spark, monkeypatch):
+    from tessera.operators import duplicates as D
+
+    docs = spark.createDataFrame([(i, f"w{i % 7} x{i % 3} y") for i in range(40)], "doc_id bigint, text string")
+    made = spark.sparkContext.accumulator(0)
+
+    def embed(it):
+        for pdf in it:
+            made.add(len(pdf))
+            yield pdf
+
+    vectors = D.embed_corpus(docs)
+    counted = vectors.mapInPandas(embed, vectors.schema)
+    got = D.find_duplicates(counted, threshold=0.9, collapse_copies=False, cell_rows=10, max_pivots=4, split_rows=20)
+    assert rows_of(got) == rows_of(K.knn_exact(vectors, k=5, threshold=0.9, dim=768)) and made.value == 40
