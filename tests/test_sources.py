@@ -106,3 +106,25 @@ def test_text_tree_files_are_opened_once(spark, tmp_path):
     docs = read_text_tree(spark, str(tmp_path))
     assert "text" in docs.columns and not any(f.startswith(f"file://{tmp_path}") or f.startswith(f"file:{tmp_path}") for f in docs.inputFiles())
     assert sorted((r.doc_id, r.path) for r in docs.collect()) == [(0, "band/a.txt"), (1, "band/b.txt")]
+
+
+def test_a_tree_is_read_by_few_tasks_and_written_without_checksums(spark, monkeypatch, tmp_path):
+    import os
+
+    from tessera import session as S
+    from tessera.operators import skew
+    from tessera.plans.catalog import QUERIES
+
+    made, keep = [], S.scratch_path
+    spy = lambda spark, name: (made.append(keep(spark, name)), made[-1])[1]
+    monkeypatch.setattr(S, "scratch_path", spy)
+    monkeypatch.setattr(skew, "scratch_path", spy)
+    docs = spark.range(300).selectExpr("id doc_id", "concat('text\\n', id) text", "'en' lang", "concat('s', id % 3) source", "1L n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["text_tree"](spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(300)) and len({r.text_md5 for r in got}) == 300
+    root, files = (next(p for p in made if f"/{name}-" in p) for name in ("text-tree", "text-files"))
+    # 32 files a task by Spark's own settings
+    assert len([f for f in os.listdir(files) if f.startswith("part-")]) <= 6
+    assert not [f for _, _, names in os.walk(root) for f in names if f.endswith(".crc") and "part" in f]
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(32 << 10)
