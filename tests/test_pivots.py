@@ -217,3 +217,18 @@ def test_vectors_without_collapsed_copies_are_embedded_once(spark, monkeypatch):
     counted = vectors.mapInPandas(embed, vectors.schema)
     got = D.find_duplicates(counted, threshold=0.9, collapse_copies=False, cell_rows=10, max_pivots=4, split_rows=20)
     assert rows_of(got) == rows_of(K.knn_exact(vectors, k=5, threshold=0.9, dim=768)) and made.value == 40
+
+
+def test_repeated_rows_travel_once():
+    import numpy as np
+    import pandas as pd
+
+    from tessera.operators import span_join as J
+
+    rows = [(1, 5, [1.0, 2.0]), (1, 5, [1.0, 2.0]), (1, 5, [1.0, 3.0]), (1, 6, [1.0, 3.0]), (2, 6, [1.0, 3.0])]
+    plain = pd.DataFrame(rows, columns=["cell", "id", "vec"]).assign(bound=-2.0, blk=0)
+    plain["vec"] = plain["vec"].map(np.array)
+    for cuts in ([0, 5], [0, 1, 5], [0, 2, 3, 5]):  # batches
+        sent = pd.concat(J._chunks(2, True)(plain.iloc[a:b] for a, b in zip(cuts, cuts[1:])))
+        chunks = list(sent.drop(columns="blk").itertuples(index=False, name=None))
+        assert J._Span(chunks, -2.0, 2, None).ids.tolist() == [5, 5, 6, 6]
